@@ -6,9 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-FINDING_SCHEMA = (
-    "rule_id string, message string, part_id int, dataset string, file string, count bigint, example string"
-)
+FINDING_SCHEMA = "rule_id string, part_id int, dataset string, file string, count bigint, example string"
 RULE_SCHEMA = "rule_id string, severity string, status string, description string"
 MAX_EXAMPLES_PER_RULE = 25
 SEVERITIES = ("critical", "high", "medium", "low")
@@ -23,25 +21,23 @@ def example_json(fields: Sequence[tuple[str, Column]]) -> Column:
 def as_findings(
     rows: DataFrame,
     rule_id: str | Column,
-    message: str | Column,
     dataset: str | Column | None = None,
     count: Column | str | None = None,
-    file: Column | None = None,
+    file: Column | str | None = None,
     example: Column | None = None,
     part_id: str | None = "part_id",
 ) -> DataFrame:
-    """Project rows onto the finding columns."""
+    """Project rows onto the finding columns. Columns are passed as Column or, for ``count``, by name."""
 
     def text(value: str | Column | None) -> Column:
-        return value if isinstance(value, Column) else F.lit(value).cast("string")
+        return (value if isinstance(value, Column) else F.lit(value)).cast("string")
 
     return rows.select(
         text(rule_id).alias("rule_id"),
-        text(message).alias("message"),
         (F.col(part_id) if part_id else F.lit(None)).cast("int").alias("part_id"),
         text(dataset).alias("dataset"),
         text(file).alias("file"),
-        (F.lit(None) if count is None else F.col(count) if isinstance(count, str) else count).cast("bigint").alias("count"),
+        (F.col(count) if isinstance(count, str) else F.lit(None) if count is None else count).cast("bigint").alias("count"),
         text(example).alias("example"),
     )
 
@@ -51,8 +47,9 @@ def rule_frame(spark: SparkSession, rules: Sequence[tuple[str, str, str, str]])
 
 
 def with_rule_defaults(findings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add status and severity. The catalogue has a fixed number of rows, so it is broadcast."""
-    return findings.join(F.broadcast(rules.select("rule_id", "status", "severity")), "rule_id")
+    """Add status, severity and message. The catalogue has a fixed number of rows, so it is broadcast."""
+    defaults = rules.select("rule_id", "status", "severity", F.col("description").alias("message"))
+    return findings.join(F.broadcast(defaults), "rule_id")
 
 
 def cap_examples(findings: DataFrame, order: Sequence[str], limit: int = MAX_EXAMPLES_PER_RULE) -> DataFrame:

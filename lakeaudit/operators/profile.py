@@ -81,12 +81,13 @@ def short_runs(
     scope: Sequence[str] = (),
     min_count: int = 4,
     min_median: float = 3,
+    zero: int = 0,
 ) -> DataFrame:
     """Scopes where some runs are far shorter than the local norm.
 
     ``(scope..., short_runs, run_count, median_length, threshold_length)``: at least ``min_count`` runs, a median
     of at least ``min_median``, and some but not all runs no longer than half the median. ``hist`` is
-    the histogram of run lengths and ``summary`` its distribution.
+    the histogram of run lengths, shifted by ``zero``, and ``summary`` its distribution.
     """
     limits = summary.where((F.col("count") >= min_count) & (F.col("median_value") >= min_median)).select(
         *scope,
@@ -96,7 +97,7 @@ def short_runs(
     )
     return (
         _attach(hist, limits, scope).groupBy(*scope, "run_count", "median_length", "threshold_length")
-        .agg(F.coalesce(F.sum(F.when(F.col("value") <= F.col("threshold_length"), F.col("n"))), F.lit(0)).alias("short_runs"))
+        .agg(F.coalesce(F.sum(F.when(F.col("value") <= F.col("threshold_length") + F.lit(zero), F.col("n"))), F.lit(0)).alias("short_runs"))
         .where((F.col("short_runs") > 0) & (F.col("short_runs") < F.col("run_count")))
         .select(*scope, "short_runs", "run_count", "median_length", "threshold_length")
     )

@@ -603,8 +603,8 @@ def _ship_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     duplicates = keys.duplicate_keys(lines, ["l_orderkey", "l_linenumber"], ["part_id"]).where("duplicate_keys > 0")
     suppliers = keys.dependency_violations(lines, ["l_orderkey"], "l_suppkey", ["part_id"]).where("violations > 0")
     example = findings.example_json([("n", F.col("violations")), ("column", F.lit("l_suppkey"))])
-    return findings.as_findings(duplicates, "duplicate_line", "repeated line", "lineitem", "duplicate_keys").unionByName(
-        findings.as_findings(suppliers, "several_suppliers", "several suppliers", "lineitem", "violations", example=example))
+    return findings.as_findings(duplicates, "duplicate_line", "lineitem", "duplicate_keys").unionByName(
+        findings.as_findings(suppliers, "several_suppliers", "lineitem", "violations", example=example))
 
 
 _SHIP = """
