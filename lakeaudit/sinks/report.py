@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.audit import FINDING_COLUMNS, Audit
 
 
-def write_findings(findings: DataFrame, path: str) -> None:
-    """One JSON object per finding with sorted keys; absent values are written as null."""
+def write_findings(findings: DataFrame | None, path: str, spark: SparkSession | None = None) -> None:
+    """One JSON object per finding with sorted keys; absent values are written as null.
+
+    Without findings (a run that had nothing to audit) an empty output is written.
+    """
+    if findings is None:
+        spark.createDataFrame([], "value string").write.mode("errorifexists").text(path)
+        return
     # An example is JSON already, so it is spliced in between the keys before and after it.
     plain = [c for c in sorted(FINDING_COLUMNS) if c != "example"]
     before = F.to_json(F.struct(*[c for c in plain if c < "example"]), {"ignoreNullFields": "false"})
@@ -21,9 +27,9 @@ def write_findings(findings: DataFrame, path: str) -> None:
 
 
 def summary_payload(audit: Audit) -> dict[str, object]:
-    """The summary as a dict: one row of totals and at most one count per rule of the catalogue."""
+    """The summary as a dict: one row of totals, the partition labels, and one count per rule of the catalogue."""
     row = audit.summary().first().asDict()
-    row.pop("reviewed_day_count")
+    row["reviewed_partitions"] = [r["partition"] for r in audit.reviewed_partitions().collect()]
     row["rule_counts"] = {r["rule_id"]: r["findings"] for r in audit.rule_counts().collect()}
     return row
 
