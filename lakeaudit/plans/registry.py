@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import table_checks
+from . import derived_checks, file_checks, table_checks  # noqa: F401  (importing registers the queries)
 
 
 def queries() -> dict[str, table_checks.Query]:
