@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Smallest BIGINT: the image of unsigned zero under ``ordered_long``.
 U64_ZERO = -(2**63)
@@ -40,3 +40,10 @@ def all_present(columns: Sequence[Column | str]) -> Column:
 def saturating_long(column: Column) -> Column:
     """Narrow a wide decimal total to BIGINT without an overflow error."""
     return F.least(column, F.lit(Decimal(MAX_LONG))).cast("bigint")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL scopes meet, as they do in a grouping. Spark plans it as a hash or merge join."""
+    renamed = right.withColumnsRenamed({name: f"_on_{name}" for name in on})
+    condition = reduce(lambda a, b: a & b, [left[name].eqNullSafe(renamed[f"_on_{name}"]) for name in on])
+    return left.join(renamed, condition, how).drop(*[f"_on_{name}" for name in on])

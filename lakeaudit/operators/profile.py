@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.columns import unsigned
+from ..functions.columns import null_safe_join, unsigned
 
 # Values are cut into ranges of 2**RANGE_BITS, so a window never sees more distinct values than that.
 RANGE_BITS = 16
@@ -15,7 +15,7 @@ RANGE_BITS = 16
 def _attach(rows: DataFrame, per_scope: DataFrame, scope: Sequence[str]) -> DataFrame:
     """Join one row per scope onto the rows of the scope. Without a scope that is a single row, hence the hint."""
     if scope:
-        return rows.join(per_scope, list(scope))
+        return null_safe_join(rows, per_scope, scope)
     one = per_scope.withColumn("_all", F.lit(0))
     return rows.withColumn("_all", F.lit(0)).join(F.broadcast(one), "_all").drop("_all")
 
@@ -53,14 +53,13 @@ def distribution(hist: DataFrame, scope: Sequence[str] = (), zero: int = 0) -> D
         .where((F.col("_upto") >= F.col("_lower")) & (F.col("_before") < F.col("_upper")))
     )
     inside = W.partitionBy(*scope, "_range").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    middle = (
-        hist.withColumn("_range", rng)
-        .join(placed.select(*scope, "_range", "_before", "_lower", "_upper", "_count", "_min", "_max"), [*scope, "_range"])
-        .withColumn("_rank", F.col("_before") + F.sum("n").over(inside))
+    middle = hist.withColumn("_range", rng)
+    middle = null_safe_join(middle, placed.drop("_n", "_upto"), [*scope, "_range"]).withColumn(
+        "_rank", F.col("_before") + F.sum("n").over(inside)
     )
     low = F.min(F.when(F.col("_rank") >= F.col("_lower"), F.col("value")))
     high = F.min(F.when(F.col("_rank") >= F.col("_upper"), F.col("value")))
-    total = unsigned(low, zero) + unsigned(high, zero)
+    total = unsigned(low, zero).cast("decimal(20,0)") + unsigned(high, zero).cast("decimal(20,0)")
     count = F.first("_count") if scope else F.coalesce(F.first("_count"), F.lit(0))
     return middle.groupBy(*scope).agg(
         count.alias("count"),

@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import all_present, saturating_long
+from ..functions.columns import all_present, null_safe_join, saturating_long
 from .tally import tally
 
 
@@ -28,7 +28,8 @@ class Relation:
     ``ordinal`` numbers the rows of a key from ``base``. ``declared`` is the parent column holding
     the expected number of child rows, on a scale where "none" is ``zero``; ``counted`` is the child
     column whose non-NULL values are counted (all rows if not named). ``flag`` marks rows of a
-    parent that may not have children.
+    parent that may not have children. ``weight`` names a column telling how many equal rows a row
+    stands for, so that a grouping made for another check can be handed in instead of the raw rows.
     """
 
     name: str
@@ -41,6 +42,18 @@ class Relation:
     zero: int = 0
     counted: str | None = None
     flag: Column | None = None
+    weight: str | None = None
+
+
+def _weighted(sides: Sequence[Relation]):
+    """How to count rows that meet a condition: plainly, or by weight if any side carries one."""
+    if all(side.weight is None for side in sides):
+        return F.count_if
+    return lambda condition: F.coalesce(F.sum(F.when(condition, F.col("_weight"))), F.lit(0))
+
+
+def _weight(side: Relation) -> Column:
+    return (F.lit(1) if side.weight is None else F.col(side.weight)).cast("bigint").alias("_weight")
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:
@@ -73,15 +86,16 @@ def key_agreement(parent: Relation, children: Sequence[Relation], scope: Sequenc
     flagged = F.coalesce(parent.flag, F.lit(False)) if parent.flag is not None else F.lit(False)
     frames = []
     for position, side in enumerate(sides):
-        columns = [F.col(c) for c in scope] + _keys(side) + [F.lit(position).cast("tinyint").alias("_side")]
+        columns = [F.col(c) for c in scope] + _keys(side) + [F.lit(position).cast("tinyint").alias("_side"), _weight(side)]
         columns.append((flagged if position == 0 else F.lit(False)).alias("_flag"))
         if with_attribute and side.attribute is not None:
             columns.append(F.col(side.attribute).alias("_attr"))
         frames.append(side.rows.select(*columns))
     rows = _stack(frames)
 
-    counts = [F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(sides))]
-    counts.append(F.count_if(F.col("_flag")).alias("_f"))
+    count = _weighted(sides)
+    counts = [count(F.col("_side") == i).alias(f"_n{i}") for i in range(len(sides))]
+    counts.append(count(F.col("_flag")).alias("_f"))
     if with_attribute:
         # Step 1 by (key, attribute): multiplicities of each value. Step 2 by key: totals and matches.
         cells = rows.groupBy(*scope, *key_names, "_attr").agg(*counts)
@@ -161,7 +175,7 @@ def declared_counts(parent: Relation, children: Sequence[Relation], scope: Seque
     sides = [parent, *children]
     frames = []
     for position, side in enumerate(sides):
-        columns = [F.col(c) for c in scope] + _keys(side) + [F.lit(position).cast("tinyint").alias("_side")]
+        columns = [F.col(c) for c in scope] + _keys(side) + [F.lit(position).cast("tinyint").alias("_side"), _weight(side)]
         if position == 0:
             columns += [
                 F.col(child.declared).cast("bigint").alias(f"_d{i}")
@@ -178,14 +192,15 @@ def declared_counts(parent: Relation, children: Sequence[Relation], scope: Seque
     if "_ord" not in rows.columns:
         rows = rows.withColumn("_ord", F.lit(None).cast("bigint"))
 
-    aggregates: list[Column] = [F.count_if(F.col("_side") == 0).alias("_parents")]
+    count = _weighted(sides)
+    aggregates: list[Column] = [count(F.col("_side") == 0).alias("_parents")]
     for i, child in enumerate(children, start=1):
         mine = F.col("_side") == i
-        aggregates.append(F.count_if(mine & F.col("_counted")).alias(f"_n{i}"))
+        aggregates.append(count(mine & F.col("_counted")).alias(f"_n{i}"))
         if child.ordinal is not None:
             aggregates.append(F.min(F.when(mine, F.col("_ord"))).alias(f"_first{i}"))
             aggregates.append(F.max(F.when(mine, F.col("_ord"))).alias(f"_last{i}"))
-            aggregates.append(F.count_if(F.col(f"_d{i}") > child.zero).alias(f"_positive{i}"))
+            aggregates.append(count(F.col(f"_d{i}") > child.zero).alias(f"_positive{i}"))
     keyed = rows.groupBy(*scope, *key_names).agg(*aggregates).where(F.col("_parents") > 0)
 
     joinable = all_present(key_names)
@@ -213,6 +228,7 @@ def declared_counts(parent: Relation, children: Sequence[Relation], scope: Seque
     declarations = parent.rows.select(
         *scope,
         *_keys(parent),
+        _weight(parent).alias("_rows"),
         F.inline(
             F.array(
                 *[
@@ -223,7 +239,7 @@ def declared_counts(parent: Relation, children: Sequence[Relation], scope: Seque
         ),
     ).where(F.col("_declared").isNotNull())
     met = (
-        _stack([declarations.withColumn("_rows", F.lit(1).cast("bigint")), expected])
+        _stack([declarations, expected])
         .groupBy(*scope, *key_names, "_relation", "_declared")
         .agg(
             F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"),
@@ -260,7 +276,7 @@ def absent_members(
     The required list is a fixed array exploded next to each scope, then removed by an anti join.
     """
     wanted = scopes.select(*scope).distinct().select(*scope, F.explode(F.array(*[F.lit(r) for r in required])).alias(member))
-    return wanted.join(present.select(*scope, member).distinct(), [*scope, member], "left_anti")
+    return null_safe_join(wanted, present.select(*scope, member).distinct(), [*scope, member], "left_anti")
 
 
 def unknown_members(present: DataFrame, scope: Sequence[str], member: str, known: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import ordered_long
 from ..functions.scope import part_date, part_hour
+from ..session import materialize
 from . import baseline, rulepack
 from .rulepack import ACCESS, AUTHORIZATIONS, BALANCES, BLOCKS, LOGS, RECEIPTS, TRANSACTIONS, WITHDRAWALS
 from .table_checks import query, table
@@ -315,7 +316,7 @@ FROM c JOIN x USING (part_id)
 """)
 def rulepack_snapshot(spark, sf_dir):
     t = derived_tables(spark, sf_dir)
-    hist, mix = baseline.measure_histogram(t), baseline.mix_snapshot(t)
+    hist, mix = materialize(baseline.measure_histogram(t)), materialize(baseline.mix_snapshot(t))
     files = spark.createDataFrame([], "part_id int, dataset string, row_count bigint")
     rows = baseline.partition_snapshot(t, _partitions(t), files, hist, baseline.measure_summary(hist), mix)
     return rows.select(

@@ -14,6 +14,7 @@ from ..functions.presence import all_missing, all_or_none, code_matches_label, l
 from ..functions.presence import prefix_matches, timestamp_in_partition
 from ..operators import digest, drift, findings, keys, ordered, profile, relations, shapes
 from ..operators.relations import Relation
+from ..session import materialize
 from ..streaming import review
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -558,7 +559,8 @@ WITH c AS (SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) AS INTEGER) AS hour, ev
 SELECT day, hour, drifted, label, round(share, 6) AS share, round(med, 6) AS peer_median, round(difference, 6) AS difference FROM w WHERE rn = 1
 """)
 def mix_drift(spark, sf_dir):
-    mix = profile.label_mix(hourly_events(spark, sf_dir), "event_type", ["day", "hour"])
+    # One row per hour and label, read by several branches of the plan: computed once.
+    mix = materialize(profile.label_mix(hourly_events(spark, sf_dir), "event_type", ["day", "hour"]))
     found = drift.mix_drift(mix, mix.select("day", "hour").distinct(), ["day", "hour"], ["hour"])
     return found.select("day", "hour", "drifted", "label", *[F.round(c, 6).alias(c) for c in ("share", "peer_median", "difference")])
 
@@ -589,7 +591,7 @@ def mix_drift_absent_label(spark, sf_dir):
         (F.col("doc_id") % 2).alias("cohort"),
         F.when(slot.isin(0, 3), "junk").when((slot == 6) & (F.col("lang") != "en"), "rare").otherwise("text").alias("kind"),
     )
-    mix = profile.label_mix(documents, "kind", ["part", "cohort"])
+    mix = materialize(profile.label_mix(documents, "kind", ["part", "cohort"]))
     found = drift.mix_drift(mix, mix.select("part", "cohort").distinct(), ["part", "cohort"], ["cohort"])
     return found.select("part", "cohort", "drifted", "label", *[F.round(c, 6).alias(c) for c in ("share", "peer_median", "difference")])
 
