@@ -62,6 +62,13 @@ def prefix_matches(declared_length: Column | str, payload: Column | str, prefix:
 
 
 def timestamp_in_partition(ts: Column | str, day: Column, hour: Column) -> Column:
-    """True when the timestamp lies in the partition's day and, where there is one, its hour."""
+    """True when the wall-clock time lies in the partition's day and, where there is one, its hour."""
     ts = _col(ts)
     return (F.to_date(ts) == day) & (hour.isNull() | (F.hour(ts) == hour))
+
+
+def instant_in_partition(instant: Column | str, day: Column, hour: Column) -> Column:
+    """As ``timestamp_in_partition`` for an instant, read in UTC whatever the session time zone is."""
+    seconds = F.unix_seconds(_col(instant))
+    in_day = F.floor(seconds / 86400) == F.unix_date(day)
+    return F.when(hour.isNull(), in_day).otherwise(F.floor(seconds / 3600) == F.unix_date(day) * 24 + hour)

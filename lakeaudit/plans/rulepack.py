@@ -267,7 +267,7 @@ def flashblock_rows(t: Tables, partitions: DataFrame) -> DataFrame:
     """All row rules of flashblocks and the arrival-time coverage, from one scan."""
     first = F.col("index") == U64_ZERO
     base_cells = presence.present_cells(FIRST_ROW_COLUMNS)
-    in_partition = presence.timestamp_in_partition("block_timestamp", part_date("part_id"), part_hour("part_id"))
+    in_partition = presence.instant_in_partition("block_timestamp", part_date("part_id"), part_hour("part_id"))
     wide = t[BLOCKS].groupBy(*SCOPE).agg(
         F.coalesce(F.sum(F.when(first, len(FIRST_ROW_COLUMNS) - base_cells)), F.lit(0)).alias("missing_cells"),
         F.coalesce(F.sum(F.when(~first, base_cells)), F.lit(0)).alias("extra_cells"),

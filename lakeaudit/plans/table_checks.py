@@ -620,7 +620,8 @@ _SHIP_RULES = [("duplicate_line", "critical", "fail", "line repeats"), ("several
 
 @query("findings_rollup", _SHIP + """
 SELECT count(*) FILTER (WHERE rule_id = 'duplicate_line') AS fail_count, count(*) FILTER (WHERE rule_id = 'several_suppliers') AS warn_count,
-       0::BIGINT AS metric_count, bool_or(rule_id = 'duplicate_line') AS has_failures, 'critical' AS max_severity FROM f
+       0::BIGINT AS metric_count, bool_or(rule_id = 'duplicate_line') AS has_failures,
+       CASE WHEN bool_or(rule_id = 'duplicate_line') THEN 'critical' ELSE 'medium' END AS max_severity FROM f
 """)
 def findings_rollup(spark, sf_dir):
     rules = findings.rule_frame(spark, _SHIP_RULES)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeaudit.functions.columns import U64_ZERO, ordered_long, unsigned
 from lakeaudit.functions.keccak import digests
+from lakeaudit.functions.presence import instant_in_partition
 from lakeaudit.functions.scope import part_date, part_hour, part_id, part_label
 from lakeaudit.operators import digest, drift, findings, keys, ordered, profile, relations
 from lakeaudit.operators.relations import Relation
@@ -146,10 +147,13 @@ def test_backward_children(spark):
     right = [(s, rng.randint(0, 1), rng.randint(0, 4), rng.randint(0, 9)) for s in range(CASES) for _ in range(rng.randint(0, 6))]
     frame = lambda rows, name: spark.createDataFrame(rows, f"s int, g int, link int, {name} int")
     got = by_scope(ordered.backward_children(frame(left, "o"), frame(right, "v"), ["g"], "link", "o", "v", ["s"]), "backward_groups")
+    values = defaultdict(list)
+    for row in right:
+        values[row[:3]].append(row[3])
     for s in range(CASES):
         want = 0
         for g in (0, 1):
-            points = sorted((a[3], b[3]) for a in left for b in right if a[:3] == b[:3] == (s, g, a[2]))
+            points = sorted((a[3], v) for a in left if a[:2] == (s, g) for v in values[a[:3]])
             want += any(b[1] < a[1] for a, b in zip(points, points[1:]))
         assert got.get(s, 0) == want, s
 
@@ -299,6 +303,20 @@ def test_partition_identity(spark):
     assert [r["l"] for r in got] == ["1969-12-31T04:00Z", "2026-04-05", "2026-04-05T00:00Z", "2026-04-05T23:00Z"]
 
 
+def test_instants_are_read_in_utc(spark):
+    rows = spark.createDataFrame([("2026-04-05 23:59:59", "2026-04-05", 23), ("2026-04-06 00:00:00", "2026-04-05", 23), ("2026-04-06 00:00:00", "2026-04-06", None)],
+                                 "t string, d string, h int")
+    frame = rows.select(F.to_timestamp("t").alias("t"), F.to_date("d").alias("d"), "h").cache()
+    frame.count()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert [r[0] for r in frame.select(instant_in_partition("t", F.col("d"), F.col("h"))).collect()] == [True, False, True]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        frame.unpersist()
+
+
 def test_example_cap_keeps_findings(spark):
     rows = spark.range(100).selectExpr("'r' AS rule_id", "id AS place", "CASE WHEN id % 2 = 0 THEN '{}' END AS example", "lpad(id, 3, '0') AS k")
     kept = findings.cap_examples(rows, ["k"]).orderBy("place").collect()

@@ -109,3 +109,22 @@ def test_layout_and_state_are_refused(spark, tmp_path):
     g.write_partition(lake, {g.F: []}, d(5), "date")
     with pytest.raises(ReviewStateError):
         review_next(spark, str(lake), str(tmp_path / "work"))
+
+
+def test_only_empty_days_block(spark, tmp_path):
+    (tmp_path / "lake/year=2026/month=04/day=06").mkdir(parents=True)
+    step = review_next(spark, str(tmp_path / "lake"), str(tmp_path / "work"), 0)
+    assert (step.status, step.blocked_day, step.latest_reviewed_day, step.exit_code()) == ("blocked", d(6), None, 1)
+    assert step.discovered_day_count == step.pending_day_count == 1
+    assert load_state(spark, str(tmp_path / "work")).latest is None
+    again = review_next(spark, str(tmp_path / "lake"), str(tmp_path / "work"), 0)
+    assert again.status == "blocked" and again.report_directory != step.report_directory
+
+
+def test_only_unsupported_paths_still_advance(spark, tmp_path):
+    bad = tmp_path / "lake/year=2026/month=04/day=05/stray_2026-04-05.parquet"
+    bad.parent.mkdir(parents=True)
+    bad.write_bytes(b"bad")
+    step = review_next(spark, str(tmp_path / "lake"), str(tmp_path / "work"), 0)
+    assert (step.status, step.reviewed_partition_count, step.latest_reviewed_day) == ("validated", 0, d(5))
+    assert step.rule_counts == {"partition_parse_error": 1}
