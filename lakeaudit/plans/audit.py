@@ -50,10 +50,10 @@ class Audit:
 
 
 def table_rules(
-    tables: rulepack.Tables, partitions: DataFrame, files: DataFrame, verify_hashes: bool = False
-) -> tuple[DataFrame, Snapshots]:
-    """Rule findings and (peer-less) profiles of gated tables."""
-    found = rulepack.table_findings(tables, partitions, verify_hashes)
+    tables: rulepack.Tables, partitions: DataFrame, files: DataFrame, verify_hashes: bool = False, any_files: bool = True
+) -> tuple[DataFrame | None, Snapshots]:
+    """Rule findings (None if no file passed the gate) and peer-less profiles of gated tables."""
+    found = rulepack.table_findings(tables, partitions, verify_hashes) if any_files else None
     mix = materialize(baseline.mix_snapshot(tables))
     hist = materialize(baseline.measure_histogram(tables))
     summary = materialize(baseline.measure_summary(hist))
@@ -93,8 +93,8 @@ def audit(
 
     paths = [tuple(row) for row in files.select("dataset", "layout", "path").toLocalIterator()]
     tables = read_tables(spark, LakeFiles(spark, root).root, paths, CONTRACT, rulepack.ORDERED_COLUMNS)
-    found, raw = table_rules(tables, partitions, files, verify_hashes)
-    found = materialize(gated.unionByName(found))
+    found, raw = table_rules(tables, partitions, files, verify_hashes, bool(paths))
+    found = gated if found is None else materialize(gated.unionByName(found))
     statuses = with_rule_defaults(found, rule_frame(spark, RULES))
     snapshots = Snapshots(materialize(baseline.with_peer_status(raw.partitions, statuses)), raw.physical, raw.mix)
 

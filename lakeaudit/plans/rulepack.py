@@ -58,16 +58,30 @@ ORDERED_COLUMNS = (
 Tables = Mapping[str, DataFrame]
 
 
-def _emit(rows: DataFrame, entries: Sequence[tuple[str, str | None, Column]]) -> DataFrame:
-    """Findings from a per-partition summary: one per entry ``(rule, dataset, count)`` with a count above zero."""
-    structs = [
-        F.struct(
-            F.lit(rule).alias("rule_id"), F.lit(dataset).cast("string").alias("dataset"), count.cast("bigint").alias("count")
+def _emit(rows: DataFrame, entries: Sequence[tuple], partitions: DataFrame | None = None) -> DataFrame:
+    """Findings from a per-partition summary.
+
+    An entry ``(rule, dataset, count)`` becomes a finding where its count is above zero. With
+    ``partitions``, entries ``(rule, dataset, count, example)`` are metrics: one finding per
+    partition whatever the count, also for partitions the summary has no row for.
+    """
+
+    def struct(rule: str, dataset: str | None, count: Column, *metric: Column | None) -> Column:
+        value = F.coalesce(count, F.lit(0)) if metric else count
+        example = metric[0] if metric and metric[0] is not None else F.lit(None)
+        return F.struct(
+            F.lit(rule).alias("rule_id"),
+            F.lit(dataset).cast("string").alias("dataset"),
+            value.cast("bigint").alias("count"),
+            example.cast("string").alias("example"),
+            F.lit(bool(metric)).alias("metric"),
         )
-        for rule, dataset, count in entries
-    ]
-    found = rows.select("part_id", F.inline(F.array(*structs))).where(F.col("count") > 0)
-    return as_findings(found, F.col("rule_id"), F.col("dataset"), "count")
+
+    if partitions is not None:
+        rows = partitions.join(rows, "part_id", "left")
+    found = rows.select("part_id", F.inline(F.array(*[struct(*entry) for entry in entries])))
+    found = found.where(F.col("metric") | (F.col("count") > 0))
+    return as_findings(found, F.col("rule_id"), F.col("dataset"), "count", example=F.col("example"))
 
 
 def _of(relation: str, column: str) -> Column:
@@ -192,16 +206,12 @@ def payload_rules(t: Tables, partitions: DataFrame) -> DataFrame:
         "late": keys.starts_late(U64_ZERO),
     })
     several = keys.dependency_violations(t[BLOCKS], ["metadata_block_number"], "payload_id", SCOPE)
-    found = _emit(summary, [
+    return _emit(summary, [
         ("payload_maps_to_multiple_blocks", BLOCKS, F.col("several_blocks")),
         ("non_contiguous_payload_indexes", BLOCKS, F.col("gaps")),
         ("payload_starts_after_zero", BLOCKS, F.col("late")),
-    ])
-    metric = partitions.join(summary, "part_id", "left")
-    return (
-        found.unionByName(_emit(several, [("block_maps_to_multiple_payloads", BLOCKS, F.col("violations"))]))
-        .unionByName(as_findings(metric, "tail_only_payload_count", BLOCKS, F.coalesce("late", F.lit(0))))
-    )
+        ("tail_only_payload_count", BLOCKS, F.col("late"), None),
+    ], partitions).unionByName(_emit(several, [("block_maps_to_multiple_payloads", BLOCKS, F.col("violations"))]))
 
 
 def gas_order(t: Tables) -> DataFrame:
@@ -278,6 +288,12 @@ def flashblock_rows(t: Tables, partitions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_rows"),
         *[F.count(slot).alias(slot) for slot in RECEIVED_SLOTS],
     )
+    total = F.coalesce("total_rows", F.lit(0))
+    coverage = [
+        ("received_time_slot_coverage", BLOCKS, F.col(slot),
+         example_json([("slot", F.lit(slot.removeprefix("received_time_"))), ("total_rows", total)]))
+        for slot in RECEIVED_SLOTS
+    ]
     found = _emit(wide, [
         ("base_fields_missing_on_index_zero", BLOCKS, F.col("missing_cells")),
         ("base_fields_present_on_nonzero_index", BLOCKS, F.col("extra_cells")),
@@ -285,23 +301,11 @@ def flashblock_rows(t: Tables, partitions: DataFrame) -> DataFrame:
         ("partition_date_mismatch", BLOCKS, F.col("misplaced")),
         ("all_received_time_slots_missing", BLOCKS, F.col("unseen")),
         ("flashblock_transaction_receipt_count_mismatch", BLOCKS, F.col("counts_differ")),
-    ])
+        *coverage,
+    ], partitions)
     # This rule says that declared counts disagree, not on how many rows.
     uncounted = F.col("rule_id") == "flashblock_transaction_receipt_count_mismatch"
-    found = found.withColumn("count", F.when(~uncounted, F.col("count")))
-    total = F.coalesce("total_rows", F.lit(0))
-    coverage = partitions.join(wide, "part_id", "left").select(
-        "part_id",
-        F.inline(F.array(*[
-            F.struct(
-                F.coalesce(slot, F.lit(0)).alias("count"),
-                example_json([("slot", F.lit(slot.removeprefix("received_time_"))), ("total_rows", total)]).alias("example"),
-            )
-            for slot in RECEIVED_SLOTS
-        ])),
-    )
-    return found.unionByName(
-        as_findings(coverage, "received_time_slot_coverage", BLOCKS, "count", example=F.col("example")))
+    return found.withColumn("count", F.when(~uncounted, F.col("count")))
 
 
 def transaction_rows(t: Tables) -> DataFrame:

@@ -6,11 +6,11 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..plans.audit import FINDING_COLUMNS, Audit
+from ..plans.audit import FINDING_COLUMNS, ORDER, Audit
 
 
 def write_findings(findings: DataFrame | None, path: str, spark: SparkSession | None = None) -> None:
-    """One JSON object per finding with sorted keys; absent values are written as null.
+    """One JSON object per finding with sorted keys, in finding order; absent values are written as null.
 
     Without findings (a run that had nothing to audit) an empty output is written.
     """
@@ -23,7 +23,7 @@ def write_findings(findings: DataFrame | None, path: str, spark: SparkSession |
     after = F.to_json(F.struct(*[c for c in plain if c > "example"]), {"ignoreNullFields": "false"})
     line = F.concat(
         F.expr("substring(b, 1, length(b) - 1)"), F.lit(',"example":'), F.coalesce("example", F.lit("null")), F.lit(","), F.expr("substring(a, 2)"))
-    findings.select("example", before.alias("b"), after.alias("a")).select(line.alias("value")).write.mode("errorifexists").text(path)
+    findings.orderBy(*ORDER).select("example", before.alias("b"), after.alias("a")).select(line.alias("value")).write.mode("errorifexists").text(path)
 
 
 def summary_payload(audit: Audit) -> dict[str, object]:

@@ -146,23 +146,32 @@ def _footer(path: str) -> dict:
         return {"readable": False}
 
 
-def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _footer_reader(supported: str | None):
     kinds = {
         "readable": pa.bool_(),
         "fields": pa.list_(pa.struct([("name", pa.string()), ("type", pa.string()), ("nullable", pa.bool_())])),
     }
     names = ("readable", "row_count", "file_size_bytes", "row_groups", "compressed_bytes", "uncompressed_bytes", "fields")
-    for batch in batches:
-        footers = [_footer(path) for path in batch.column("path").to_pylist()]
-        columns = [pa.array([f.get(name) for f in footers], kinds.get(name, pa.int64())) for name in names]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            opened = [True] * len(paths) if supported is None else batch.column(supported).is_valid().to_pylist()
+            footers = [_footer(path) if wanted else {} for path, wanted in zip(paths, opened)]
+            columns = [pa.array([f.get(name) for f in footers], kinds.get(name, pa.int64())) for name in names]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
 
-def with_footers(files: DataFrame) -> DataFrame:
-    """Open each file's footer on the executors. Filter ``files`` first: nothing is pushed below this."""
+    return read
+
+
+def with_footers(files: DataFrame, supported: str | None = None) -> DataFrame:
+    """Open each file's footer on the executors. Filter ``files`` first: nothing is pushed below this.
+
+    Rows whose ``supported`` column is NULL pass through unopened.
+    """
     tasks = 4 * files.sparkSession.sparkContext.defaultParallelism
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    return files.repartition(tasks).mapInArrow(_read_footers, f"{schema}, {_FOOTER_SCHEMA}")
+    return files.repartition(tasks).mapInArrow(_footer_reader(supported), f"{schema}, {_FOOTER_SCHEMA}")
 
 
 def build_manifest(spark: SparkSession, root: str, date_from: date | None = None, date_to: date | None = None) -> DataFrame:
@@ -176,12 +185,9 @@ def build_manifest(spark: SparkSession, root: str, date_from: date | None = None
         parsed = parsed.where(day.isNull() | (day >= F.lit(date_from)))
     if date_to is not None:
         parsed = parsed.where(day.isNull() | (day <= F.lit(date_to)))
-    # One footer job over all files; unsupported paths pass through it without being opened.
-    supported = with_footers(parsed.where(F.col("layout").isNotNull()))
-    unsupported = parsed.where(F.col("layout").isNull())
-    whole = supported.unionByName(unsupported, allowMissingColumns=True)
     return (
-        whole.withColumn("part_id", F.when(F.col("layout").isNotNull(), part_id("partition_date", "partition_hour")))
+        with_footers(parsed, supported="layout")
+        .withColumn("part_id", F.when(F.col("layout").isNotNull(), part_id("partition_date", "partition_hour")))
         .withColumn("file", F.regexp_replace("path", "^file:/+", "/"))
     )
 

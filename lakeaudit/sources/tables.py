@@ -57,7 +57,8 @@ def read_tables(
         if parts:
             frame = reduce(DataFrame.unionAll, parts)
         else:
-            frame = spark.createDataFrame([], T.StructType([T.StructField("part_id", T.IntegerType()), *schema.fields]))
+            empty = spark.createDataFrame([], T.StructType([T.StructField("part_id", T.IntegerType()), *schema.fields]))
+            frame = empty.where(F.lit(False))  # known to be empty, so Spark folds every plan over it
         tables[dataset] = frame.select(
             "part_id", *[ordered_long(n).alias(n) if n in ordered else F.col(n) for n in names]
         )
