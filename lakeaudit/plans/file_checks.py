@@ -1,12 +1,20 @@
-"""Footer checks on the given parquet files themselves. DuckDB sees views, not files, so there is no SQL."""
+"""Footer checks on the given parquet files, and path and gate checks on paths derived from ``orders``.
+
+DuckDB sees views, not files, so only row counts and column names of footers have SQL to compare with.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.paths import parse_path
+from ..functions.scope import part_id
+from ..session import materialize
 from ..sources.contracts import contract_frame, fields_equal, schema_differences
 from ..sources.manifest import list_files, with_footers
-from .table_checks import query
+from . import gate
+from .datasets import CONTRACT, REQUIRED_DATASETS
+from .table_checks import query, table
 
 # The given tables as a contract. ``events`` is declared with whole seconds and a required id on purpose.
 TABLE_CONTRACT = {
@@ -48,3 +56,104 @@ def differences(spark, sf_dir):
     """The columns in which a file departs from its declaration."""
     rows = schema_differences(_files(spark, sf_dir), contract_frame(spark, TABLE_CONTRACT))
     return rows.select("dataset", "position", F.to_json("expected").alias("expected"), F.to_json("actual").alias("actual"))
+
+
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@query("footer_row_counts", "\nUNION ALL ".join(f"SELECT '{name}' AS dataset, count(*) AS row_count FROM {name}" for name in _TABLES))
+def footer_row_counts(spark, sf_dir):
+    """Row counts read from footers alone."""
+    return _files(spark, sf_dir).where(F.col("dataset").isin(*_TABLES)).select("dataset", "row_count")
+
+
+@query("footer_columns", f"""
+SELECT table_name AS dataset, CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS name
+FROM information_schema.columns WHERE table_name IN {_TABLES}
+""")
+def footer_columns(spark, sf_dir):
+    """Column order read from footers alone."""
+    files = _files(spark, sf_dir).where(F.col("dataset").isin(*_TABLES))
+    return files.select("dataset", F.posexplode("fields").alias("position", "field")).select("dataset", "position", F.col("field.name").alias("name"))
+
+
+# --- paths and gates on a lake of one file per order ---------------------------------------------
+
+_NAMES = (*REQUIRED_DATASETS, "surprise", "flash blocks")
+_DATASET = "CASE o_custkey % 10 " + " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(_NAMES)) + " END"
+# Months reach 13 and days 31, hours 25, so impossible days and hours occur; some file names differ from their directory.
+_PATHS = f"""
+SELECT k, CASE WHEN k % 8 IN (0, 1) THEN 'date=' || day || '/' || ds || '_' || file_day || '.parquet'
+               WHEN k % 8 IN (2, 3) THEN tree || '/hour=' || hh || '/' || ds || '_' || file_day || '_' || hh || '.parquet'
+               WHEN k % 8 = 4 THEN ds || '/' || tree || '/' || CASE WHEN k % 7 = 0 THEN 'other' ELSE ds END || '_' || file_day || '.parquet'
+               WHEN k % 8 = 5 THEN ds || '/' || tree || '/' || ds || '_' || file_day || '.parquet'
+               WHEN k % 8 = 6 THEN ds || '/year=2026/month=xx/day=' || dd || '/' || ds || '_' || file_day || '.parquet'
+               ELSE ds || '_' || file_day || '.parquet' END AS rel_path
+FROM (SELECT *, 'year=2026/month=' || mm || '/day=' || dd AS tree, '2026-' || mm || '-' || dd AS day,
+             CASE WHEN k % 17 = 0 THEN '2026-01-01' ELSE '2026-' || mm || '-' || dd END AS file_day
+      FROM (SELECT k, ds, lpad(CAST(1 + k % 13 AS STRING), 2, '0') AS mm, lpad(CAST(1 + floor(k / 13) % 31 AS STRING), 2, '0') AS dd,
+                   lpad(CAST(floor(k / 5) % 26 AS STRING), 2, '0') AS hh
+            FROM (SELECT o_orderkey AS k, {_DATASET} AS ds FROM {{orders}}) a) b) c
+"""
+_FILE_DAY = "_([0-9]{4}-[0-9]{2}-[0-9]{2})"
+_PARSED = f"""
+paths AS ({_PATHS.replace("{orders}", "orders").replace("STRING", "VARCHAR").replace("floor(k / 13)", "(k // 13)").replace("floor(k / 5)", "(k // 5)")}),
+raw AS (SELECT k, rel_path,
+    regexp_extract(rel_path, '^date=([^/]+)/([^/]+){_FILE_DAY}[.]parquet$', ['day', 'ds', 'fday']) AS d,
+    regexp_extract(rel_path, '^year=([0-9]+)/month=([0-9]+)/day=([0-9]+)/hour=([0-9]+)/([^/]+){_FILE_DAY}_([0-9][0-9])[.]parquet$', ['y', 'm', 'dd', 'hh', 'ds', 'fday', 'fh']) AS h,
+    regexp_extract(rel_path, '^([^/=]+)/year=([0-9]+)/month=([0-9]+)/day=([0-9]+)/([^/]+){_FILE_DAY}[.]parquet$', ['ds', 'y', 'm', 'dd', 'fds', 'fday']) AS t
+  FROM paths),
+typed AS (SELECT k, rel_path,
+    CASE WHEN d.ds <> '' THEN 'date_partition' WHEN h.ds <> '' THEN 'hour_partition' WHEN t.ds <> '' AND t.ds = t.fds THEN 'table_partition' END AS layout,
+    coalesce(nullif(d.ds, ''), nullif(h.ds, ''), t.ds) AS dataset,
+    TRY_CAST(coalesce(nullif(d.day, ''), nullif(h.y || '-' || h.m || '-' || h.dd, '--'), t.y || '-' || t.m || '-' || t.dd) AS DATE) AS partition_date,
+    TRY_CAST(h.hh AS INTEGER) AS partition_hour,
+    TRY_CAST(coalesce(nullif(d.fday, ''), nullif(h.fday, ''), t.fday) AS DATE) AS file_date, TRY_CAST(h.fh AS INTEGER) AS file_hour FROM raw),
+parsed AS (SELECT *, layout IS NOT NULL AND partition_date IS NOT NULL AND file_date IS NOT NULL AND coalesce(partition_hour, 0) < 24 AS ok FROM typed)
+"""
+
+
+def _order_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Written out once, as a file listing would be: filters would otherwise repeat the derivation many times over.
+    return materialize(spark.sql(_PATHS, orders=table(spark, sf_dir, "orders")), narrow=False)
+
+
+@query("path_parsing", f"""WITH {_PARSED}
+SELECT k, CASE WHEN ok THEN layout ELSE 'unsupported' END AS layout, CASE WHEN ok THEN dataset ELSE '' END AS dataset,
+       CASE WHEN ok THEN CAST(partition_date AS VARCHAR) ELSE '' END AS day, CASE WHEN ok THEN coalesce(partition_hour, -1) ELSE -1 END AS hour,
+       ok AND (partition_date <> file_date OR partition_hour IS DISTINCT FROM file_hour) AS misnamed FROM parsed
+""")
+def path_parsing(spark, sf_dir):
+    """Layout, dataset, day and hour of one storage path per order, and whether the file name contradicts them."""
+    rows = _order_paths(spark, sf_dir).withColumn("p", parse_path("rel_path"))
+    differs = (F.col("p.partition_date") != F.col("p.file_date")) | ~F.col("p.partition_hour").eqNullSafe(F.col("p.file_hour"))
+    return rows.select(
+        "k",
+        F.coalesce("p.layout", F.lit("unsupported")).alias("layout"),
+        F.coalesce("p.dataset", F.lit("")).alias("dataset"),
+        F.coalesce(F.col("p.partition_date").cast("string"), F.lit("")).alias("day"),
+        F.coalesce("p.partition_hour", F.lit(-1)).alias("hour"),
+        (F.col("p").isNotNull() & differs).alias("misnamed"),
+    )
+
+
+@query("partition_gates", f"""WITH {_PARSED},
+files AS (SELECT k, layout, dataset, CAST((partition_date - DATE '1970-01-01') * 32 + coalesce(partition_hour + 1, 0) AS INTEGER) AS part_id FROM parsed WHERE ok AND k % 23 <> 0),
+required AS (SELECT unnest({list(REQUIRED_DATASETS)}) AS dataset)
+SELECT 'mixed_storage_layout_for_partition' AS rule_id, part_id, '' AS dataset, count(DISTINCT layout) AS count FROM files GROUP BY part_id HAVING count(DISTINCT layout) > 1
+UNION ALL SELECT 'missing_required_dataset', part_id, dataset, -1 FROM (SELECT DISTINCT part_id FROM files) p, required r
+          WHERE NOT EXISTS (SELECT 1 FROM files f WHERE f.part_id = p.part_id AND f.dataset = r.dataset)
+UNION ALL SELECT DISTINCT 'unknown_dataset', part_id, dataset, -1 FROM files WHERE dataset NOT IN (SELECT dataset FROM required)
+UNION ALL SELECT 'multiple_readable_files_for_dataset_partition', part_id, dataset, count(*) FROM files GROUP BY part_id, dataset HAVING count(*) > 1
+UNION ALL SELECT 'schema_mismatch', part_id, dataset, -1 FROM files WHERE dataset IN (SELECT dataset FROM required) AND k % 29 = 0
+""")
+def partition_gates(spark, sf_dir):
+    """Gate findings of that lake, some of its files being unreadable and some lacking their last column."""
+    contract = F.broadcast(contract_frame(spark, CONTRACT))  # eight rows
+    parsed = _order_paths(spark, sf_dir).withColumn("p", parse_path("rel_path")).select("k", "rel_path", "p.*").where("layout IS NOT NULL")
+    fields = F.when(F.col("k") % 29 == 0, F.slice("expected", 1, F.size("expected") - 1)).otherwise(F.col("expected"))
+    manifest = materialize(parsed.join(contract, "dataset", "left").select(
+        F.col("rel_path").alias("file"), "layout", "dataset", part_id("partition_date", "partition_hour").alias("part_id"),
+        (F.col("k") % 23 != 0).alias("readable"), fields.alias("fields")), narrow=False)
+    return gate.gate_findings(manifest).select(
+        "rule_id", "part_id", F.coalesce("dataset", F.lit("")).alias("dataset"), F.coalesce("count", F.lit(-1)).alias("count"))
