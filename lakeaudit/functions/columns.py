@@ -17,10 +17,13 @@ def ordered_long(column: Column | str) -> Column:
     """Map an unsigned 64-bit value, read as DECIMAL(20,0), onto BIGINT keeping order and equality.
 
     Every uint64 has exactly one image, so keys and ordinals can be grouped, sorted and shuffled as
-    8-byte longs instead of 16-byte decimals, without proving a range first.
+    8-byte longs instead of 16-byte decimals, without proving a range first. Values below 2**63, that is
+    practically all, take the first branch and need no decimal arithmetic.
     """
     column = F.col(column) if isinstance(column, str) else column
-    return (column - F.lit(Decimal(2**63))).cast("bigint")
+    return F.coalesce(
+        column.try_cast("bigint") + F.lit(U64_ZERO), (column - F.lit(Decimal(2**63))).cast("bigint")
+    )
 
 
 def unsigned(column: Column | str, zero: int) -> Column:
