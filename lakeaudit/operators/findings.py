@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-FINDING_SCHEMA = "rule_id string, part_id int, dataset string, file string, count bigint, example string"
 RULE_SCHEMA = "rule_id string, severity string, status string, description string"
 MAX_EXAMPLES_PER_RULE = 25
 SEVERITIES = ("critical", "high", "medium", "low")

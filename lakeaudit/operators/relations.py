@@ -17,7 +17,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import all_present, null_safe_join, saturating_long
-from .tally import tally
 
 
 @dataclass(frozen=True)

@@ -93,4 +93,3 @@ def _rows() -> list[tuple[str, str, str, str]]:
 
 
 RULES = _rows()
-MEANING = {rule_id: meaning for rule_id, _, _, meaning in RULES}

@@ -8,7 +8,6 @@ from datetime import date
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as Fn
 
 from lakeaudit.functions.paths import parse_path
 from lakeaudit.plans.audit import audit
