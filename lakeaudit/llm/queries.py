@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, warc
+from . import bpe, exact_dedup, jaccard_join, line_dedup, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,11 +67,16 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), size=3, percent=90).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL}
