@@ -313,7 +313,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", d
     rows. Other columns are passed on whatever their names; one named as the result is replaced.
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    fields = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"} if digests else {"ids": "array<int>", "decoded": "string"}
+    fields = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"} if digests else {"ids": T.ArrayType(T.IntegerType()), "decoded": "string"}
     schema = T.StructType([rows.schema["row"]])
     for name, kind in fields.items():
         schema = schema.add(name, kind)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, line_dedup, warc
+from . import bpe, exact_dedup, jaccard_join, line_dedup, suffix_array, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,12 +71,22 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), size=3, percent=90).withColumnRenamed("id", "doc_id")
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_array.drop_repeated_bytes(read(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    removed = F.aggregate("suffix_dedup.spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return out.select(
+        "doc_id", "suffix_dedup.n_bytes", removed.alias("n_removed"), F.size("suffix_dedup.spans").cast("long").alias("n_spans"),
+        F.sha2("suffix_dedup.kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_suffix_array": op10_suffix_array,
 }
 
 ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL}
