@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, line_dedup, suffix_array, warc
+from . import bpe, exact_dedup, jaccard_join, line_dedup, suffix_array, templates, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ FROM keyed GROUP BY doc_id
 """
 
 
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("key").withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = written(warc.write_archives(warc.page_records(read(spark, sf_dir, "pages"), min_bytes=0)))
     page_id = lambda c: F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1)
@@ -82,6 +87,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
+    "op4_template_decontamination": op4_template_decontamination,
     "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
     "op8_exact_dedup": op8_exact_dedup,
