@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, line_dedup, suffix_array, templates, warc
+from . import bpe, exact_dedup, jaccard_join, line_dedup, suffix_array, surrogates, templates, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = surrogates.replace_entities(docs, spark.conf.get("spark.lakeaudit.surrogate.key", "demonstration key"))
+    return out.select("doc_id", "text", "pii.n_entities", F.to_json("pii.kinds").alias("kinds"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "exact_dedup.keep_id", "exact_dedup.group_size", "exact_dedup.kept", F.col("exact_dedup.content").alias("text_sha256"))
@@ -90,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op4_template_decontamination": op4_template_decontamination,
     "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
+    "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_suffix_array": op10_suffix_array,
