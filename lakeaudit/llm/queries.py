@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, line_dedup, suffix_array, surrogates, templates, warc
+from . import bpe, exact_dedup, jaccard_join, kneser_ney, line_dedup, suffix_array, surrogates, templates, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = kneser_ney.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "lang", "quality.perplexity", "quality.threshold", "quality.kept")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_shared_lines(read(spark, sf_dir, "documents"), min_documents=10, min_chars=1)
     return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -92,6 +97,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op3_line_dedup": op3_line_dedup,
     "op4_template_decontamination": op4_template_decontamination,
     "op5_warc": op5_warc,
