@@ -96,13 +96,29 @@ def _fill(bits: int):
     return fill
 
 
+def twice_filter(hashes: DataFrame, count: int, bits_per_item: int = BITS_PER_LINE, max_filter_bits: int = MAX_FILTER_BITS) -> tuple[np.ndarray, int]:
+    """The filter of hashes seen twice, and the bits of a segment, for rows of one column ``hashes`` (array of long)."""
+    bits = min(1 << max(10, (count * bits_per_item // SEGMENTS).bit_length()), max_filter_bits // SEGMENTS)
+    dealt = hashes.mapInArrow(_deal, "segment int, once binary, again binary")
+    filters = dealt.repartition(SEGMENTS, "segment").mapInArrow(_fill(bits), "segment int, twice binary")
+    whole = np.zeros(SEGMENTS * bits // 8, np.uint8)
+    for part in filters.collect():  # max_filter_bits in all
+        whole[part.segment * bits // 8 : (part.segment + 1) * bits // 8] = np.frombuffer(part.twice, np.uint8)
+    return whole, bits
+
+
+def seen_twice(filter_: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
+    """Whether the filter knows each hash."""
+    offset = _segment(hashes).astype(np.uint64) * np.uint64(bits)
+    first, second = _places(hashes, bits)
+    return _has(filter_, first + offset) & _has(filter_, second + offset)
+
+
 def _suspects(twice, bits: int):
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, hashes = batch.column(1), batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            offset = _segment(hashes).astype(np.uint64) * np.uint64(bits)
-            first, second = _places(hashes, bits)
-            hit = np.flatnonzero(_has(twice.value, first + offset) & _has(twice.value, second + offset))
+            hit = np.flatnonzero(seen_twice(twice.value, bits, hashes))
             row = pc.list_parent_indices(keys).to_numpy().astype(np.int64)
             at = np.arange(len(row)) - np.searchsorted(row, row)  # place of the line in its document
             line = keys.flatten().take(pa.array(hit))
@@ -121,12 +137,7 @@ def suspected_lines(docs: DataFrame, text_col: str, key: Column, bits_per_line:
     lines = docs.select(key.alias("key"), F.transform(_lines(text_col), line_key).alias("lines"))
     lines = lines.withColumn("hashes", F.transform("lines", lambda x: F.xxhash64(x)))
     count = lines.agg(F.sum(F.size("lines"))).first()[0] or 0
-    bits = min(1 << max(10, (count * bits_per_line // SEGMENTS).bit_length()), max_filter_bits // SEGMENTS)
-    dealt = lines.select(F.array_distinct("hashes").alias("hashes")).mapInArrow(_deal, "segment int, once binary, again binary")
-    filters = dealt.repartition(SEGMENTS, "segment").mapInArrow(_fill(bits), "segment int, twice binary")
-    whole = np.zeros(SEGMENTS * bits // 8, np.uint8)
-    for part in filters.collect():  # max_filter_bits in all
-        whole[part.segment * bits // 8 : (part.segment + 1) * bits // 8] = np.frombuffer(part.twice, np.uint8)
+    whole, bits = twice_filter(lines.select(F.array_distinct("hashes").alias("hashes")), count, bits_per_line, max_filter_bits)
     return lines.mapInArrow(_suspects(spark.sparkContext.broadcast(whole), bits), "key string, line string, at int, new long")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, kneser_ney, line_dedup, suffix_array, surrogates, templates, warc
+from . import bpe, compact_windows, exact_dedup, jaccard_join, kneser_ney, line_dedup, suffix_array, surrogates, templates, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "lang", "quality.perplexity", "quality.threshold", "quality.kept")
 
 
+def op2_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = compact_windows.similar_passages(read(spark, sf_dir, "documents"))
+    return out.withColumnsRenamed({"id": "doc_id", "other_id": "other_doc_id"})
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_shared_lines(read(spark, sf_dir, "documents"), min_documents=10, min_chars=1)
     return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -98,6 +103,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op2_compact_windows": op2_compact_windows,
     "op3_line_dedup": op3_line_dedup,
     "op4_template_decontamination": op4_template_decontamination,
     "op5_warc": op5_warc,
