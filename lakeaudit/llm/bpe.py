@@ -270,23 +270,27 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _apply(path: str, digests: bool):
+#: What can be asked for, and its type.
+FIELDS = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
+
+
+def _apply(path: str, fields: tuple[str, ...]):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
+        hexes = lambda items: pa.array([sha256(x).hexdigest() for x in items], pa.string())
         for batch in batches:
             texts = batch.column(1).fill_null("")
             for first, last in _runs(pc.binary_length(texts).to_numpy()):
                 ids, bounds = bpe.encode_batch(texts.slice(first, last - first).to_pylist())
-                columns = {"row": batch.column(0).slice(first, last - first)}
-                decoded = _spell(bpe.name_table, ids, bounds)
-                if digests:
-                    columns["n_tokens"] = pa.array(np.diff(bounds), pa.int64())
-                    columns["ids_sha256"] = [sha256(x).hexdigest() for x in _spell(bpe.number_table, ids, bounds)]
-                    columns["decoded_sha256"] = [sha256(x).hexdigest() for x in decoded]
-                else:
-                    columns["ids"] = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                    columns["decoded"] = pa.array(decoded, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_pydict(columns)
+                decoded = _spell(bpe.name_table, ids, bounds) if {"decoded", "decoded_sha256"} & {*fields} else []
+                make = {
+                    "n_tokens": lambda: pa.array(np.diff(bounds), pa.int64()),
+                    "ids": lambda: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
+                    "decoded": lambda: pa.array(decoded, pa.binary()).cast(pa.string()),
+                    "ids_sha256": lambda: hexes(_spell(bpe.number_table, ids, bounds)),
+                    "decoded_sha256": lambda: hexes(decoded),
+                }
+                yield pa.RecordBatch.from_pydict({"row": batch.column(0).slice(first, last - first)} | {f: make[f]() for f in fields})
 
     return apply
 
@@ -303,19 +307,18 @@ def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", digests: bool = False, result: str = "bpe") -> DataFrame:
-    """All rows with a struct column ``ids`` (array of int) and ``decoded``, the text decoded from them.
+def encode_documents(
+    docs: DataFrame, vocabulary: str, text_col: str = "text", fields: tuple[str, ...] = ("ids", "decoded"), result: str = "bpe"
+) -> DataFrame:
+    """All rows with a struct column of the fields asked for: ``ids`` (array of int), ``decoded``, the text decoded from
+    them, ``n_tokens``, ``ids_sha256`` (of the ids in decimal joined by a space) and ``decoded_sha256``.
 
     ``vocabulary`` is the path of a ``tokenizer.json`` with word ends that every executor can open. Ids are what merging
     gives, without special tokens at the ends; a special token's own text becomes its id. NULL and empty texts have no ids
-    and decode to the empty text. With ``digests``, the struct is ``n_tokens, ids_sha256, decoded_sha256`` instead (of the
-    ids in decimal joined by a space, and of the decoded text), so that neither leaves the task. An empty table gives no
-    rows. Other columns are passed on whatever their names; one named as the result is replaced.
+    and decode to the empty text. An empty table gives no rows. Other columns are passed on whatever their names; one
+    named as the result is replaced.
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    fields = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"} if digests else {"ids": T.ArrayType(T.IntegerType()), "decoded": "string"}
-    schema = T.StructType([rows.schema["row"]])
-    for name, kind in fields.items():
-        schema = schema.add(name, kind)
-    out = rows.mapInArrow(_apply(vocabulary, digests), schema)
+    schema = T.StructType([rows.schema["row"], *(T.StructField(f, FIELDS[f]) for f in fields)])
+    out = rows.mapInArrow(_apply(vocabulary, fields), schema)
     return with_result(out.withColumn(result, F.struct(*fields)), result)

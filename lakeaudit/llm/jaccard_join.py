@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import hashing
 from .components import components
-from .shared import lookup, written
+from .shared import lookup, without, written
 
 #: Counters of the sketch of n-gram counts: 8 MiB are broadcast, whatever the input.
 COUNTERS = 1 << 20
@@ -241,3 +241,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = lookup(join.docs, facts, ["set"], "weight", "left")
     alone = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select("id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but of each group of linked documents only the one with the smallest id."""
+    found = jaccard_components(docs, id_col, text_col, size, percent)
+    return without(docs, F.col(id_col), found.where("component_id != id").select("id"))

@@ -67,7 +67,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.encode_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path(), digests=True)
+    out = bpe.encode_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path(), fields=("n_tokens", "ids_sha256", "decoded_sha256"))
     return out.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
 
 

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: A key that holds more than one part in so many of all rows counts as hot; there are never more such keys than this.
 HOT_PARTS = 1000
@@ -51,6 +50,8 @@ def lookup(rows: DataFrame, facts: DataFrame, key: list[str], weight: str, how:
     """
     total = rows.count()
     hot = F.col(weight) * HOT_PARTS > F.lit(total)
+    if not facts.where(hot).limit(1).count():
+        return rows.join(facts.drop(weight), key, how)
     few = F.broadcast(facts.where(hot).drop(weight).withColumn("_hot", F.lit(True)))
     first = rows.join(few, key, "left")
     done = first.where("_hot").drop("_hot")
@@ -58,5 +59,13 @@ def lookup(rows: DataFrame, facts: DataFrame, key: list[str], weight: str, how:
     return done.unionByName(rest)
 
 
-def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+#: So many keys at most are broadcast, after they were counted (8 to 40 bytes each).
+BROADCAST_KEYS = 1 << 19
+
+
+def without(rows: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not in ``gone``, a frame of one column. Few keys are broadcast, more joined by a shuffle."""
+    gone = written(gone.toDF("_gone").where("_gone IS NOT NULL").distinct())
+    few = gone.count() <= BROADCAST_KEYS
+    packed = rows.select(F.struct(*rows.columns).alias("row"), key.alias("_key"))
+    return packed.join(F.broadcast(gone) if few else gone, F.col("_key") == F.col("_gone"), "left_anti").select("row.*")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import row_key, written
+from .shared import row_key, without, written
 
 #: Tokens of a window; a shorter benchmark text is one window.
 WINDOW = 13
@@ -133,6 +133,4 @@ def leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs``, with all their columns, that share no window with the benchmark."""
-    found = leaks(docs, benchmark, id_col, text_col, **how).select(F.col("key").alias("_leak")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), row_key(id_col, text_col).alias("_key"))
-    return rows.join(found, F.col("_key") == F.col("_leak"), "left_anti").select("row.*")
+    return without(docs, row_key(id_col, text_col), leaks(docs, benchmark, id_col, text_col, **how).select("key"))
