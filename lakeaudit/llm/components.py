@@ -1,11 +1,14 @@
-"""Connected components by label propagation with pointer jumping; hubs and giant components stay spread over tasks."""
+"""Connected components by label propagation with pointer jumping.
+
+All joins are between written tables, so adaptive execution splits the partitions of hubs and of giant components.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import lookup, written
+from .shared import written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,18 +17,15 @@ def components(links: DataFrame) -> DataFrame:
     A round takes the smallest label among a node's neighbours, then the label of the label, so the number of rounds grows
     with the logarithm of the longest path. Links may repeat, point both ways or to themselves. No links, no rows.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    edges = written(both.select("a", F.col("b").alias("node")))
-    # weight: how many edges end in the node, so that the join below knows the hubs
-    labels = written(edges.groupBy("node").agg(F.least(F.min("a"), F.col("node")).alias("component"), F.count(F.lit(1)).alias("weight")))
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("near"))
+    edges = written(both.unionByName(both.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct())
+    labels = written(edges.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("component")))
     while True:
-        near = lookup(edges, labels.select("node", "component", "weight"), ["node"], "weight", "inner")
-        near = near.groupBy("a").agg(F.min("component").alias("near")).withColumnRenamed("a", "node")
-        lower = written(labels.join(near, "node").select("node", F.least("component", "near").alias("component"), "weight", F.col("component").alias("was")))
-        sizes = lower.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
+        of_near = labels.select(F.col("node").alias("near"), "component")
+        lower = edges.join(of_near, "near").groupBy("node").agg(F.min("component").alias("least"))
+        lower = written(labels.join(lower, "node").select("node", F.least("component", "least").alias("component"), F.col("component").alias("was")))
         roots = lower.select(F.col("node").alias("component"), F.col("component").alias("root"))
-        jumped = lookup(lower, written(sizes.join(roots, "component")), ["component"], "_n", "inner")
-        fresh = written(jumped.select("node", F.col("root").alias("component"), "weight", "was"))
+        fresh = written(lower.join(roots, "component").select("node", F.col("root").alias("component"), "was"))
         labels = fresh.drop("was")
         if not fresh.where("component != was").limit(1).count():
-            return labels.select("node", "component")
+            return labels

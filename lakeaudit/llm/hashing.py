@@ -9,8 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-#: Bytes of text that are hashed together; a longer text is a run of its own.
-RUN_BYTES = 2 << 20
+#: Bytes of text that are hashed together, few enough for a processor's cache; a longer text is a run of its own.
+RUN_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,7 +28,7 @@ _powers: dict[int, np.ndarray] = {}
 def _power(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64."""
     if base not in _powers or len(_powers[base]) < n:
-        size = 1 << max(21, n.bit_length())
+        size = 1 << max(19, n.bit_length())
         _powers[base] = np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, base, np.uint64))])
     return _powers[base][:n]
 
@@ -51,12 +51,12 @@ class Ranges:
         return mix((self.sums[size:] - self.sums[:n]) * self.back[:n])
 
 
-def runs(texts: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``limit`` bytes together."""
+def runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``RUN_BYTES`` together."""
     first, held = 0, 0
     for i, size in enumerate(pc.binary_length(texts).to_numpy(zero_copy_only=False).tolist()):
         held += size
-        if held >= limit:
+        if held >= RUN_BYTES:
             yield first, i + 1
             first, held = i + 1, 0
     if first < len(texts):

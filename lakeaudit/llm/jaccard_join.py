@@ -4,8 +4,8 @@ The matrix has a row per distinct set and a column per n-gram; its product with
 that can decide are multiplied: a set's n-grams are put in one global order, rare ones first, and as two similar sets share
 so many n-grams, they must share one of the first few (the size-derived bound). The order comes from a count sketch of all
 n-grams; any order gives the same result, a good one few products. Columns with many rows are cut into blocks, and each pair
-of blocks is multiplied by itself. What overlaps too little for its sizes and its place in the order is dropped at once;
-the overlap of the others is counted exactly.
+of blocks is multiplied by itself. Pairs whose shared first n-grams, with all that may follow, are too few for their sizes
+are dropped at once; the overlap of the others is counted exactly.
 
 Rows of equal sets are one row of the matrix. In crowded columns, rows are first compared with a few pivots; rows that are
 thus known to be connected need not be compared again, so a large group of near copies costs about as many comparisons as
@@ -19,11 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
 from .components import components
+from .line_dedup import seen_twice, twice_filter
 from .shared import lookup, without, written
 
 #: Counters of the sketch of n-gram counts: 8 MiB are broadcast, whatever the input.
@@ -90,31 +92,65 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(counts, size: int, percent: int):
-    """The rarest n-grams of each set, one of which any similar set has among its own."""
+    """The rarest n-grams of each set, one of which any similar set has among its own; and the count of the last of them."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # a task gives the cells of equal sets once
+        seen: set[int] = set()  # a task gives equal sets once
         for _, digests, hashes, bounds in _each_run(batches, size):
             n = np.diff(bounds)
             text = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((hashes, counts.value[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)], text))
-            place = np.arange(len(hashes)) - bounds[text]
-            fresh = np.array([not (d in seen or seen.add(d)) for d in digests.tolist()], bool)
+            count = counts.value[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)]
+            order = np.lexsort((hashes, count, text))
             # what a set of n shares with any similar one is n * percent / 100 at least; a very small one has only equal ones
-            first = np.where(fresh & (100 * n >= percent * (n + 1)), n - -(-n * percent // 100) + 1, 0)
-            keep = first[text] > place
-            yield pa.RecordBatch.from_pydict({
-                "column": pa.array(hashes[order][keep].view(np.int64)), "row": pa.array(digests[text[keep]]),
-                "n": pa.array(n[text[keep]], pa.int64()), "place": pa.array(place[keep], pa.int64()),
+            first = np.where(100 * n >= percent * (n + 1), n - -(-n * percent // 100) + 1, 0)
+            keep = (np.arange(len(hashes)) - bounds[text]) < first[text]
+            grams = hashes[order][keep].view(np.int64)
+            ends = np.concatenate([[0], np.cumsum(first)])
+            last = np.where(first > 0, count[order][np.maximum(bounds[:-1] + first - 1, 0)] if len(order) else 0, 0)
+            rows = pa.RecordBatch.from_pydict({
+                "row": pa.array(digests), "n": pa.array(n, pa.int64()), "last": pa.array(last, pa.int64()),
+                "prefix": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(grams)),
             })
+            yield rows.filter(pa.array([f > 0 and not (d in seen or seen.add(d)) for d, f in zip(digests.tolist(), first.tolist(), strict=True)], pa.bool_()))
 
     return prefixes
 
 
-def _possible(n, place, m, other, percent: int):
-    """Whether sets of n and m whose first shared n-gram stands at these places can share enough."""
-    least = -(-(n + m) * percent // (100 + percent))
-    return (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (np.minimum(n - place, m - other) >= least)
+def _shared_columns(twice, bits: int):
+    """The cells of columns that the filter of n-grams seen twice knows."""
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column(1)
+            column = prefix.flatten().to_numpy(zero_copy_only=False)
+            hit = seen_twice(twice.value, bits, column.view(np.uint64))
+            row = batch.column(0).to_numpy()[pc.list_parent_indices(prefix).to_numpy()]
+            yield pa.RecordBatch.from_pydict({"column": pa.array(column[hit]), "row": pa.array(row[hit])})
+
+    return shared
+
+
+def _may_be_similar(n, last, prefixes: list[np.ndarray], percent: int) -> np.ndarray:
+    """For all pairs of a block's rows: whether what they share of their prefixes leaves them a chance.
+
+    The product of the block's incidence matrix with itself counts the shared n-grams. Of two rows, the one whose prefix ends
+    earlier in the global order has shared all it can before that end; beyond it, it has only so many n-grams left.
+    """
+    size = np.array([len(p) for p in prefixes])
+    flat, row = np.concatenate(prefixes), np.repeat(np.arange(len(size)), size)
+    _, column, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    common = counts[column] > 1
+    number = np.cumsum(counts > 1) - 1
+    incidence = np.zeros((len(size), max(1, int((counts > 1).sum()))), np.float32)
+    incidence[row[common], number[column[common]]] = 1
+    shared = (incidence @ incidence.T).astype(np.int64)
+    rank = np.empty(len(size), np.int64)  # of the prefixes' ends in the global order
+    rank[np.lexsort((np.array([p[-1] for p in prefixes]).view(np.uint64), last))] = np.arange(len(size))
+    earlier = rank[:, None] <= rank[None, :]
+    left = np.where(earlier, (n - size)[:, None], (n - size)[None, :])
+    total = n[:, None] + n[None, :]
+    ratio = np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * percent
+    return ratio & (shared > 0) & (shared + left >= -(-total * percent // (100 + percent)))
 
 
 def _multiply(percent: int):
@@ -123,26 +159,44 @@ def _multiply(percent: int):
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = [], []
-            rows = batch.column(0).flatten()
-            row, n, place, group, block = (rows.field(i) for i in range(5))
-            n, place, group, block = (x.to_numpy(zero_copy_only=False) for x in (n, place, group, block))
+            cells = batch.column(0).flatten()
+            row, n, last, group, block = (cells.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+            prefix = cells.field(5)
+            grams, ends = prefix.flatten().to_numpy(zero_copy_only=False), prefix.offsets.to_numpy() - prefix.offsets[0].as_py()
             offsets = batch.column(0).offsets.to_numpy() - batch.column(0).offsets[0].as_py()
             across = batch.column(1).to_numpy(zero_copy_only=False)
             for a, b, other in zip(offsets[:-1], offsets[1:], across, strict=True):
-                for i in range(a, b - 1):
-                    j = np.arange(i + 1, b)
-                    ok = (group[j] != group[i]) & _possible(n[i], place[i], n[j], place[j], percent)
-                    if other:
-                        ok &= block[j] != block[i]
-                    j = j[ok]
-                    left.append(np.full(len(j), i))
-                    right.append(j)
+                own = group[a:b]
+                if (own == own[0]).all():
+                    continue
+                fits = _may_be_similar(n[a:b], last[a:b], [grams[ends[i] : ends[i + 1]] for i in range(a, b)], percent)
+                fits &= own[:, None] != own[None, :]
+                if other:
+                    fits &= block[a:b][:, None] != block[a:b][None, :]
+                x, y = np.nonzero(np.triu(fits, 1))
+                left.append(row[a:b][x])
+                right.append(row[a:b][y])
             if left:
-                yield pa.RecordBatch.from_arrays([row.take(pa.array(np.concatenate(x))) for x in (left, right)], names=["x", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (left, right)], names=["x", "y"])
 
     return multiply
 
 
+def _promising(percent: int):
+    """Single pairs that can be similar."""
+
+    def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(i).to_pylist() for i in (2, 3))
+            keep = []
+            for p, q in zip(x, y, strict=True):
+                n, last = np.array([p["n"], q["n"]]), np.array([p["last"], q["last"]])
+                keep.append(bool(_may_be_similar(n, last, [np.array(p["prefix"]), np.array(q["prefix"])], percent)[0, 1]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return promising
+
+
 def _overlap(percent: int):
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,15 +236,18 @@ class _Join:
         self.classes = written(named.groupBy("set").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("_n")))
 
     def cells(self) -> DataFrame:
-        """``column, row, n, place, members`` of the columns that decide and have more than one row."""
-        cells = self.base.mapInArrow(_prefixes(self.counts, self.size, self.percent), "column long, row long, n long, place long")
-        cells = written(cells.distinct())
+        """``column, row, members`` of the columns that decide and have more than one row."""
+        rows = self.base.mapInArrow(_prefixes(self.counts, self.size, self.percent), "row long, n long, last long, prefix array<long>")
+        self.rows = written(rows.dropDuplicates(["row"]))
+        many = self.rows.agg(F.sum(F.size("prefix"))).first()[0] or 0
+        twice, bits = twice_filter(self.rows.select(F.col("prefix").alias("hashes")), many)
+        cells = self.rows.select("row", "prefix").mapInArrow(_shared_columns(self.base.sparkSession.sparkContext.broadcast(twice), bits), "column long, row long")
+        cells = written(cells)
         shared = written(cells.groupBy("column").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("members", F.col("_n")))
         return written(lookup(cells, shared, ["column"], "_n", "inner"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The links among candidate pairs ``x, y``: the overlap of their whole sets is counted."""
-        pairs = written(pairs.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        """The links among candidate pairs ``a, b``: the overlap of their whole sets is counted."""
         rows = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
         ids = written(self.classes.join(rows, "set", "left_semi").select(F.col("least").alias("id")))
         texts = self.base.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
@@ -202,22 +259,29 @@ class _Join:
     def by_pivots(self, cells: DataFrame) -> DataFrame:
         """Links of crowded columns' rows with a few rows of the same column."""
         crowd = cells.where(F.col("members") > CROWD)
-        pivot = F.min(F.struct(F.xxhash64("row", "column").alias("o"), F.col("row").alias("x"), F.col("n").alias("m"), F.col("place").alias("other")))
-        pivots = crowd.groupBy("column", F.pmod(F.xxhash64("row"), F.lit(PIVOTS)).alias("salt")).agg(pivot.alias("p"), F.first("members").alias("_n"))
-        pairs = lookup(crowd.drop("members"), written(pivots.select("column", "p.*", "_n").drop("o")), ["column"], "_n", "inner")
-        least = F.ceil((F.col("n") + F.col("m")) * F.lit(self.percent) / F.lit(100 + self.percent))
-        fits = (F.least("n", "m") * 100 >= F.greatest("n", "m") * self.percent) & (F.least(F.expr("n - place"), F.expr("m - other")) >= least)
-        return self.verified(pairs.where(fits).select("x", F.col("row").alias("y")))
+        pivot = F.min(F.struct(F.xxhash64("row").alias("o"), F.col("row").alias("pivot"))).alias("p")
+        pivots = crowd.groupBy("column", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(PIVOTS)).alias("salt")).agg(pivot, F.first("members").alias("_n"))
+        pairs = lookup(crowd.drop("members"), written(pivots.select("column", "p.pivot", "_n")), ["column"], "_n", "inner").where("row != pivot")
+        pairs = written(pairs.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct())
+        about = F.struct("n", "last", "prefix")
+        x, y = self.rows.select(F.col("row").alias("a"), about.alias("x")), self.rows.select(F.col("row").alias("b"), about.alias("y"))
+        pairs = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+        return self.verified(written(pairs.mapInArrow(_promising(self.percent), "a long, b long")))
 
     def by_blocks(self, cells: DataFrame, known: DataFrame) -> DataFrame:
-        """Links of rows that are not known to be connected: all blocks of all columns."""
-        cells = cells.join(known, cells["row"] == known["node"], "left").withColumn("group", F.coalesce("component", "row"))
-        blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-        cells = cells.withColumn("block", F.pmod(F.xxhash64("row"), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        cell = F.struct("row", "n", "place", "group", "block")
-        product = cells.groupBy("column", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")).agg(F.collect_list(cell).alias("cells"))
-        product = product.where(F.size("cells") > 1).select("cells", (F.col("i") != F.col("j")).alias("across"))
-        return self.verified(product.mapInArrow(_multiply(self.percent), "x long, y long"))
+        """Links of rows that are not known to be connected: all blocks of all columns. Equal blocks are multiplied once."""
+        blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int").alias("blocks")
+        parts = cells.select("column", "row", blocks)
+        parts = parts.withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        lists = parts.groupBy("column", "blocks", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+        lists = lists.agg(F.sort_array(F.collect_list("row")).alias("list")).where(F.size("list") > 1)
+        lists = lists.groupBy("list", "blocks", (F.col("i") != F.col("j")).alias("across")).agg(F.count(F.lit(1)).alias("columns"))
+        lists = lists.select(F.xxhash64("list", "blocks", "across").alias("of"), "blocks", "across", F.explode("list").alias("row"))
+        about = self.rows.join(known, self.rows["row"] == known["node"], "left").withColumn("group", F.coalesce("component", "row"))
+        cell = F.struct("row", "n", "last", "group", F.pmod(F.xxhash64("row"), "blocks").alias("block"), "prefix")
+        product = written(lists).join(about.drop("node", "component"), "row").groupBy("of", "across").agg(F.collect_list(cell).alias("cells"))
+        pairs = product.select("cells", "across").mapInArrow(_multiply(self.percent), "x long, y long")
+        return self.verified(written(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90) -> DataFrame:

@@ -10,6 +10,7 @@ is unique in a shard is then compared between shards by hash.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,27 +116,32 @@ def _append(sent: list[list[np.ndarray]], text: np.ndarray, places: np.ndarray)
             sent[c].append(part)
 
 
-def _induce_each(text: list[int], small: list[bool], leftmost: list[int], sizes: np.ndarray) -> list[int]:
-    """As _induce, suffix by suffix, for the many symbols of a shortened text."""
-    n = len(text)
-    heads = [0, *np.cumsum(sizes)[:-1].tolist()]
-    tails = np.cumsum(sizes).tolist()
-    array = [-1] * n
+def _induce_each(before: tuple[list[int], list[int]], text: np.ndarray, leftmost: np.ndarray, sizes: np.ndarray) -> list[int]:
+    """As _induce, suffix by suffix, for the many symbols of a shortened text.
+
+    ``before`` has the symbol before each place if that is larger, and if it is smaller than its follower; else, and at the
+    end (which -1, an empty place, reads), -1.
+    """
+    heads, tails = (np.cumsum(sizes) - sizes).tolist(), np.cumsum(sizes).tolist()
+    array = [-1] * len(text)
     ends = tails.copy()
-    for i in reversed(leftmost):
-        ends[text[i]] -= 1
-        array[ends[text[i]]] = i
-    for k in range(n):
-        i = array[k] - 1
-        if i >= 0 and not small[i]:
-            array[heads[text[i]]] = i
-            heads[text[i]] += 1
-    for k in range(n - 1, -1, -1):
-        i = array[k] - 1
-        if i >= 0 and small[i]:
-            tails[text[i]] -= 1
-            array[tails[text[i]]] = i
-    array[0] = n - 1
+    larger, smaller = before
+    for i, c in zip(leftmost[::-1].tolist(), text[leftmost[::-1]].tolist(), strict=True):
+        ends[c] -= 1
+        array[ends[c]] = i
+    for i in array:  # what is put in goes to later places
+        c = larger[i]
+        if c >= 0:
+            array[heads[c]] = i - 1
+            heads[c] += 1
+    for k in range(len(array) - 1, -1, -1):
+        i = array[k]
+        c = smaller[i]
+        if c >= 0:
+            c_end = tails[c] - 1
+            tails[c] = c_end
+            array[c_end] = i - 1
+    array[0] = len(array) - 1
     return array
 
 
@@ -153,8 +159,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     if len(sizes) <= FEW_SYMBOLS:
         induce = lambda order: _induce(text, small, order, sizes)
     else:
-        symbols, kinds = text.tolist(), small.tolist()
-        induce = lambda order: np.array(_induce_each(symbols, kinds, order.tolist(), sizes))
+        before = [np.concatenate([[-1], np.where(small[:-1] == kind, text[:-1], -1), [-1]]).tolist() for kind in (False, True)]
+        induce = lambda order: np.array(_induce_each(before, text, order, sizes), np.int64)
     sorted_ = induce(leftmost)
     sorted_ = sorted_[star[sorted_]]
     names = np.empty(n, np.int64)
@@ -225,6 +231,8 @@ def repeated_windows(texts: list[bytes], length: int) -> tuple[np.ndarray, np.nd
     The third array names the content: equal windows have one number, that of their first in the suffix array.
     """
     data = np.frombuffer(bytes([SEPARATOR]).join([*texts, b""]), np.uint8)
+    if not len(data):
+        return np.zeros(0, bool), np.zeros(1, np.int64), np.zeros(0, np.int64)
     array = suffix_array(np.concatenate([data.astype(np.int64) + 1, [0]]))
     before, common = common_prefixes(data, array)
     array = array[array < len(data)]
@@ -273,7 +281,7 @@ def _pieces(keys: pa.Array, texts: pa.Array, length: int) -> Iterator[tuple[list
 
 
 def _anchors(length: int):
-    """For each anchor: its hash, its surroundings' hash, and where its windows begin and how many they are."""
+    """For each anchor: its hash, its surroundings' hash, where its windows begin and how many they are, and its place there."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = (np.uint64(1) << PLACE_BITS) - np.uint64(1)
@@ -300,6 +308,7 @@ def _anchors(length: int):
                     "anchor": pa.array(grams[place].view(np.int64)), "around": pa.array(around.view(np.int64)),
                     "key": pa.array(keys, pa.string()).take(pa.array(text)),
                     "start": pa.array(start - bounds[text] + np.array(offsets)[text], pa.int64()), "windows": pa.array(windows, pa.int32()),
+                    "place": pa.array(place - start, pa.int32()),
                 })
 
     return anchors
@@ -313,25 +322,52 @@ def _slice(length: int):
             rows = []
             for text, samples in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = text.encode()
-                rows += [(s["anchor"], s["around"], s["chunk"], s["chunks"], data[s["start"] : s["start"] + s["windows"] - 1 + length]) for s in samples]
-            names = ["anchor", "around", "chunk", "chunks", "bytes"]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                rows += [(s["anchor"], s["around"], s["chunk"], s["chunks"], s["place"], data[s["start"] : s["start"] + s["windows"] - 1 + length]) for s in samples]
+            names = ["anchor", "around", "chunk", "chunks", "place", "bytes"]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
             for i in range(0, len(rows), 10_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[i : i + 10_000], strict=True), kinds, strict=True)], names=names)
 
     return slice_
 
 
+def _trimmed(rows: list[tuple], length: int) -> list[tuple[int, int, int, int, bytes]]:
+    """Anchor, surroundings, chunks, first window and bytes, without windows that can't repeat.
+
+    A window goes half of what is beside its anchor to the left or, beyond that, to the right. If no other surroundings of
+    the anchor are equal there, its windows on that side are unique. Anchors in several chunks stay as they are.
+    """
+    half = (length - GRAM) // 2
+    sides: Counter = Counter()
+    keys = []
+    for anchor, _, _, _, place, data in rows:
+        left = (anchor, 0, data[place - half : place]) if place >= half else None
+        right = (anchor, 1, data[place + GRAM : place + GRAM + half]) if len(data) >= place + GRAM + half else None
+        sides.update(k for k in (left, right) if k)
+        keys.append((left, right))
+    parts = []
+    for (anchor, around, _, chunks, place, data), (left, right) in zip(rows, keys, strict=True):
+        low, high = 0, len(data) - length + 1
+        if chunks == 1:
+            border = max(0, place - half + 1)  # windows from here on go to the right
+            low = low if sides[left] > 1 else min(border, high)
+            high = high if sides[right] > 1 else min(border, high)
+        if low < high:
+            parts.append((anchor, around, chunks, low, data[low : high - 1 + length]))
+    return parts
+
+
 def _shards(length: int):
     """For surroundings in the order of their anchors: the windows that repeat in the shard, as ranges; of anchors in several
     chunks also every window's hash, once for each content in the shard, and whether it repeats there."""
 
     def shard(rows: list[tuple]) -> pa.RecordBatch:
-        repeats, bounds, content = repeated_windows([r[4] for r in rows], length)
+        parts = _trimmed(rows, length)
+        repeats, bounds, content = repeated_windows([p[4] for p in parts], length)
         out = {"anchor": [], "around": [], "low": [], "high": [], "window": []}
         seen: set[int] = set()
-        for (anchor, around, _, chunks, data), a, b in zip(rows, bounds[:-1], bounds[1:], strict=True):
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], repeats[a:b].astype(np.int8), [0]])))
+        for (anchor, around, chunks, shift, data), a, b in zip(parts, bounds[:-1], bounds[1:], strict=True):
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], repeats[a:b].astype(np.int8), [0]]))) + shift
             low, high, window = edge[::2].tolist(), (edge[1::2] - 1).tolist(), [None] * (len(edge) // 2)
             if chunks > 1:
                 all_ = hashing.Ranges(np.frombuffer(data, np.uint8)).all_of(length).view(np.int64).tolist()
@@ -354,7 +390,7 @@ def _shards(length: int):
                     yield shard(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[4])
+                size += len(row[5])
                 last = row[:1] + row[2:3]
         if rows:
             yield shard(rows)
@@ -382,15 +418,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_ranges(docs: DataFrame, key, text, length: int) -> DataFrame:
     """``key, start, end`` of bytes that windows occurring more than once cover; ranges may overlap."""
     base = docs.select(key.alias("key"), text.alias("text"))
-    anchors = written(base.mapInArrow(_anchors(length), "anchor long, around long, key string, start long, windows int"))
+    anchors = written(base.mapInArrow(_anchors(length), "anchor long, around long, key string, start long, windows int, place int"))
     counts = written(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
     anchors = written(lookup(anchors, counts, ["anchor"], "_n", "inner"))
-    sample = F.min(F.struct("key", "start", "windows")).alias("sample")
+    sample = F.min(F.struct("key", "start", "windows", "place")).alias("sample")
     around = written(anchors.groupBy("anchor", "around").agg(F.count(F.lit(1)).alias("_n"), sample).select("anchor", "around", "_n", "sample.*"))
     several = around.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("chunks", F.ceil(F.col("_n") / F.lit(CHUNK)).cast("int"))
     unlike = lookup(around.drop("_n"), written(several), ["anchor"], "_n", "inner").withColumn("chunk", F.pmod("around", "chunks").cast("int"))
-    samples = unlike.groupBy("key").agg(F.collect_list(F.struct("anchor", "around", "chunk", "chunks", "start", "windows")).alias("samples"))
-    schema = "anchor long, around long, chunk int, chunks int, bytes binary"
+    samples = unlike.groupBy("key").agg(F.collect_list(F.struct("anchor", "around", "chunk", "chunks", "place", "start", "windows")).alias("samples"))
+    schema = "anchor long, around long, chunk int, chunks int, place int, bytes binary"
     texts = written(base.dropDuplicates(["key"]).join(samples, "key").select("text", "samples").mapInArrow(_slice(length), schema))
     shards = max(1, -(-(texts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0) // (2 * SHARD_BYTES)))
     dealt = texts.repartition(shards, "anchor", "chunk").sortWithinPartitions("anchor", "chunk")
