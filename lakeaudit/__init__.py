@@ -7,14 +7,14 @@ from .plans.rules import RULES
 from .session import build_session
 from .sinks.report import write_report
 from .sources.manifest import build_manifest, discover_days
-from .streaming.runner import RunSummary, drain, review_next
+from .streaming.runner import Step, drain, review_next
 
 __all__ = [
     "Audit",
     "CONTRACT",
     "REQUIRED_DATASETS",
     "RULES",
-    "RunSummary",
+    "Step",
     "Snapshots",
     "audit",
     "build_manifest",

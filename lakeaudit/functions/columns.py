@@ -40,9 +40,9 @@ def all_present(columns: Sequence[Column | str]) -> Column:
     return reduce(lambda a, b: a & b, checks, F.lit(True))
 
 
-def saturating_long(column: Column) -> Column:
-    """Narrow a wide decimal total to BIGINT without an overflow error."""
-    return F.least(column, F.lit(Decimal(MAX_LONG))).cast("bigint")
+def exact_long(column: Column) -> Column:
+    """Narrow a wide decimal total to BIGINT; a total beyond its range fails the query instead of being clamped."""
+    return F.when(column > F.lit(Decimal(MAX_LONG)), F.raise_error(F.lit("a count exceeds BIGINT")).cast("bigint")).otherwise(column.cast("bigint"))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 RULE_SCHEMA = "rule_id string, severity string, status string, description string"
-MAX_EXAMPLES_PER_RULE = 25
 SEVERITIES = ("critical", "high", "medium", "low")
 
 
@@ -46,13 +45,17 @@ def rule_frame(spark: SparkSession, rules: Sequence[tuple[str, str, str, str]])
 
 
 def with_rule_defaults(findings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add status, severity and message. The catalogue has a fixed number of rows, so it is broadcast."""
+    """Add status, severity and message. A finding whose rule is not listed fails the query; it is never dropped."""
     defaults = rules.select("rule_id", "status", "severity", F.col("description").alias("message"))
-    return findings.join(F.broadcast(defaults), "rule_id")
+    unknown = F.raise_error(F.concat(F.lit("no such rule: "), F.coalesce("rule_id", F.lit("NULL")))).cast("string")
+    joined = findings.join(defaults, "rule_id", "left")
+    return joined.withColumn("status", F.when(F.col("status").isNull(), unknown).otherwise(F.col("status")))
 
 
-def cap_examples(findings: DataFrame, order: Sequence[str], limit: int = MAX_EXAMPLES_PER_RULE) -> DataFrame:
-    """Keep the example of the first ``limit`` example-carrying findings of each rule; keep every finding.
+def cap_examples(findings: DataFrame, order: Sequence[str], limit: int) -> DataFrame:
+    """For pages that are read by people; stored findings have all examples.
+
+    Keep the example of the first ``limit`` example-carrying findings of each rule; keep every finding.
 
     Spark limits the ranking on the map side, so at most ``limit`` rows per rule and task are
     shuffled. Only the boundary row of each rule travels back to the findings.
@@ -67,7 +70,7 @@ def cap_examples(findings: DataFrame, order: Sequence[str], limit: int = MAX_EXA
     boundary = ranked.groupBy("rule_id").agg(F.max("_key").alias("_last"), F.count(F.lit(1)).alias("_kept"))
     return (
         findings.withColumn("_key", key)
-        .join(F.broadcast(boundary), "rule_id", "left")
+        .join(boundary, "rule_id", "left")
         .withColumn("example", F.when((F.col("_kept") < limit) | (F.col("_key") <= F.col("_last")), F.col("example")))
         .drop("_key", "_last", "_kept")
     )

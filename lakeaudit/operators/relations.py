@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import all_present, null_safe_join, saturating_long
+from ..functions.columns import all_present, null_safe_join, exact_long
 
 
 @dataclass(frozen=True)
@@ -128,8 +128,8 @@ def key_agreement(parent: Relation, children: Sequence[Relation], scope: Sequenc
             F.lit(child.name).alias("relation"),
             F.col(f"_orphan{i}").alias("orphan_keys"),
             F.col(f"_childless{i}").alias("childless_keys"),
-            saturating_long(F.col(f"_mismatch{i}")).alias("mismatched_rows"),
-            saturating_long(F.col(f"_flagged{i}")).alias("flagged_rows"),
+            exact_long(F.col(f"_mismatch{i}")).alias("mismatched_rows"),
+            exact_long(F.col(f"_flagged{i}")).alias("flagged_rows"),
             F.col(f"_dup{i}").alias("duplicate_child_keys"),
             F.col("_dup0").alias("duplicate_parent_keys"),
         )

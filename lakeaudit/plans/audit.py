@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scope import part_date, part_label
-from ..operators.findings import as_findings, cap_examples, rule_counts, rule_frame, status_counts, with_rule_defaults
+from ..operators.findings import as_findings, rule_counts, rule_frame, status_counts, with_rule_defaults
 from ..session import materialize
 from ..sources.manifest import LakeFiles, build_manifest
 from ..sources.tables import read_tables
@@ -62,10 +62,10 @@ def table_rules(
 
 
 def finished(spark: SparkSession, found: DataFrame) -> DataFrame:
-    """Findings with catalogue defaults, labels, and examples capped per rule."""
+    """Findings with catalogue defaults, labels, and all their examples."""
     labelled = with_rule_defaults(found, rule_frame(spark, RULES)).select(
         "*", part_label("part_id").alias("partition"), part_date("part_id").alias("day"))
-    return cap_examples(labelled, ORDER).select("part_id", *FINDING_COLUMNS)
+    return labelled.select("part_id", *FINDING_COLUMNS)
 
 
 def audit(

@@ -2,127 +2,135 @@
 
 from __future__ import annotations
 
-# Column name, Arrow type in the parquet footer, and "null" where the column is nullable.
+# Column name, Arrow type in the parquet footer, and whether the column is nullable.
 # Order matters; all eight datasets are required in every partition.
-CONTRACT_TEXT = """
-flashblocks
-  payload_id fixed_size_binary[8]
-  index uint64
-  content_hash fixed_size_binary[32]
-  received_time_a timestamp[ns, tz=UTC] null
-  received_time_b timestamp[ns, tz=UTC] null
-  received_time_c timestamp[ns, tz=UTC] null
-  metadata_block_number uint64
-  parent_beacon_block_root fixed_size_binary[32] null
-  parent_hash fixed_size_binary[32] null
-  fee_recipient fixed_size_binary[20] null
-  prev_randao fixed_size_binary[32] null
-  base_block_number uint64 null
-  gas_limit uint64 null
-  block_timestamp timestamp[ms, tz=UTC] null
-  extra_data binary null
-  base_fee_per_gas fixed_size_binary[32] null
-  state_root fixed_size_binary[32]
-  receipts_root fixed_size_binary[32]
-  logs_bloom fixed_size_binary[256]
-  gas_used uint64
-  block_hash fixed_size_binary[32]
-  withdrawals_root fixed_size_binary[32]
-  blob_gas_used uint64 null
-  transaction_count uint64
-  withdrawal_count uint64
-  balance_change_count uint64
-  receipt_count uint64
-flashblock_withdrawals
-  payload_id fixed_size_binary[8]
-  index uint64
-  block_number uint64
-  withdrawal_ordinal uint64
-  withdrawal_index uint64
-  validator_index uint64
-  address fixed_size_binary[20]
-  amount uint64
-flashblock_transactions
-  payload_id fixed_size_binary[8]
-  index uint64
-  transaction_ordinal uint64
-  block_number uint64
-  transaction_hash fixed_size_binary[32]
-  transaction_type uint8
-  transaction_type_label string
-  from_address fixed_size_binary[20]
-  to_address fixed_size_binary[20] null
-  chain_id uint64 null
-  nonce uint64 null
-  gas_limit uint64
-  value fixed_size_binary[32]
-  gas_price fixed_size_binary[16] null
-  max_fee_per_gas fixed_size_binary[16] null
-  max_priority_fee_per_gas fixed_size_binary[16] null
-  input binary
-  signature_y_parity bool null
-  signature_r fixed_size_binary[32] null
-  signature_s fixed_size_binary[32] null
-  deposit_source_hash fixed_size_binary[32] null
-  deposit_mint fixed_size_binary[16] null
-  deposit_is_system_transaction bool null
-  is_contract_creation bool
-  input_selector fixed_size_binary[4] null
-  input_length uint64
-  transaction_rlp binary
-flashblock_transaction_access_list
-  payload_id fixed_size_binary[8]
-  index uint64
-  transaction_ordinal uint64
-  access_list_ordinal uint64
-  address fixed_size_binary[20]
-  storage_key_ordinal uint64 null
-  storage_key fixed_size_binary[32] null
-flashblock_transaction_authorizations
-  payload_id fixed_size_binary[8]
-  index uint64
-  transaction_ordinal uint64
-  authorization_ordinal uint64
-  chain_id fixed_size_binary[32]
-  address fixed_size_binary[20]
-  nonce uint64
-  y_parity uint8
-  r fixed_size_binary[32]
-  s fixed_size_binary[32]
-flashblock_receipts
-  payload_id fixed_size_binary[8]
-  index uint64
-  block_number uint64
-  transaction_hash fixed_size_binary[32]
-  receipt_type uint8
-  receipt_type_label string
-  status_kind string
-  status bool null
-  post_state_root fixed_size_binary[32] null
-  cumulative_gas_used uint64
-  deposit_nonce uint64 null
-  deposit_receipt_version uint64 null
-  log_count uint64
-flashblock_receipt_logs
-  payload_id fixed_size_binary[8]
-  index uint64
-  block_number uint64
-  transaction_hash fixed_size_binary[32]
-  log_ordinal uint64
-  address fixed_size_binary[20]
-  topic_count uint64
-  topic_0 fixed_size_binary[32] null
-  topic_1 fixed_size_binary[32] null
-  topic_2 fixed_size_binary[32] null
-  topic_3 fixed_size_binary[32] null
-  data binary
-flashblock_balance_changes
-  payload_id fixed_size_binary[8]
-  index uint64
-  block_number uint64
-  address fixed_size_binary[20]
-  balance fixed_size_binary[32]
-"""
+CONTRACT: dict[str, list[tuple[str, str, bool]]] = {
+    "flashblocks": [
+        ("payload_id", "fixed_size_binary[8]", False),
+        ("index", "uint64", False),
+        ("content_hash", "fixed_size_binary[32]", False),
+        ("received_time_a", "timestamp[ns, tz=UTC]", True),
+        ("received_time_b", "timestamp[ns, tz=UTC]", True),
+        ("received_time_c", "timestamp[ns, tz=UTC]", True),
+        ("metadata_block_number", "uint64", False),
+        ("parent_beacon_block_root", "fixed_size_binary[32]", True),
+        ("parent_hash", "fixed_size_binary[32]", True),
+        ("fee_recipient", "fixed_size_binary[20]", True),
+        ("prev_randao", "fixed_size_binary[32]", True),
+        ("base_block_number", "uint64", True),
+        ("gas_limit", "uint64", True),
+        ("block_timestamp", "timestamp[ms, tz=UTC]", True),
+        ("extra_data", "binary", True),
+        ("base_fee_per_gas", "fixed_size_binary[32]", True),
+        ("state_root", "fixed_size_binary[32]", False),
+        ("receipts_root", "fixed_size_binary[32]", False),
+        ("logs_bloom", "fixed_size_binary[256]", False),
+        ("gas_used", "uint64", False),
+        ("block_hash", "fixed_size_binary[32]", False),
+        ("withdrawals_root", "fixed_size_binary[32]", False),
+        ("blob_gas_used", "uint64", True),
+        ("transaction_count", "uint64", False),
+        ("withdrawal_count", "uint64", False),
+        ("balance_change_count", "uint64", False),
+        ("receipt_count", "uint64", False),
+    ],
+    "flashblock_withdrawals": [
+        ("payload_id", "fixed_size_binary[8]", False),
+        ("index", "uint64", False),
+        ("block_number", "uint64", False),
+        ("withdrawal_ordinal", "uint64", False),
+        ("withdrawal_index", "uint64", False),
+        ("validator_index", "uint64", False),
+        ("address", "fixed_size_binary[20]", False),
+        ("amount", "uint64", False),
+    ],
+    "flashblock_transactions": [
+        ("payload_id", "fixed_size_binary[8]", False),
+        ("index", "uint64", False),
+        ("transaction_ordinal", "uint64", False),
+        ("block_number", "uint64", False),
+        ("transaction_hash", "fixed_size_binary[32]", False),
+        ("transaction_type", "uint8", False),
+        ("transaction_type_label", "string", False),
+        ("from_address", "fixed_size_binary[20]", False),
+        ("to_address", "fixed_size_binary[20]", True),
+        ("chain_id", "uint64", True),
+        ("nonce", "uint64", True),
+        ("gas_limit", "uint64", False),
+        ("value", "fixed_size_binary[32]", False),
+        ("gas_price", "fixed_size_binary[16]", True),
+        ("max_fee_per_gas", "fixed_size_binary[16]", True),
+        ("max_priority_fee_per_gas", "fixed_size_binary[16]", True),
+        ("input", "binary", False),
+        ("signature_y_parity", "bool", True),
+        ("signature_r", "fixed_size_binary[32]", True),
+        ("signature_s", "fixed_size_binary[32]", True),
+        ("deposit_source_hash", "fixed_size_binary[32]", True),
+        ("deposit_mint", "fixed_size_binary[16]", True),
+        ("deposit_is_system_transaction", "bool", True),
+        ("is_contract_creation", "bool", False),
+        ("input_selector", "fixed_size_binary[4]", True),
+        ("input_length", "uint64", False),
+        ("transaction_rlp", "binary", False),
+    ],
+    "flashblock_transaction_access_list": [
+        ("payload_id", "fixed_size_binary[8]", False),
+        ("index", "uint64", False),
+        ("transaction_ordinal", "uint64", False),
+        ("access_list_ordinal", "uint64", False),
+        ("address", "fixed_size_binary[20]", False),
+        ("storage_key_ordinal", "uint64", True),
+        ("storage_key", "fixed_size_binary[32]", True),
+    ],
+    "flashblock_transaction_authorizations": [
+        ("payload_id", "fixed_size_binary[8]", False),
+        ("index", "uint64", False),
+        ("transaction_ordinal", "uint64", False),
+        ("authorization_ordinal", "uint64", False),
+        ("chain_id", "fixed_size_binary[32]", False),
+        ("address", "fixed_size_binary[20]", False),
+        ("nonce", "uint64", False),
+        ("y_parity", "uint8", False),
+        ("r", "fixed_size_binary[32]", False),
+        ("s", "fixed_size_binary[32]", False),
+    ],
+    "flashblock_receipts": [
+        ("payload_id", "fixed_size_binary[8]", False),
+        ("index", "uint64", False),
+        ("block_number", "uint64", False),
+        ("transaction_hash", "fixed_size_binary[32]", False),
+        ("receipt_type", "uint8", False),
+        ("receipt_type_label", "string", False),
+        ("status_kind", "string", False),
+        ("status", "bool", True),
+        ("post_state_root", "fixed_size_binary[32]", True),
+        ("cumulative_gas_used", "uint64", False),
+        ("deposit_nonce", "uint64", True),
+        ("deposit_receipt_version", "uint64", True),
+        ("log_count", "uint64", False),
+    ],
+    "flashblock_receipt_logs": [
+        ("payload_id", "fixed_size_binary[8]", False),
+        ("index", "uint64", False),
+        ("block_number", "uint64", False),
+        ("transaction_hash", "fixed_size_binary[32]", False),
+        ("log_ordinal", "uint64", False),
+        ("address", "fixed_size_binary[20]", False),
+        ("topic_count", "uint64", False),
+        ("topic_0", "fixed_size_binary[32]", True),
+        ("topic_1", "fixed_size_binary[32]", True),
+        ("topic_2", "fixed_size_binary[32]", True),
+        ("topic_3", "fixed_size_binary[32]", True),
+        ("data", "binary", False),
+    ],
+    "flashblock_balance_changes": [
+        ("payload_id", "fixed_size_binary[8]", False),
+        ("index", "uint64", False),
+        ("block_number", "uint64", False),
+        ("address", "fixed_size_binary[20]", False),
+        ("balance", "fixed_size_binary[32]", False),
+    ],
+}
 
 # Transaction type codes.
 TYPE_LABELS = {0: "legacy", 1: "eip2930", 2: "eip1559", 4: "eip7702", 126: "deposit"}
@@ -156,19 +164,4 @@ TYPE_CONTRACT = {
 
 STATUS_CONTRACT = {"eip658": (("status",), ("post_state_root",)), "post_state_root": (("post_state_root",), ("status",))}
 
-
-def _parse(text: str) -> dict[str, list[tuple[str, str, bool]]]:
-    contract: dict[str, list[tuple[str, str, bool]]] = {}
-    columns: list[tuple[str, str, bool]] = []
-    for line in text.strip().splitlines():
-        if not line.startswith(" "):
-            columns = contract.setdefault(line.strip(), [])
-            continue
-        name, kind = line.strip().split(" ", 1)
-        nullable = kind.endswith(" null")
-        columns.append((name, kind.removesuffix(" null"), nullable))
-    return contract
-
-
-CONTRACT = _parse(CONTRACT_TEXT)
 REQUIRED_DATASETS = tuple(CONTRACT)

@@ -633,13 +633,19 @@ def findings_by_rule(spark, sf_dir):
     return findings.rule_counts(_ship_findings(spark, sf_dir))
 
 
+@query("all_examples", _SHIP + "SELECT rule_id, day, count, example FROM f")
+def all_examples(spark, sf_dir):
+    rows = _ship_findings(spark, sf_dir).withColumn("day", F.date_from_unix_date(F.expr("part_id div 32").cast("int")))
+    return rows.select("rule_id", "day", "count", "example")
+
+
 @query("capped_examples", _SHIP + """
 SELECT rule_id, day, count, CASE WHEN example IS NOT NULL AND row_number() OVER (PARTITION BY rule_id, example IS NULL ORDER BY day) <= 25 THEN example END AS example
 FROM f
 """)
 def capped_examples(spark, sf_dir):
     rows = _ship_findings(spark, sf_dir).withColumn("day", F.date_from_unix_date(F.expr("part_id div 32").cast("int")))
-    return findings.cap_examples(rows, ["day"]).select("rule_id", "day", "count", "example")
+    return findings.cap_examples(rows, ["day"], limit=25).select("rule_id", "day", "count", "example")
 
 
 # --- incremental review -----------------------------------------------------------------------

@@ -116,34 +116,51 @@ def list_files(spark: SparkSession, root: str, date_from: date | None = None, da
     return listing.select("path", F.substring(F.col("path"), len(files.root) + 2, 2**31 - 1).alias("rel_path"))
 
 
+#: Bytes at a file's end that are read first; most footers fit.
+_FOOTER_TAIL = 1 << 16
+
+
 def _footer(path: str) -> dict:
-    """Footer facts of one file, on the executor that runs the task."""
+    """Footer facts of one file, on the executor that runs the task.
+
+    Only bytes that were read and are no footer make a file unreadable. A file system that can't be opened or does not
+    answer fails the task, which Spark tries again, and then the query: no file is called corrupt for that.
+    """
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
     from urllib.parse import quote, urlsplit
 
-    try:
-        if urlsplit(path).scheme in ("", "file"):
-            system, name = pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-        else:
+    if urlsplit(path).scheme in ("", "file"):
+        system, name = pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    else:
+        try:
             system, name = pafs.FileSystem.from_uri(quote(path, safe=":/=@"))
-        size = system.get_file_info(name).size
-        with system.open_input_file(name) as source:
-            file = pq.ParquetFile(source)
-            meta = file.metadata
-            groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
-            chunks = [g.column(i) for g in groups for i in range(g.num_columns)]
-            return {
-                "readable": True,
-                "row_count": meta.num_rows,
-                "file_size_bytes": size,
-                "row_groups": meta.num_row_groups,
-                "compressed_bytes": sum(c.total_compressed_size for c in chunks),
-                "uncompressed_bytes": sum(c.total_uncompressed_size for c in chunks),
-                "fields": [{"name": f.name, "type": str(f.type), "nullable": f.nullable} for f in file.schema_arrow],
-            }
+        except pa.ArrowInvalid as error:
+            raise ValueError(f"footers of this file system can't be read: {path}") from error
+    size = system.get_file_info(name).size
+    with system.open_input_file(name) as source:
+        source.seek(max(0, size - _FOOTER_TAIL))
+        tail = source.read()
+        wanted = int.from_bytes(tail[-8:-4], "little") + 8 if len(tail) >= 12 and tail.endswith(b"PAR1") else 0
+        if len(tail) < wanted <= size:
+            source.seek(size - wanted)
+            tail = source.read()
+    try:
+        meta = pq.read_metadata(pa.BufferReader(tail))
+        fields = meta.schema.to_arrow_schema()
     except (pa.ArrowException, OSError):
         return {"readable": False}
+    groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+    chunks = [g.column(i) for g in groups for i in range(g.num_columns)]
+    return {
+        "readable": True,
+        "row_count": meta.num_rows,
+        "file_size_bytes": size,
+        "row_groups": meta.num_row_groups,
+        "compressed_bytes": sum(c.total_compressed_size for c in chunks),
+        "uncompressed_bytes": sum(c.total_uncompressed_size for c in chunks),
+        "fields": [{"name": f.name, "type": str(f.type), "nullable": f.nullable} for f in fields],
+    }
 
 
 def _footer_reader(supported: str | None):
@@ -223,7 +240,9 @@ def discover_days(spark: SparkSession, root: str, max_days_back: int | None = No
         .distinct()
         .withColumn("has_files", F.lit(True))
     )
-    return folders.join(filled, "partition_date", "left").withColumn("has_files", F.coalesce("has_files", F.lit(False)))
+    looked_at = F.lit(True) if oldest is None else F.col("partition_date") >= F.lit(oldest)
+    known = F.when(looked_at, F.coalesce("has_files", F.lit(False)))  # NULL: older than the listing, not known
+    return folders.join(filled, "partition_date", "left").withColumn("has_files", known)
 
 
 def layout_errors(spark: SparkSession, root: str) -> list[str]:

@@ -33,6 +33,14 @@ def pending_days(days: DataFrame, reviewed: DataFrame, max_days_back: int = DEFA
     )
 
 
+def expired_days(days: DataFrame, reviewed: DataFrame, max_days_back: int = DEFAULT_MAX_DAYS_BACK) -> DataFrame:
+    """One row: how many days before the window were never reviewed, and the first and last of them."""
+    oldest = review_window(days, max_days_back).select("oldest_day")
+    missed = days.join(reviewed, "partition_date", "left_anti").join(oldest, F.col("partition_date") < F.col("oldest_day"))
+    return missed.agg(
+        F.count(F.lit(1)).alias("expired_days"), F.min("partition_date").alias("oldest_expired_day"), F.max("partition_date").alias("newest_expired_day"))
+
+
 def next_review(days: DataFrame, reviewed: DataFrame, max_days_back: int = DEFAULT_MAX_DAYS_BACK) -> DataFrame:
     """One row: ``status, target_day, blocked_day, pending_days``.
 

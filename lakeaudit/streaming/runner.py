@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,31 +28,30 @@ class ReviewStateError(ValueError):
     """The lake layout or the stored review state contradicts itself."""
 
 
-@dataclass(frozen=True)
-class RunSummary:
-    """What one review step did."""
-
-    status: str
-    working_directory: str
-    storage_directory: str
-    report_directory: str
-    blocked_day: date | None
-    latest_reviewed_day: date | None
-    discovered_day_count: int
-    pending_day_count: int
-    reviewed_day_count: int = 0
-    reviewed_partition_count: int = 0
-    fail_count: int = 0
-    warn_count: int = 0
-    metric_count: int = 0
-    has_failures: bool = False
-    rule_counts: dict[str, int] = field(default_factory=dict)
-
-    def exit_code(self) -> int:
-        return 1 if self.has_failures or self.status == "blocked" else 0
-
-    def payload(self) -> dict[str, object]:
-        return json.loads(json.dumps(asdict(self), default=str))
+class Days(NamedTuple):
+    """Where a review stands. ``expired`` days were never reviewed and are too old for the window."""
+
+    found: int
+    pending: int
+    expired: int
+    oldest_expired: date | None
+    blocked: date | None
+    latest: date | None
+
+
+class Step(NamedTuple):
+    """One review step: its state, the folder of its results, and what the audit's summary says (empty without an audit)."""
+
+    state: str
+    folder: str
+    lake: str
+    days: Days
+    audited: dict[str, object]
+
+    def record(self) -> dict[str, object]:
+        """The step as JSON values; the audit's own names are kept."""
+        known = {"state": self.state, "folder": self.folder, "lake": self.lake, "days": self.days._asdict()}
+        return json.loads(json.dumps({**known, **self.audited}, default=str))
 
 
 @dataclass(frozen=True)
@@ -114,7 +114,7 @@ def review_next(
     verify_hashes: bool = False,
     run_time: datetime | None = None,
     days: DataFrame | None = None,
-) -> RunSummary:
+) -> Step:
     """Review the next day of a ``year=/month=/day=/hour=`` lake and commit the advanced state.
 
     ``days`` (``partition_date, has_files``) overrides the discovered day folders.
@@ -123,7 +123,7 @@ def review_next(
         raise ValueError("max_days_back must not be negative")
     errors = layout_errors(spark, root)
     if errors:
-        raise ReviewStateError("; ".join(errors[:20]))
+        raise ReviewStateError("; ".join(errors))
     days = (discover_days(spark, root, max_days_back) if days is None else days).cache()
     try:
         state = load_state(spark, working)
@@ -134,25 +134,20 @@ def review_next(
         moment = (run_time or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H-%M-%SZ")
         run_id = f"{moment}-{state.sequence + 1:06d}"
         report = f"{working}/runs/{run_id}"
-        common = {
-            "status": plan["status"],
-            "working_directory": working,
-            "storage_directory": root,
-            "report_directory": report,
-            "blocked_day": plan["blocked_day"],
-            "discovered_day_count": window["discovered_days"],
-            "pending_day_count": plan["pending_days"],
-        }
+        old_days = review.expired_days(days, reviewed, max_days_back).first()
+        standing = Days(
+            window["discovered_days"], plan["pending_days"], old_days["expired_days"], old_days["oldest_expired_day"], plan["blocked_day"], state.latest)
+        step = Step(plan["status"], report, root, standing, {})
         oldest, target = window["oldest_day"], plan["target_day"]
         if target is None:
-            summary = RunSummary(**common, latest_reviewed_day=state.latest)
             write_findings(None, f"{report}/findings", spark)
-            _commit(spark, working, run_id, state, state.latest, reviewed, None, summary)
-            return summary
+            _commit(spark, working, run_id, state, state.latest, reviewed, None, step)
+            return step
         committed = _days_of(state.snapshots, oldest, target, False) if state.snapshots is not None else None
         done = audit(spark, root, target, target, verify_hashes, committed)
         latest = target if state.latest is None else max(state.latest, target)
-        summary = RunSummary(**common, latest_reviewed_day=latest, **_totals(done))
+        audited = {k: v for k, v in summary_payload(done).items() if k != "reviewed_partitions"}
+        step = step._replace(days=standing._replace(latest=latest), audited=audited)
         write_findings(done.findings, f"{report}/findings")
         kept = done.snapshots
         if state.snapshots is not None:
@@ -160,19 +155,13 @@ def review_next(
             audited = done.snapshots.partitions.select("part_id")
             kept = old.map(lambda f: f.join(audited, "part_id", "left_anti")).zip(
                 done.snapshots, lambda a, b: a.unionByName(b.select(*a.columns)))
-        _commit(spark, working, run_id, state, latest, review.advanced_reviewed(reviewed, target), kept, summary)
-        return summary
+        _commit(spark, working, run_id, state, latest, review.advanced_reviewed(reviewed, target), kept, step)
+        return step
     finally:
         days.unpersist()
 
 
-def _totals(done: Audit) -> dict[str, object]:
-    payload = summary_payload(done)
-    names = ("reviewed_partition_count", "reviewed_day_count", "fail_count", "warn_count", "metric_count", "has_failures", "rule_counts")
-    return {name: payload[name] for name in names}
-
-
-def _commit(spark, working, run_id, state, latest, reviewed, snapshots, summary: RunSummary) -> None:
+def _commit(spark, working, run_id, state, latest, reviewed, snapshots, step: Step) -> None:
     """Write the state of the run, then the commit row that makes it count."""
     run = f"{working}/runs/{run_id}"
     reviewed.coalesce(1).write.mode("errorifexists").json(f"{run}/reviewed_days")
@@ -181,17 +170,17 @@ def _commit(spark, working, run_id, state, latest, reviewed, snapshots, summary:
         snapshots_run = run_id
         for name in ("partitions", "physical", "mix"):
             getattr(snapshots, name).write.mode("errorifexists").parquet(f"{run}/snapshots/{name}")
-    payload = summary.payload()
+    payload = step.record()
     write_text(spark, json.dumps(payload, sort_keys=True), f"{run}/summary")
-    write_text(spark, markdown(payload, summary.storage_directory, "Lake review"), f"{run}/summary_page")
+    write_text(spark, markdown(payload, step.lake, "Lake review"), f"{run}/summary_page")
     row = [(state.sequence + 1, run_id, latest, snapshots_run)]
     spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{working}/commits")
 
 
-def drain(spark: SparkSession, root: str, working: str, **options) -> Iterator[RunSummary]:
+def drain(spark: SparkSession, root: str, working: str, **options) -> Iterator[Step]:
     """Review day after day until nothing is left to review. Yields every step, the last one included."""
     while True:
         step = review_next(spark, root, working, **options)
         yield step
-        if step.status != "validated":
+        if step.state != "validated":
             return

@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter, defaultdict
+from decimal import Decimal
 from statistics import median
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakeaudit.functions import columns
 from lakeaudit.functions.columns import U64_ZERO, ordered_long, unsigned
 from lakeaudit.functions.keccak import digests
 from lakeaudit.functions.presence import instant_in_partition
@@ -319,7 +321,7 @@ def test_instants_are_read_in_utc(spark):
 
 def test_example_cap_keeps_findings(spark):
     rows = spark.range(100).selectExpr("'r' AS rule_id", "id AS place", "CASE WHEN id % 2 = 0 THEN '{}' END AS example", "lpad(id, 3, '0') AS k")
-    kept = findings.cap_examples(rows, ["k"]).orderBy("place").collect()
+    kept = findings.cap_examples(rows, ["k"], limit=25).orderBy("place").collect()
     assert len(kept) == 100
     assert [r["place"] for r in kept if r["example"]] == list(range(0, 50, 2))
 
@@ -342,3 +344,23 @@ def test_hot_key_does_not_pile_up(spark):
     assert counts["count_mismatches"] == HOT - ones
     falls = ordered.backward_groups(left, ["k"], "ord", "attr").first()[0]
     assert falls == 1
+
+
+def test_unknown_rule_fails(spark):
+    rows = spark.createDataFrame([("known",), ("unknown",)], "rule_id string")
+    rules = findings.rule_frame(spark, [("known", "low", "warn", "a rule")])
+    with pytest.raises(Exception, match="no such rule: unknown"):
+        findings.with_rule_defaults(rows, rules).collect()
+
+
+def test_count_beyond_long_fails(spark):
+    rows = spark.createDataFrame([(Decimal(2**63),)], "n decimal(38,0)")
+    with pytest.raises(Exception, match="exceeds BIGINT"):
+        rows.select(columns.exact_long(F.col("n"))).collect()
+
+
+def test_unknown_file_system_is_no_corrupt_file():
+    from lakeaudit.sources import manifest
+
+    with pytest.raises(ValueError, match="file system"):
+        manifest._footer("nosuch://lake/file.parquet")

@@ -11,19 +11,21 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry  # noqa: E402
+from lakeaudit.plans import registry  # noqa: E402
 from tools.compare import normal  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 QUICK = (
     "dup_key", "ordinal_sequences", "orphan_null_keys", "count_reconcile_repeated_parents", "relation_summary", "monotonic", "row_shapes",
-    "distribution_wide", "label_mix", "count_drift", "review_next", "upsert_snapshots", "digest_verify", "footer_row_counts", "path_parsing",
+    "distribution_wide", "label_mix", "count_drift", "all_examples", "review_next", "upsert_snapshots", "digest_verify", "footer_row_counts", "path_parsing",
 )
-NAMES = list(entry.oracle_sql()) if os.environ.get("LAKEAUDIT_ALL_QUERIES") else QUICK
+NAMES = list(registry.oracle_sql()) if os.environ.get("LAKEAUDIT_ALL_QUERIES") else QUICK
 needs_data = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 
 
 def test_registry():
-    queries, oracle = entry.queries(), entry.oracle_sql()
+    queries, oracle = registry.queries(), registry.oracle_sql()
+    assert set(queries) <= set(entry.queries()) and set(oracle) <= set(entry.oracle_sql()) <= set(entry.queries())
     assert set(oracle) <= set(queries) and set(QUICK) <= set(oracle)
     assert set(queries) - set(oracle) == {"physical_stats", "schema_contract", "schema_differences"}
 

@@ -77,16 +77,16 @@ def test_runs_over_a_growing_lake(spark, tmp_path):
     for n in (5, 6, 7):
         g.write_partition(tmp_path / "lake", g.payload_tables(d(n)), d(n))
     steps = list(drain(spark, root, working, max_days_back=3))
-    assert [(s.status, s.latest_reviewed_day) for s in steps] == [
+    assert [(s.state, s.days.latest) for s in steps] == [
         ("validated", d(5)), ("validated", d(6)), ("validated", d(7)), ("idle", d(7))]
-    assert all(s.exit_code() == 0 and s.warn_count == 0 for s in steps)
+    assert all(s.audited.get('fail_count', 0) == s.audited.get('warn_count', 0) == 0 for s in steps)
 
     larger = g.merged(g.payload_tables(d(8)), g.payload_tables(d(8), 16, "second", 200))
     g.write_partition(tmp_path / "lake", larger, d(8))
     moment = datetime(2026, 4, 9, 6, tzinfo=timezone.utc)
     step = review_next(spark, root, working, 3, run_time=moment)
-    assert step.status == "validated" and step.rule_counts["dataset_physical_drift"] >= 1
-    assert "2026-04-09T06-00-00Z" in step.report_directory
+    assert step.state == "validated" and step.audited["rule_counts"]["dataset_physical_drift"] >= 1
+    assert "2026-04-09T06-00-00Z" in step.folder
 
     # A run that never committed is invisible; a late gap day is picked up; the latest day stays.
     (tmp_path / "work/runs/unfinished").mkdir()
@@ -95,9 +95,9 @@ def test_runs_over_a_growing_lake(spark, tmp_path):
     g.write_partition(tmp_path / "lake", damaged, d(9))
     (tmp_path / "lake/year=2026/month=04/day=10").mkdir(parents=True)
     failing, blocked = drain(spark, root, working, max_days_back=3)
-    assert failing.status == "validated" and failing.has_failures and failing.exit_code() == 1
-    assert failing.latest_reviewed_day == d(9)
-    assert blocked.status == "blocked" and blocked.blocked_day == d(10) and blocked.exit_code() == 1
+    assert failing.state == "validated" and failing.audited["has_failures"]
+    assert failing.days.latest == d(9)
+    assert blocked.state == "blocked" and blocked.days.blocked == d(10)
     state = load_state(spark, working)
     assert state.latest == d(9)
     assert sorted(r[0].day for r in state.reviewed.collect()) == [5, 6, 7, 8, 9]
@@ -114,11 +114,11 @@ def test_layout_and_state_are_refused(spark, tmp_path):
 def test_only_empty_days_block(spark, tmp_path):
     (tmp_path / "lake/year=2026/month=04/day=06").mkdir(parents=True)
     step = review_next(spark, str(tmp_path / "lake"), str(tmp_path / "work"), 0)
-    assert (step.status, step.blocked_day, step.latest_reviewed_day, step.exit_code()) == ("blocked", d(6), None, 1)
-    assert step.discovered_day_count == step.pending_day_count == 1
+    assert (step.state, step.days.blocked, step.days.latest, step.audited) == ("blocked", d(6), None, {})
+    assert step.days.found == step.days.pending == 1 and step.days.expired == 0
     assert load_state(spark, str(tmp_path / "work")).latest is None
     again = review_next(spark, str(tmp_path / "lake"), str(tmp_path / "work"), 0)
-    assert again.status == "blocked" and again.report_directory != step.report_directory
+    assert again.state == "blocked" and again.folder != step.folder
 
 
 def test_only_unsupported_paths_still_advance(spark, tmp_path):
@@ -126,5 +126,5 @@ def test_only_unsupported_paths_still_advance(spark, tmp_path):
     bad.parent.mkdir(parents=True)
     bad.write_bytes(b"bad")
     step = review_next(spark, str(tmp_path / "lake"), str(tmp_path / "work"), 0)
-    assert (step.status, step.reviewed_partition_count, step.latest_reviewed_day) == ("validated", 0, d(5))
-    assert step.rule_counts == {"partition_parse_error": 1}
+    assert (step.state, step.audited["reviewed_partition_count"], step.days.latest) == ("validated", 0, d(5))
+    assert step.audited["rule_counts"] == {"partition_parse_error": 1}
