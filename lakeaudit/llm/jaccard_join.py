@@ -7,7 +7,7 @@ n-grams; any order gives the same result, a good one few products. Columns with
 of blocks is multiplied by itself. Pairs whose shared first n-grams, with all that may follow, are too few for their sizes
 are dropped at once; the overlap of the others is counted exactly.
 
-Rows of equal sets are one row of the matrix. In crowded columns, rows are first compared with a few pivots; rows that are
+Rows of equal sets are one row of the matrix. In crowded columns, rows are first compared with a central one; rows that are
 thus known to be connected need not be compared again, so a large group of near copies costs about as many comparisons as
 it has members.
 """
@@ -33,8 +33,8 @@ COUNTERS = 1 << 20
 SEGMENTS = 64
 #: Members of a column's block.
 BLOCK = 512
-#: Columns with more members are first compared with pivots, so many for each column.
-CROWD, PIVOTS = 24, 4
+#: Rows of columns with more members are first compared with the column's pivot.
+CROWD = 2
 #: So many ids at most are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1 << 20
 
@@ -257,10 +257,14 @@ class _Join:
         return written(sides.mapInArrow(_overlap(self.percent), "a long, b long"))
 
     def by_pivots(self, cells: DataFrame) -> DataFrame:
-        """Links of crowded columns' rows with a few rows of the same column."""
+        """Links of the rows of crowded columns with the most central row of the column.
+
+        That is the row with the most shared columns: what is copied has them all, an edited copy lacks some.
+        """
         crowd = cells.where(F.col("members") > CROWD)
-        pivot = F.min(F.struct(F.xxhash64("row").alias("o"), F.col("row").alias("pivot"))).alias("p")
-        pivots = crowd.groupBy("column", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(PIVOTS)).alias("salt")).agg(pivot, F.first("members").alias("_n"))
+        central = crowd.groupBy("row").agg((-F.count(F.lit(1))).alias("o"))
+        pivot = F.min(F.struct("o", F.xxhash64("row").alias("h"), F.col("row").alias("pivot"))).alias("p")
+        pivots = crowd.join(central, "row").groupBy("column").agg(pivot, F.first("members").alias("_n"))
         pairs = lookup(crowd.drop("members"), written(pivots.select("column", "p.pivot", "_n")), ["column"], "_n", "inner").where("row != pivot")
         pairs = written(pairs.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct())
         about = F.struct("n", "last", "prefix")
@@ -270,16 +274,19 @@ class _Join:
 
     def by_blocks(self, cells: DataFrame, known: DataFrame) -> DataFrame:
         """Links of rows that are not known to be connected: all blocks of all columns. Equal blocks are multiplied once."""
+        known = known.select(F.col("node").alias("row"), "component")
+        cells = cells.join(known, "row", "left").withColumn("group", F.coalesce("component", "row")).drop("component")
+        open_ = cells.groupBy("column").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("column")
+        cells = written(cells).join(written(open_), "column", "left_semi")
         blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int").alias("blocks")
-        parts = cells.select("column", "row", blocks)
+        parts = cells.select("column", "row", "group", blocks)
         parts = parts.withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         lists = parts.groupBy("column", "blocks", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
-        lists = lists.agg(F.sort_array(F.collect_list("row")).alias("list")).where(F.size("list") > 1)
+        lists = lists.agg(F.sort_array(F.collect_list(F.struct("row", "group"))).alias("list")).where(F.size("list") > 1)
         lists = lists.groupBy("list", "blocks", (F.col("i") != F.col("j")).alias("across")).agg(F.count(F.lit(1)).alias("columns"))
-        lists = lists.select(F.xxhash64("list", "blocks", "across").alias("of"), "blocks", "across", F.explode("list").alias("row"))
-        about = self.rows.join(known, self.rows["row"] == known["node"], "left").withColumn("group", F.coalesce("component", "row"))
+        lists = written(lists.select(F.xxhash64("list", "blocks", "across").alias("of"), "blocks", "across", F.explode("list").alias("c")).select("*", "c.*").drop("c"))
         cell = F.struct("row", "n", "last", "group", F.pmod(F.xxhash64("row"), "blocks").alias("block"), "prefix")
-        product = written(lists).join(about.drop("node", "component"), "row").groupBy("of", "across").agg(F.collect_list(cell).alias("cells"))
+        product = lists.join(self.rows, "row").groupBy("of", "across").agg(F.collect_list(cell).alias("cells"))
         pairs = product.select("cells", "across").mapInArrow(_multiply(self.percent), "x long, y long")
         return self.verified(written(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
 
