@@ -110,18 +110,19 @@ def leaks(
     """
     windows = written(benchmark_windows(benchmark, item_col, item_text_col, window, literal_percent))
     single = windows.where("width = 1").limit(1).count() > 0
-    tokens = _tokens(docs, row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), text_col=text_col)
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    tokens = _tokens(keyed, F.col("key"), text_col="text")
     following = F.concat(F.slice("tokens", F.lit(2), F.size("tokens")), F.array(F.lit("")))
     pairs = F.zip_with("tokens", following, lambda a, b: F.xxhash64(a, b))
     if single:  # items of one token are entered under it alone
         pairs = F.concat(pairs, F.transform("tokens", lambda t: F.xxhash64(t)))
-    tokens = tokens.withColumn("pairs", pairs)  # a column first, and outer: exploding neither copies the other arrays for each pair nor filters by size, which would do all twice
+    # Only key and place go with each pair; outer, as a filter by size would compute all tokens twice.
+    found = tokens.select("key", pairs.alias("pairs")).select("key", F.posexplode_outer("pairs").alias("pos", "pair"))
+    found = written(found.join(F.broadcast(windows) if windows.count() <= BROADCAST_WINDOWS else windows, "pair").distinct())
+    keys = written(found.select("key").distinct())
+    some = keyed.dropDuplicates(["key"]) if keys.count() > BROADCAST_WINDOWS else keyed.join(F.broadcast(keys), "key", "left_semi").dropDuplicates(["key"])
+    hits = _tokens(some, F.col("key"), F.col("id"), text_col="text").join(found, "key")
     place = F.pmod(F.col("pos"), F.size("tokens"))
-    if windows.count() <= BROADCAST_WINDOWS:
-        hits = tokens.select("key", "id", "tokens", "values", F.posexplode_outer("pairs").alias("pos", "pair")).join(F.broadcast(windows), "pair")
-    else:
-        found = tokens.select("key", F.posexplode_outer("pairs").alias("pos", "pair")).join(windows, "pair").distinct()
-        hits = tokens.drop("pairs").dropDuplicates(["key"]).join(found, "key")
     hits = hits.withColumn("first_token", place - F.col("shift")).where("first_token >= 0 AND first_token + width <= size(tokens)")
     cut = lambda c: F.slice(c, F.greatest(F.col("first_token") + 1, F.lit(1)), F.col("width"))
     hits = hits.withColumn("tokens", cut("tokens")).withColumn("values", cut("values")).where(F.xxhash64("tokens") == F.col("hash"))
