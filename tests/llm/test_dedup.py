@@ -215,3 +215,21 @@ def test_passages_edges(spark):
     rows = [(None, words, *[None] * 5), (2, "x " + words, *[None] * 5), (3, None, *[None] * 5), (4, "", *[None] * 5), (5, "a b", *[None] * 5)]
     got = compact_windows.similar_passages(frame(spark, rows)).collect()
     assert got and {r.class_id for r in got} == {2} and {i for r in got for i in (r.id, r.other_id)} == {None, 2}
+
+
+def test_passages_of_frequent_lines(spark):
+    """Documents of few frequent lines in changing order: what they share has other, unrelated texts at its signatures' ends."""
+    rng = random.Random(4)
+    stock = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(15)) for _ in range(12)]
+    rows = [(i, " ".join(rng.sample(stock, 4)), *[None] * 5) for i in range(400)]
+    got = compact_windows.similar_passages(frame(spark, rows)).collect()
+    group = {i: r.class_id for r in got for i in (r.id, r.other_id)}
+    first: dict = {}
+    links = []
+    for i, text, *_ in rows:
+        words = text.split()
+        for k in range(len(words) - 43):
+            other = first.setdefault(tuple(words[k : k + 44]), i)
+            if other != i:
+                links.append((other, i))
+    assert len(links) > 100 and not [(a, b) for a, b in links if a not in group or group.get(a) != group.get(b)]
