@@ -30,7 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark, re-parameterised or not."""
-    return templates.drop_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return templates.drop_leaks(docs, read(spark, sf_dir, "benchmark"), verbatim=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,7 +52,7 @@ FROM keyed GROUP BY doc_id
 
 
 def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = templates.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    found = templates.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), verbatim=True)
     return found.drop("key").withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 

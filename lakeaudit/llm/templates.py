@@ -24,6 +24,8 @@ LITERAL_PERCENT = 40
 BROADCAST_WINDOWS = 1 << 17
 #: Marks that stand for nothing in any text: a name's beginning, and the point or comma within a number.
 NAME, POINT = "", ""
+#: The beginning of a word that has a capital because a text, sentence, line or quotation begins there, or that is a name.
+START = ""
 NUM_SLOT, NAME_SLOT, UNIT_SLOT = "", "", ""
 #: Units that may follow a number (fixed list of common ones).
 UNITS = (
@@ -34,18 +36,28 @@ UNITS = (
 ).split()
 
 
-def _normal(text: Column) -> Column:
-    """Tokens joined by one space, in lower case. Names begin with NAME (neighbouring ones are one token), numbers are whole."""
-    text = F.translate(F.coalesce(text, F.lit("")), NAME + POINT + NUM_SLOT + NAME_SLOT + UNIT_SLOT, "")
+def _marked(text: Column) -> Column:
+    """Tokens joined by one space, in lower case. Names begin with NAME, other words with a capital with START; numbers are whole."""
+    text = F.translate(F.coalesce(text, F.lit("")), NAME + POINT + START + NUM_SLOT + NAME_SLOT + UNIT_SLOT, "")
     # A capital after a word and a space, not after the end of a sentence or line, begins a name.
     text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;)] )(?=\p{Lu}\p{Ll})", NAME)
+    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}\p{{M}}{NAME}])(?=\p{{Lu}}\p{{Ll}})", START)
     text = F.regexp_replace(text, r"(?<=\p{N})[.,](?=\p{N})", POINT)
     text = F.regexp_replace(text, r"(?<=\p{N})(?=\p{L})|(?<=\p{L})(?=\p{N})", " ")
-    text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\p{{M}}{NAME}{POINT}]+", " ")
-    text = F.regexp_replace(text, f"({NAME}[^ ]+) (?={NAME})", "$1")
+    text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\p{{M}}{NAME}{POINT}{START}]+", " ")
     return F.trim(F.lower(text))
 
 
+def _readings(marked: Column) -> Column:
+    """The two ways to read a text, ``loose`` and ``normal``: words with START as they are, or as names. Neighbouring names are one token.
+
+    A name does not go on beyond a START: a sentence may begin there.
+    """
+    strict = F.regexp_replace(F.translate(marked, START, ""), f"({NAME}[^ ]+) (?={NAME})", "$1")
+    loose = F.translate(F.regexp_replace(marked, f"([{NAME}{START}][^ ]+) (?={NAME})", "$1"), START, NAME)
+    return F.array(*[F.struct(F.lit(x).alias("loose"), normal.alias("normal")) for x, normal in ((False, strict),)])
+
+
 def _template(normal: Column) -> Column:
     """The same tokens with placeholders."""
     text = F.regexp_replace(normal, rf"(?<![^ ])\p{{N}}[^ ]*", NUM_SLOT)
@@ -54,9 +66,11 @@ def _template(normal: Column) -> Column:
 
 
 def _tokens(table: DataFrame, *keys: Column, text_col: str) -> DataFrame:
-    """``tokens`` of the template and ``values``, the same tokens as they stand in the text."""
-    out = table.where(F.col(text_col).rlike(r"[\p{L}\p{N}]")).select(*keys, _normal(F.col(text_col)).alias("normal"))
-    return out.select(*[k for k in out.columns if k != "normal"], F.split(_template(F.col("normal")), " ").alias("tokens"), F.split("normal", " ").alias("values"))
+    """For both readings, ``loose`` or not: ``tokens`` of the template and ``values``, the same tokens as they stand in the text."""
+    out = table.where(F.col(text_col).rlike(r"[\p{L}\p{N}]")).select(*keys, F.explode(_readings(_marked(F.col(text_col)))).alias("reading"))
+    names = [k for k in out.columns if k != "reading"]
+    out = out.select(*names, "reading.loose", "reading.normal")
+    return out.select(*names, "loose", F.split(_template(F.col("normal")), " ").alias("tokens"), F.split("normal", " ").alias("values"))
 
 
 def _is_slot(token: Column) -> Column:
@@ -73,18 +87,22 @@ def _letters(tokens: Column, i: Column) -> Column:
     return size(F.get(tokens, i)) + size(F.get(tokens, i + 1))
 
 
-def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, literal_percent: int) -> DataFrame:
-    """``item, pair, shift, width, hash, slots`` of each window: the pair it is entered under, and that pair's place in it."""
+def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, literal_percent: int, verbatim: bool = False) -> DataFrame:
+    """``item, loose, exact, pair, shift, width, hash, slots`` of each window: the pair it is entered under, and that pair's place in it.
+
+    With ``verbatim``, windows with too few literal tokens are kept as exact ones, entered under a pair of values.
+    """
     items = _tokens(benchmark.where(F.col(id_col).isNotNull()), F.col(id_col).alias("item"), text_col=text_col)
     start = F.explode(F.sequence(F.lit(1), F.greatest(F.size("tokens") - window + 1, F.lit(1))))
-    cut = items.select("item", "tokens", "values", start.alias("start"))
-    cut = cut.select("item", F.slice("tokens", F.col("start"), window).alias("tokens"), F.slice("values", F.col("start"), window).alias("values"))
-    cut = cut.where(F.size(F.filter("tokens", lambda t: ~_is_slot(t))) * 100 >= F.size("tokens") * literal_percent)
+    cut = items.select("item", "loose", "tokens", "values", start.alias("start"))
+    cut = cut.select("item", "loose", F.slice("tokens", F.col("start"), window).alias("tokens"), F.slice("values", F.col("start"), window).alias("values"))
+    cut = cut.withColumn("exact", F.size(F.filter("tokens", lambda t: ~_is_slot(t))) * 100 < F.size("tokens") * literal_percent)
+    cut = (cut if verbatim else cut.where("NOT exact")).withColumn("under", F.when(F.col("exact"), F.col("values")).otherwise(F.col("tokens")))
     places = F.sequence(F.lit(0), F.greatest(F.size("tokens") - 2, F.lit(0)))
-    best = F.array_max(F.transform(places, lambda i: F.struct(_letters(F.col("tokens"), i).alias("letters"), (-i).alias("i"))))
+    best = F.array_max(F.transform(places, lambda i: F.struct(_letters(F.col("under"), i).alias("letters"), (-i).alias("i"))))
     cut = cut.withColumn("shift", -best["i"]).withColumn("width", F.size("tokens"))
-    pair = F.when(F.col("width") > 1, _pair(F.col("tokens"), F.col("shift"))).otherwise(F.xxhash64(F.get("tokens", F.lit(0))))
-    return cut.select("item", pair.alias("pair"), "shift", "width", F.xxhash64("tokens").alias("hash"), _slots("tokens", "values").alias("slots")).distinct()
+    pair = F.when(F.col("width") > 1, _pair(F.col("under"), F.col("shift"))).otherwise(F.xxhash64(F.get("under", F.lit(0))))
+    return cut.select("item", "loose", "exact", pair.alias("pair"), "shift", "width", F.xxhash64("tokens").alias("hash"), _slots("tokens", "values").alias("slots")).distinct()
 
 
 def _slots(tokens: str, values: str) -> Column:
@@ -98,40 +116,47 @@ def _consistent(mine: Column, theirs: Column) -> Column:
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    window: int = WINDOW, literal_percent: int = LITERAL_PERCENT,
+    window: int = WINDOW, literal_percent: int = LITERAL_PERCENT, verbatim: bool = False,
 ) -> DataFrame:
     """One row ``key, id, item, n_windows, n_same, first_token, last_token`` for each document and benchmark item that share a window.
 
     ``n_windows`` counts the places in the document; ``n_same`` those whose slot values are the benchmark's own; the tokens
-    are the first and last of all shared windows. ``key`` names the row by id and text (:func:`row_key`). A window must not
-    have more than (100 - literal_percent) percent placeholders. An item of fewer tokens than a window is one window; items
+    are the first and last of all shared windows. ``key`` names the row by id and text (:func:`row_key`). A window with
+    more than (100 - literal_percent) percent placeholders matches nothing, or with ``verbatim`` only its own slot values.
+    Texts are read twice, with capitalised words at the start of a sentence as words and as names; counts and places are
+    those of the reading with more windows, in tokens of that reading. An item of fewer tokens than a window is one window; items
     without tokens or id match nothing, nor do NULL and empty texts. Repeated rows share one row of the result. Empty
     tables give no rows. Other columns are not looked at, whatever their names.
     """
-    windows = written(benchmark_windows(benchmark, item_col, item_text_col, window, literal_percent))
+    windows = written(benchmark_windows(benchmark, item_col, item_text_col, window, literal_percent, verbatim))
     single = windows.where("width = 1").limit(1).count() > 0
     keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     tokens = _tokens(keyed, F.col("key"), text_col="text")
-    following = F.concat(F.slice("tokens", F.lit(2), F.size("tokens")), F.array(F.lit("")))
-    pairs = F.zip_with("tokens", following, lambda a, b: F.xxhash64(a, b))
-    if single:  # items of one token are entered under it alone
-        pairs = F.concat(pairs, F.transform("tokens", lambda t: F.xxhash64(t)))
+    parts = []
+    for c in ("tokens", "values") if verbatim else ("tokens",):
+        following = F.concat(F.slice(c, F.lit(2), F.size(c)), F.array(F.lit("")))
+        parts.append(F.zip_with(c, following, lambda a, b: F.xxhash64(a, b)))
+        if single:  # items of one token are entered under it alone
+            parts.append(F.transform(c, lambda t: F.xxhash64(t)))
+    pairs = F.concat(*parts)
     # Only key and place go with each pair; outer, as a filter by size would compute all tokens twice.
-    found = tokens.select("key", pairs.alias("pairs")).select("key", F.posexplode_outer("pairs").alias("pos", "pair"))
-    found = written(found.join(F.broadcast(windows) if windows.count() <= BROADCAST_WINDOWS else windows, "pair").distinct())
+    found = tokens.select("key", "loose", pairs.alias("pairs")).select("key", "loose", F.posexplode_outer("pairs").alias("pos", "pair"))
+    found = written(found.join(F.broadcast(windows) if windows.count() <= BROADCAST_WINDOWS else windows, ["pair", "loose"]).distinct())
     keys = written(found.select("key").distinct())
     some = keyed.dropDuplicates(["key"]) if keys.count() > BROADCAST_WINDOWS else keyed.join(F.broadcast(keys), "key", "left_semi").dropDuplicates(["key"])
-    hits = _tokens(some, F.col("key"), F.col("id"), text_col="text").join(found, "key")
+    hits = _tokens(some, F.col("key"), F.col("id"), text_col="text").join(found, ["key", "loose"])
     place = F.pmod(F.col("pos"), F.size("tokens"))
     hits = hits.withColumn("first_token", place - F.col("shift")).where("first_token >= 0 AND first_token + width <= size(tokens)")
     cut = lambda c: F.slice(c, F.greatest(F.col("first_token") + 1, F.lit(1)), F.col("width"))
     hits = hits.withColumn("tokens", cut("tokens")).withColumn("values", cut("values")).where(F.xxhash64("tokens") == F.col("hash"))
-    hits = hits.withColumn("own", _slots("tokens", "values")).where(_consistent(F.col("own"), F.col("slots")))
-    places = hits.groupBy("key", "id", "item", "first_token").agg(F.max("width").alias("width"), F.max((F.col("own") == F.col("slots")).cast("int")).alias("same"))
-    return places.groupBy("key", "id", "item").agg(
+    hits = hits.withColumn("own", _slots("tokens", "values")).where((F.col("own") == F.col("slots")) | (~F.col("exact") & _consistent(F.col("own"), F.col("slots"))))
+    places = hits.groupBy("key", "id", "item", "loose", "first_token").agg(F.max("width").alias("width"), F.max((F.col("own") == F.col("slots")).cast("int")).alias("same"))
+    readings = places.groupBy("key", "id", "item", "loose").agg(
         F.count(F.lit(1)).alias("n_windows"), F.sum("same").alias("n_same"), F.min("first_token").cast("long").alias("first_token"),
         F.max(F.col("first_token") + F.col("width") - 1).cast("long").alias("last_token"),
     )
+    best = F.max(F.struct("n_windows", ~F.col("loose"), "n_same", "first_token", "last_token")).alias("best")
+    return readings.groupBy("key", "id", "item").agg(best).select("key", "id", "item", *[f"best.{c}" for c in ("n_windows", "n_same", "first_token", "last_token")])
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

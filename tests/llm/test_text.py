@@ -143,6 +143,15 @@ def test_templates(spark, monkeypatch, broadcast):
     assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in docs if d not in {a for a, _ in got})
 
 
+def test_templates_of_slots(spark):
+    """An item of numbers and units: a verbatim copy is found, other numbers are not."""
+    items = [(1, "3 + 4 km = 7 km; 5 + 12 = 17, 8, 13, 21, 34, 55, 89, 144")]
+    docs = [(1, "we see 3 + 4 km = 7 km; 5 + 12 = 17, 8, 13, 21, 34, 55, 89, 144 here"), (2, "we see 1 + 4 km = 5 km; 5 + 12 = 17, 8, 13, 21, 34, 56, 90, 146 here")]
+    table, bench = frame(spark, [(i, t, *NONE) for i, t in docs]), spark.createDataFrame(items, "item_id int, text string")
+    got = templates.leaks(table, bench, verbatim=True).collect()
+    assert [(r.id, r.item) for r in got] == [(1, 1)] and got[0].n_same == got[0].n_windows > 0
+
+
 def test_templates_empty(spark):
     docs, bench = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id int, text string")
     assert templates.leaks(docs, bench).count() == 0 and templates.drop_leaks(frame(spark), bench).count() == len(corpus())
