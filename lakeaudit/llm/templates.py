@@ -55,7 +55,7 @@ def _readings(marked: Column) -> Column:
     """
     strict = F.regexp_replace(F.translate(marked, START, ""), f"({NAME}[^ ]+) (?={NAME})", "$1")
     loose = F.translate(F.regexp_replace(marked, f"([{NAME}{START}][^ ]+) (?={NAME})", "$1"), START, NAME)
-    return F.array(*[F.struct(F.lit(x).alias("loose"), normal.alias("normal")) for x, normal in ((False, strict),)])
+    return F.array(*[F.struct(F.lit(x).alias("loose"), normal.alias("normal")) for x, normal in ((False, strict), (True, loose))])
 
 
 def _template(normal: Column) -> Column:

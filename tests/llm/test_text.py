@@ -152,6 +152,17 @@ def test_templates_of_slots(spark):
     assert [(r.id, r.item) for r in got] == [(1, 1)] and got[0].n_same == got[0].n_windows > 0
 
 
+def test_templates_of_initial_names(spark):
+    """Names that begin a text or sentence are slots as well, wherever the copy has them."""
+    items = [(1, "Anna has 5 apples. Ben has 3 apples. How many more does Anna have than Ben?"), (2, "Maria Lopez walks along the river")]
+    docs = [
+        (1, "By Karl. Otto has 7 apples. Emma has 2 apples. How many more does Otto have than Emma?"), (2, "and Otto has 7 apples. Emma has 2 apples. How many more does Otto have than Emma?"),
+        (3, "Otto has 7 apples. Emma has 2 apples. How many more does Emma have than Emma?"), (4, "today Karl Graf walks along the river"), (5, items[0][1]),
+    ]
+    table, bench = frame(spark, [(i, t, *NONE) for i, t in docs]), spark.createDataFrame(items, "item_id int, text string")
+    assert {(r.id, r.item) for r in templates.leaks(table, bench).collect()} == {(1, 1), (2, 1), (4, 2), (5, 1)}
+
+
 def test_templates_empty(spark):
     docs, bench = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id int, text string")
     assert templates.leaks(docs, bench).count() == 0 and templates.drop_leaks(frame(spark), bench).count() == len(corpus())
