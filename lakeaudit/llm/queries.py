@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compact_windows, exact_dedup, jaccard_join, kneser_ney, line_dedup, suffix_array, surrogates, templates, warc
+from . import bpe, compact_windows, exact_dedup, jaccard_join, kneser_ney, line_dedup, prefix_trie, suffix_array, surrogates, templates, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,48 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = written(prefix_trie.conversations(read(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(prefix_trie.spliced(own, group=5, modulus=9)).drop("path")
+
+
+OP12_SQL = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'digest': md5(concat(strlen(role), ':', role, text)), 'bytes': strlen(text)}
+         ORDER BY turn NULLS FIRST, md5(concat(strlen(role), ':', role, text))) AS path
+  FROM turns GROUP BY conv_id),
+bytes_left AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS rest, 4294967295::BIGINT AS crc FROM own
+  UNION ALL
+  SELECT conv_id, rest[2:], list_reduce(list_concat([xor(crc, ascii(rest)::BIGINT)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+         lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END)
+  FROM bytes_left WHERE rest <> ''),
+cuts AS (SELECT conv_id, xor(crc, 4294967295::BIGINT) % 9 AS h FROM bytes_left WHERE rest = ''),
+rebuilt AS (
+  SELECT own.conv_id, list_concat(coalesce(base.path[1:h], []), own.path[h + 1:]) AS path
+  FROM own JOIN cuts USING (conv_id) LEFT JOIN own AS base ON base.conv_id = own.conv_id - own.conv_id % 5),
+steps AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM rebuilt),
+beginnings AS (SELECT conv_id, depth, len(path) = depth AS ends, path[1:depth] AS node FROM steps),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+         (count(*) - 1) * CASE WHEN any_value(depth) = 0 THEN 0 ELSE any_value(node[depth].bytes) END AS saved
+  FROM beginnings GROUP BY node),
+families AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN families USING (node)),
+above AS (SELECT node, n_children, saved, unnest(range(0, depth + 1)) AS d FROM full_nodes),
+subtrees AS (
+  SELECT node[1:d] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children::BIGINT AS n_children,
+       s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN subtrees s ON s.node = n.node
+LEFT JOIN full_nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_compact_windows": op2_compact_windows,
@@ -112,6 +154,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_suffix_array": op10_suffix_array,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
-ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL}
+ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL, "op12_prefix_trie": OP12_SQL}
