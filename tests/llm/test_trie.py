@@ -77,7 +77,7 @@ def test_trie(spark, monkeypatch):
         convs = plain_conversations(rows)
         want = plain_trie(plain_spliced(convs) if splice else convs)
         assert sorted(trie(spark, rows, splice)) == sorted(want)
-        assert max(w[3] for w in want if w[1]) > 30 and len(want) > 100
+        assert max(w[3] for w in want if w[1]) > 30 and len(want) > 90
 
 
 def test_trie_edges(spark):
