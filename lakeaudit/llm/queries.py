@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compact_windows, exact_dedup, jaccard_join, kneser_ney, line_dedup, prefix_trie, suffix_array, surrogates, templates, warc
+from . import bpe, compact_windows, exact_dedup, jaccard_join, kneser_ney, line_dedup, prefix_trie, quality_rules, suffix_array, surrogates, templates, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +143,51 @@ LEFT JOIN full_nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
 """
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.apply_rules(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "quality_rules.*")
+
+
+OP13_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, string_split(text, chr(10)) AS lines FROM docs),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM split),
+word_counts AS (SELECT doc_id, words[i] AS word, count(*) AS times FROM places GROUP BY ALL),
+windows AS (SELECT doc_id, i, words[i:i + 2] AS three FROM places WHERE i + 2 <= len(words)),
+pairs AS (SELECT doc_id, max(times) AS top_pair FROM (
+  SELECT doc_id, words[i:i + 1] AS two, count(*) AS times FROM places WHERE i + 1 <= len(words) GROUP BY ALL) GROUP BY doc_id),
+often AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM often) GROUP BY doc_id),
+line_at AS (SELECT doc_id, unnest(lines) AS line FROM split),
+worded AS (SELECT doc_id, line, count(*) AS times FROM line_at WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL),
+line_counts AS (
+  SELECT doc_id, sum(times) AS n_lines, sum(times - 1) AS n_dup_lines,
+         sum(times) FILTER (regexp_matches(line, '^[\x20\x09-\x0D]*[-*•‣●◦]')) AS bullets,
+         sum(times) FILTER (regexp_matches(line, '(\.\.\.|…)[\x20\x09-\x0D]*$')) AS ellipses
+  FROM worded GROUP BY doc_id),
+most AS (
+  SELECT doc_id, max(times) AS most, sum(times) FILTER (NOT regexp_matches(word, '\p{L}')) AS bare,
+         sum(times) FILTER (regexp_matches(word, '^[^\p{L}]*\p{Lu}{2}[^\p{Ll}]*$')) AS capitals
+  FROM word_counts GROUP BY doc_id),
+stats AS (
+  SELECT doc_id, text, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, coalesce(bullets, 0) AS bullets, coalesce(ellipses, 0) AS ellipses,
+         coalesce(most, 0) AS most, coalesce(top_pair, 0) AS top_pair, coalesce(bare, 0) AS bare, coalesce(capitals, 0) AS capitals,
+         length(text) - length(replace(text, '!', '')) AS exclamations
+  FROM split LEFT JOIN repeats USING (doc_id) LEFT JOIN line_counts USING (doc_id) LEFT JOIN most USING (doc_id) LEFT JOIN pairs USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stats)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars NOT BETWEEN 3 * n_words AND 12 * n_words OR 10 * n_symbols > n_words OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)
+            OR 5 * bare > n_words OR 10 * capitals > 4 * n_words OR 4 * exclamations > n_words OR 10 * bullets > 9 * n_lines
+            OR 10 * ellipses > 3 * n_lines OR 10 * most > 3 * n_words OR 10 * top_pair > n_words) AS kept
+FROM judged
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_compact_windows": op2_compact_windows,
@@ -155,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_suffix_array": op10_suffix_array,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_quality_rules": op13_quality_rules,
 }
 
-ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL, "op12_prefix_trie": OP12_SQL}
+ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL, "op12_prefix_trie": OP12_SQL, "op13_quality_rules": OP13_SQL}
