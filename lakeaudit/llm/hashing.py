@@ -51,12 +51,12 @@ class Ranges:
         return mix((self.sums[size:] - self.sums[:n]) * self.back[:n])
 
 
-def runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``RUN_BYTES`` together."""
+def runs(texts: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``limit`` bytes together."""
     first, held = 0, 0
     for i, size in enumerate(pc.binary_length(texts).to_numpy(zero_copy_only=False).tolist()):
         held += size
-        if held >= RUN_BYTES:
+        if held >= limit:
             yield first, i + 1
             first, held = i + 1, 0
     if first < len(texts):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, compact_windows, exact_dedup, jaccard_join, kneser_ney, line_dedup, prefix_trie, quality_rules, suffix_array, surrogates, templates, warc
+from . import bpe, collocations, compact_windows, exact_dedup, jaccard_join, kneser_ney, line_dedup, prefix_trie, quality_rules, suffix_array, surrogates, templates, warc
 from .shared import read, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,39 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), max_words=3, min_count=10, drop_percent=50, top=2000)
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS words FROM pieces),
+starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split),
+phrases AS (SELECT lang, words[i:i + k - 1] AS phrase, k FROM starts, (VALUES (1), (2), (3)) AS lengths(k) WHERE i + k - 1 <= len(words)),
+f AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS a FROM phrases GROUP BY lang, phrase),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.a, cut, lf.a AS l, rf.a AS r,
+         ((1000000::HUGEINT * c.a * c.a) // (lf.a::HUGEINT * rf.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1 AND a >= 10) c
+  JOIN f lf ON lf.lang = c.lang AND lf.phrase = c.phrase[1:cut] JOIN f rf ON rf.lang = c.lang AND rf.phrase = c.phrase[cut + 1:]),
+candidates AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS most
+  FROM (SELECT lang, unnest([phrase[1:2], phrase[2:3]]) AS phrase, a FROM candidates WHERE k = 3) GROUP BY lang, phrase),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a),
+listed AS (
+  SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ') COLLATE "binary") AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM listed JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = written(prefix_trie.conversations(read(spark, sf_dir, "conversations")))
     return prefix_trie.prefix_trie(prefix_trie.spliced(own, group=5, modulus=9)).drop("path")
@@ -199,8 +232,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_suffix_array": op10_suffix_array,
+    "op11_collocations": op11_collocations,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_quality_rules": op13_quality_rules,
 }
 
-ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL, "op12_prefix_trie": OP12_SQL, "op13_quality_rules": OP13_SQL}
+ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL, "op11_collocations": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_quality_rules": OP13_SQL}
