@@ -7,8 +7,10 @@ bound reaches the score that a language's list is expected to end at, together w
 score, which decide what is dropped. If too few phrases survive above it, the score is lowered and only what the lower one
 adds is expanded, until each language's list is settled with its ties.
 
-What is expanded is told to the counting tasks by two filters of bounded size. A filter never forgets a beginning, and all
-occurrences of a phrase share theirs, so whatever is counted is counted whole; a filter's errors only add counts.
+Words and pairs are first counted by 64-bit hashes alone; only those whose hash is frequent leave a second pass by name, and
+are counted again, exactly. That, and what is expanded, is told to the counting tasks by filters of bounded size. A filter
+never forgets a phrase or a beginning, and all occurrences of a phrase share theirs, so whatever is counted is counted whole;
+equal hashes and a filter's errors only add counts.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ from .line_dedup import seen_twice, twice_filter
 from .shared import written
 
 #: Bytes of text whose phrases are counted together before they leave Python.
-COUNT_BYTES = 1 << 22
+COUNT_BYTES = 1 << 20
 #: So many languages at most are broadcast (a name and a number each), after they were counted.
 BROADCAST_LANGS = 1 << 17
-BITS_PER_BEGINNING = 16
+BITS_PER_PHRASE = 16
 #: The list is first expected to end at its pair number 2 * top, then at number 16 * top, then nowhere.
 DEPTHS = (2, 16)
 
@@ -42,7 +44,9 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = _BREAK
 
 
 def _string_hashes(strings: pa.Array) -> np.ndarray:
-    data, bounds = joined(strings, b"")
+    strings = pa.concat_arrays([strings.cast(pa.large_binary())])
+    bounds = np.frombuffer(strings.buffers()[1], np.int64)[: len(strings) + 1] if len(strings) else np.zeros(1, np.int64)
+    data = np.frombuffer(strings.buffers()[2] or b"", np.uint8)
     return Ranges(data).hash(bounds[:-1], bounds[1:])
 
 
@@ -60,18 +64,24 @@ class _Run:
         inside = kind == _WORD
         edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
         start, end = edge[::2], edge[1::2]
-        self.piece = np.cumsum(kind == _BREAK)[start]
+        self.piece = np.cumsum(kind == _BREAK, dtype=np.int32)[start]
         offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
         words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
         langs = lang.dictionary_encode()
         self.words, self.code = words.dictionary, words.indices.to_numpy().astype(np.int64)
         self.langs, self.lang = langs.dictionary, langs.indices.to_numpy().astype(np.int64)[np.searchsorted(bounds, start, side="right") - 1]
         self.size = max(1, len(self.words))
+        self.lang_hashes = _string_hashes(self.langs)[self.lang]
+        self.plain_hashes = _string_hashes(self.words)[self.code]
+        self.word_hashes = mix(self.lang_hashes + mix(self.plain_hashes))
+
+    def pair_hashes(self, places: np.ndarray) -> np.ndarray:
+        return _pair_hashes(self.lang_hashes[places], self.plain_hashes[places], self.plain_hashes[places + 1])
 
     def counted(self, places: np.ndarray, length: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
         """Distinct phrases of ``length`` words that begin at the places: language, words and count, all exact."""
-        lang, key = np.unique(self.lang[places], return_inverse=True)
-        parts, counts = [], None
+        lang, key, counts = np.unique(self.lang[places], return_inverse=True, return_counts=True)
+        parts = []
         for step in range(length):
             # A key names a language and the words so far; it is made small again after each word.
             found, key, counts = np.unique(key.astype(np.int64) * self.size + self.code[places + step], return_inverse=True, return_counts=True)
@@ -97,10 +107,25 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[_Run]:
             yield _Run(batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first))
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of words and pairs with their counts."""
     for run in _runs(batches):
-        yield run.rows(np.arange(len(run.code)), 1, 2)
-        yield run.rows(run.together(2), 2, 2)
+        for hashes in (run.word_hashes, run.pair_hashes(run.together(2))):
+            found, counts = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], names=["hash", "n"])
+
+
+def _count_pairs(frequent):
+    """Words and pairs that the filter knows, by name; and all words of a language, without one."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches):
+            yield run.rows(np.arange(len(run.code)), 0, 2)
+            yield run.rows(np.flatnonzero(seen_twice(*frequent.value, run.word_hashes)), 1, 2)
+            places = run.together(2)
+            yield run.rows(places[seen_twice(*frequent.value, run.pair_hashes(places))], 2, 2)
+
+    return count
 
 
 def _count_triples(begin, end):
@@ -109,11 +134,7 @@ def _count_triples(begin, end):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches):
             places = run.together(3)
-            lang, word = _string_hashes(run.langs)[run.lang[places]], _string_hashes(run.words)
-            first, second, third = (word[run.code[places + step]] for step in range(3))
-            wanted = np.zeros(len(places), bool)
-            for (bits, size), pair in ((begin.value, (first, second)), (end.value, (second, third))):
-                wanted |= seen_twice(bits, size, _pair_hashes(lang, *pair))
+            wanted = seen_twice(*begin.value, run.pair_hashes(places)) | seen_twice(*end.value, run.pair_hashes(places + 1))
             yield run.rows(places[wanted], 3, 3)
 
     return count
@@ -126,10 +147,13 @@ def _hash_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([twice], names=["hashes"])
 
 
-def _filter(pairs: DataFrame):
-    """A broadcast filter of pairs (64 MiB at most); each is entered twice, as the filter holds what was seen twice."""
-    hashes = pairs.select("lang", "w", "x").mapInArrow(_hash_pairs, "hashes array<long>")
-    return pairs.sparkSession.sparkContext.broadcast(twice_filter(hashes, pairs.count(), BITS_PER_BEGINNING))
+def _filter(hashes: DataFrame, count: int):
+    """A broadcast filter (64 MiB at most) of what ``hashes`` lists; it holds what was seen twice, so each is listed twice."""
+    return hashes.sparkSession.sparkContext.broadcast(twice_filter(hashes, count, BITS_PER_PHRASE))
+
+
+def _pair_filter(pairs: DataFrame):
+    return _filter(pairs.select("lang", "w", "x").mapInArrow(_hash_pairs, "hashes array<long>"), pairs.count())
 
 
 def score(a: Column | str, left: Column | str, right: Column | str) -> Column:
@@ -180,11 +204,13 @@ def collocations(
         raise ValueError("phrases have two or three words at most")
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    counts = texts.mapInArrow(_count_pairs, "lang string, w string, x string, n long").groupBy("lang", "w", "x").agg(F.sum("n").alias("n"))
-    counts = written(counts.where((F.col("n") >= min_count) | F.col("x").isNull()))
-    words = counts.where("x IS NULL").select("lang", "w", "n")
-    langs = written(words.groupBy("lang").agg(F.sum("n").alias("n")))
-    frequent = words.where(F.col("n") >= min_count)
+    hashes = texts.mapInArrow(_count_hashes, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    hashes = written(hashes.where(F.col("n") >= min_count).select(F.array("hash", "hash").alias("hashes")))
+    known = _filter(hashes, hashes.count())
+    counts = texts.mapInArrow(_count_pairs(known), "lang string, w string, x string, n long").groupBy("lang", "w", "x").agg(F.sum("n").alias("n"))
+    counts = written(counts.where((F.col("n") >= min_count) | F.col("w").isNull()))
+    langs = written(counts.where("w IS NULL").select("lang", "n"))
+    frequent = counts.where("w IS NOT NULL AND x IS NULL").select("lang", "w", "n")
     pairs = counts.where("x IS NOT NULL").withColumnRenamed("n", "a")
     pairs = pairs.join(frequent.withColumnRenamed("n", "l"), ["lang", "w"])
     pairs = pairs.join(frequent.select("lang", F.col("w").alias("x"), F.col("n").alias("r")), ["lang", "x"])
@@ -212,7 +238,7 @@ def _grow(spark, texts: DataFrame, pairs: DataFrame, langs: DataFrame, min_count
         ranged = _with_lang(pairs, floors)
         new = lambda c: (F.col(c) >= F.col("floor")) & (F.col(c) < F.col("was"))
         # A score is never above its own bound: pairs above the floor are among the beginnings.
-        begin, end = _filter(ranged.where(new("bound"))), _filter(ranged.where(new("score")))
+        begin, end = _pair_filter(ranged.where(new("bound"))), _pair_filter(ranged.where(new("score")))
         fresh = texts.mapInArrow(_count_triples(begin, end), "lang string, w string, x string, y string, n long")
         fresh = fresh.groupBy("lang", "w", "x", "y").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
         triples = written(fresh if triples is None else triples.unionByName(fresh).distinct())
