@@ -98,6 +98,8 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "suffix_dedup.n_bytes", removed.alias("n_removed"), F.size("suffix_dedup.spans").cast("long").alias("n_spans"),
         F.sha2("suffix_dedup.kept", 256).alias("kept_sha256"),
+        # A cut may split a character: its remains are replaced by U+FFFD in this column, and only here.
+        F.decode("suffix_dedup.kept", F.lit("UTF-8")).alias("text"),
     )
 
 
@@ -109,7 +111,8 @@ OP11_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents),
 split AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS words FROM pieces),
 starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split),

@@ -189,7 +189,7 @@ def test_compact_windows():
                     high += 1
                 if high - low + 1 >= passage:
                     want.append((low, c, high))
-        assert got == want
+        assert got == sorted(want)
 
 
 def test_passages(spark):
