@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.scope import part_date, part_label
 from ..operators.findings import as_findings, rule_counts, rule_frame, status_counts, with_rule_defaults
 from ..session import materialize
-from ..sources.manifest import LakeFiles, build_manifest
+from ..sources.listing import LakeFiles
+from ..sources.manifest import build_manifest
 from ..sources.tables import read_tables
 from . import baseline, gate, rulepack
 from .baseline import Snapshots
@@ -23,7 +24,7 @@ FINDING_COLUMNS = ("count", "dataset", "day", "example", "file", "message", "par
 
 @dataclass(frozen=True)
 class Audit:
-    """Outcome of an audit. Every member is a DataFrame; nothing was collected."""
+    """Outcome of an audit, all DataFrames."""
 
     manifest: DataFrame
     findings: DataFrame

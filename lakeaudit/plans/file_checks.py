@@ -11,7 +11,7 @@ from ..functions.paths import parse_path
 from ..functions.scope import part_id
 from ..session import materialize
 from ..sources.contracts import contract_frame, fields_equal, schema_differences
-from ..sources.manifest import list_files, with_footers
+from ..sources.listing import list_files, with_footers
 from . import gate
 from .datasets import CONTRACT, REQUIRED_DATASETS
 from .table_checks import query, table

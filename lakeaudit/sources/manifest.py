@@ -2,193 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import date, timedelta
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.paths import parse_path
 from ..functions.scope import part_id
-from .contracts import FIELDS_TYPE
-
-RESERVED_DIRECTORY = "tmp"
-LISTING_SCHEMA = "path string, rel_path string"
-_FOOTER_SCHEMA = (
-    "readable boolean, row_count bigint, file_size_bytes bigint, row_groups bigint, "
-    f"compressed_bytes bigint, uncompressed_bytes bigint, fields {FIELDS_TYPE}"
-)
-
-
-class LakeFiles:
-    """Directory names of a lake, through the Hadoop file system of the session (any scheme)."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        home = self._path(root)
-        self._fs = home.getFileSystem(conf)
-        self.root = self._fs.makeQualified(home).toString().rstrip("/")
-        if not self._fs.exists(home):
-            raise ValueError(f"storage root does not exist: {root}")
-        if not self._fs.getFileStatus(home).isDirectory():
-            raise ValueError(f"storage root is not a directory: {root}")
-
-    def children(self, directory: str) -> list[tuple[str, bool]]:
-        """(name, is directory) of each entry, sorted."""
-        statuses = self._fs.listStatus(self._path(directory))
-        return sorted((s.getPath().getName(), s.isDirectory()) for s in statuses)
-
-
-def _overlap(name: str, above: tuple[int, ...]) -> tuple[date, date] | None:
-    """Day range a directory name stands for below ``above`` (year, month); None if it names no range."""
-    key, _, text = name.partition("=")
-    try:
-        if key == "date":
-            return (date.fromisoformat(text),) * 2
-        if not text.isdigit():
-            return None
-        parts = (*above, int(text))
-        if key != ("year", "month", "day")[len(above)]:
-            return None
-        first = date(*parts, *(1,) * (3 - len(parts)))
-    except (ValueError, IndexError):
-        return None
-    if len(parts) == 3:
-        return first, first
-    if len(parts) == 2:
-        return first, (first + timedelta(days=31)).replace(day=1) - timedelta(days=1)
-    return first, date(first.year, 12, 31)
-
-
-def load_paths(files: LakeFiles, date_from: date | None, date_to: date | None) -> list[str]:
-    """Directories to list so that no valid out-of-range day is listed file by file.
-
-    Only directory names down to the day level are read. Names that stand for no day stay in, so
-    that files under them still show up as unsupported paths.
-    """
-    low, high = date_from or date.min, date_to or date.max
-    bounded = date_from is not None or date_to is not None
-    kept: list[str] = []
-
-    def visit(directory: str, above: tuple[int, ...], depth: int) -> None:
-        for name, is_dir in files.children(directory):
-            here = f"{directory}/{name}"
-            if name.startswith(("_", ".")) or (depth == 0 and name == RESERVED_DIRECTORY):
-                continue
-            if not is_dir:
-                if name.endswith(".parquet"):
-                    kept.append(here)
-                continue
-            days = _overlap(name, above) if bounded else None
-            if days is None:
-                # At the top this may be a dataset directory with its own day tree.
-                if bounded and depth == 0:
-                    visit(here, (), 1)
-                else:
-                    kept.append(here)
-            elif days[0] <= high and days[1] >= low:
-                if days[0] == days[1]:
-                    kept.append(here)
-                else:
-                    visit(here, (*above, int(name.partition("=")[2])), depth + 1)
-
-    visit(files.root, (), 0)
-    return kept
-
-
-def list_files(spark: SparkSession, root: str, date_from: date | None = None, date_to: date | None = None) -> DataFrame:
-    """Every parquet file of the lake, read from the file listing alone: ``path, rel_path``.
-
-    Spark's listing leaves out names starting with ``_`` or ``.``, which are staging files by convention.
-    """
-    files = LakeFiles(spark, root)
-    paths = load_paths(files, date_from, date_to)
-    if not paths:
-        return spark.createDataFrame([], LISTING_SCHEMA)
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(paths)
-    )
-    return listing.select("path", F.substring(F.col("path"), len(files.root) + 2, 2**31 - 1).alias("rel_path"))
-
-
-#: Bytes at a file's end that are read first; most footers fit.
-_FOOTER_TAIL = 1 << 16
-
-
-def _footer(path: str) -> dict:
-    """Footer facts of one file, on the executor that runs the task.
-
-    Only bytes that were read and are no footer make a file unreadable. A file system that can't be opened or does not
-    answer fails the task, which Spark tries again, and then the query: no file is called corrupt for that.
-    """
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-    from urllib.parse import quote, urlsplit
-
-    if urlsplit(path).scheme in ("", "file"):
-        system, name = pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    else:
-        try:
-            system, name = pafs.FileSystem.from_uri(quote(path, safe=":/=@"))
-        except pa.ArrowInvalid as error:
-            raise ValueError(f"footers of this file system can't be read: {path}") from error
-    size = system.get_file_info(name).size
-    with system.open_input_file(name) as source:
-        source.seek(max(0, size - _FOOTER_TAIL))
-        tail = source.read()
-        wanted = int.from_bytes(tail[-8:-4], "little") + 8 if len(tail) >= 12 and tail.endswith(b"PAR1") else 0
-        if len(tail) < wanted <= size:
-            source.seek(size - wanted)
-            tail = source.read()
-    try:
-        meta = pq.read_metadata(pa.BufferReader(tail))
-        fields = meta.schema.to_arrow_schema()
-    except (pa.ArrowException, OSError):
-        return {"readable": False}
-    groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
-    chunks = [g.column(i) for g in groups for i in range(g.num_columns)]
-    return {
-        "readable": True,
-        "row_count": meta.num_rows,
-        "file_size_bytes": size,
-        "row_groups": meta.num_row_groups,
-        "compressed_bytes": sum(c.total_compressed_size for c in chunks),
-        "uncompressed_bytes": sum(c.total_uncompressed_size for c in chunks),
-        "fields": [{"name": f.name, "type": str(f.type), "nullable": f.nullable} for f in fields],
-    }
-
-
-def _footer_reader(supported: str | None):
-    kinds = {
-        "readable": pa.bool_(),
-        "fields": pa.list_(pa.struct([("name", pa.string()), ("type", pa.string()), ("nullable", pa.bool_())])),
-    }
-    names = ("readable", "row_count", "file_size_bytes", "row_groups", "compressed_bytes", "uncompressed_bytes", "fields")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            paths = batch.column("path").to_pylist()
-            opened = [True] * len(paths) if supported is None else batch.column(supported).is_valid().to_pylist()
-            footers = [_footer(path) if wanted else {} for path, wanted in zip(paths, opened)]
-            columns = [pa.array([f.get(name) for f in footers], kinds.get(name, pa.int64())) for name in names]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
-
-    return read
-
-
-def with_footers(files: DataFrame, supported: str | None = None) -> DataFrame:
-    """Open each file's footer on the executors. Filter ``files`` first: nothing is pushed below this.
-
-    Rows whose ``supported`` column is NULL pass through unopened.
-    """
-    tasks = 4 * files.sparkSession.sparkContext.defaultParallelism
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    return files.repartition(tasks).mapInArrow(_footer_reader(supported), f"{schema}, {_FOOTER_SCHEMA}")
+from .listing import RESERVED_DIRECTORY, LakeFiles, days_of, list_files, with_footers
 
 
 def build_manifest(spark: SparkSession, root: str, date_from: date | None = None, date_to: date | None = None) -> DataFrame:
@@ -196,7 +16,7 @@ def build_manifest(spark: SparkSession, root: str, date_from: date | None = None
     if date_from is not None and date_to is not None and date_from > date_to:
         raise ValueError("date_from must not lie after date_to")
     listed = list_files(spark, root, date_from, date_to).where(~F.col("rel_path").startswith(f"{RESERVED_DIRECTORY}/"))
-    parsed = listed.withColumn("_parsed", parse_path("rel_path")).select("path", "rel_path", "_parsed.*")
+    parsed = listed.withColumn("_parsed", parse_path("rel_path")).select(*listed.columns, "_parsed.*")
     day = F.col("partition_date")
     if date_from is not None:
         parsed = parsed.where(day.isNull() | (day >= F.lit(date_from)))
@@ -214,19 +34,19 @@ def discover_days(spark: SparkSession, root: str, max_days_back: int | None = No
 
     Folder names come from the file system (an empty folder has no file to list); which of them hold
     parquet files comes from the distributed listing, bounded to the last ``max_days_back`` days before
-    the newest folder if given (older folders then count as having none).
+    the newest folder if given (of older folders it is not known: NULL).
     """
     files = LakeFiles(spark, root)
     days: list[tuple[date]] = []
     for year, is_dir in files.children(files.root):
-        if not is_dir or _overlap(year, ()) is None or not year.startswith("year="):
+        if not is_dir or days_of(year, ()) is None or not year.startswith("year="):
             continue
         for month, is_dir in files.children(f"{files.root}/{year}"):
             above = (int(year.partition("=")[2]),)
-            if not is_dir or _overlap(month, above) is None:
+            if not is_dir or days_of(month, above) is None:
                 continue
             for day, is_dir in files.children(f"{files.root}/{year}/{month}"):
-                span = _overlap(day, (*above, int(month.partition("=")[2])))
+                span = days_of(day, (*above, int(month.partition("=")[2])))
                 if is_dir and span is not None:
                     days.append((span[0],))
     folders = spark.createDataFrame(days, "partition_date date")
@@ -256,7 +76,7 @@ def layout_errors(spark: SparkSession, root: str) -> list[str]:
                 continue
             here = f"{directory}/{name}"
             expected = ("year", "month", "day")[len(above)]
-            if not is_dir or not name.startswith(f"{expected}=") or _overlap(name, above) is None:
+            if not is_dir or not name.startswith(f"{expected}=") or days_of(name, above) is None:
                 errors.append(f"expected a {expected}= directory: {here}")
             elif len(above) < 2:
                 visit(here, (*above, int(name.partition("=")[2])))
