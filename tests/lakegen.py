@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from datetime import date, datetime, timezone
 from pathlib import Path
+from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -50,71 +51,88 @@ def make_row(dataset: str, salt: str, **values: object) -> dict:
     }
 
 
-def transaction(payload: bytes, index: int, ordinal: int, label: str, data: bytes, tag: str, block: int) -> dict:
-    rlp = f"{label}/{tag}".encode()
-    set_columns = {
-        "legacy": ("gas_price", "nonce", "signature_y_parity", "signature_r", "signature_s"),
-        "eip2930": ("gas_price", "chain_id", "nonce", "signature_y_parity", "signature_r", "signature_s"),
-        "eip1559": ("max_fee_per_gas", "max_priority_fee_per_gas", "chain_id", "nonce", "signature_y_parity", "signature_r", "signature_s"),
-        "deposit": ("deposit_source_hash", "deposit_mint", "deposit_is_system_transaction"),
-    }
-    set_columns["eip7702"] = set_columns["eip1559"]
-    salt = f"{tag}.{index}.{ordinal}"
-    return make_row(
-        T, salt, payload_id=payload, index=index, transaction_ordinal=ordinal, block_number=block,
-        transaction_hash=digests([rlp])[0], transaction_rlp=rlp, transaction_type=CODES[label], transaction_type_label=label,
-        to_address=fill(T, "to_address", salt), is_contract_creation=False, input=data, input_length=len(data),
-        input_selector=data[:4] if len(data) >= 4 else None, **{c: fill(T, c, salt) for c in set_columns[label]},
-    )
-
-
-def payload_tables(day: date, hour: int = 16, tag: str = "p", block: int = 100, labels=("legacy", "eip2930", "eip1559", "eip7702", "deposit")) -> Tables:
-    """One payload of three flashblocks with five transactions and their children."""
-    pid = hashlib.md5(tag.encode()).digest()[:8]
+class Tx(NamedTuple):
+    """A transaction and what hangs on it: storage keys per access-list entry, topics per log."""
+
+    kind: str
+    input_bytes: int
+    gas: int
+    access: tuple[int, ...] = ()
+    logs: tuple[int, ...] = ()
+    authorizations: int = 0
+
+
+class Step(NamedTuple):
+    """One flashblock of the payload."""
+
+    txs: tuple[Tx, ...]
+    withdrawals: int
+    balance_changes: int
+
+
+#: Busy first, then quieter, and one that only changes a balance.
+PAYLOAD = (
+    Step((Tx("eip1559", 12, 31_500, access=(3, 0), logs=(3,)), Tx("deposit", 0, 90_250), Tx("eip7702", 7, 160_000, access=(0,), logs=(0, 2), authorizations=3)), 2, 3),
+    Step((Tx("legacy", 2, 52_000, logs=(4, 1)),), 0, 1),
+    Step((Tx("eip2930", 4, 47_111, access=(1, 1)), Tx("eip1559", 30, 47_111, access=(0,), logs=(1, 1, 2))), 1, 2),
+    Step((), 0, 1),
+)
+KINDS = tuple(tx.kind for step in PAYLOAD for tx in step.txs)
+#: The kind whose receipt holds a state root in place of a status.
+ROOTED = "eip2930"
+_FEES = ("max_fee_per_gas", "max_priority_fee_per_gas", "chain_id")
+_SIGNED = ("nonce", "signature_y_parity", "signature_r", "signature_s")
+PRESENT = {
+    "legacy": ("gas_price", *_SIGNED), "eip2930": ("gas_price", "chain_id", *_SIGNED), "eip1559": (*_FEES, *_SIGNED), "eip7702": (*_FEES, *_SIGNED),
+    "deposit": ("deposit_source_hash", "deposit_mint", "deposit_is_system_transaction"),
+}
+
+
+def payload_tables(day: date, hour: int = 9, tag: str = "p", block: int = 7301, labels=KINDS) -> Tables:
+    """The payload above, with other kinds of transactions if asked; every row of a table is numbered in order of its flashblock."""
+    out: Tables = {name: [] for name in CONTRACT}
+    kinds = iter(labels)
+
+    def add(dataset: str, index: int, **values: object) -> dict:
+        if any(n == "block_number" for n, _, _ in CONTRACT[dataset]):
+            values["block_number"] = block
+        row = make_row(dataset, f"{tag}.{index}.{len(out[dataset])}", payload_id=hashlib.md5(tag.encode()).digest()[:8], index=index, **values)
+        out[dataset].append(row)
+        return row
+
+    def some(dataset: str, columns) -> dict:
+        return {c: fill(dataset, c, f"{tag}.{len(out[dataset])}") for c in columns}
+
     at = datetime(day.year, day.month, day.day, hour, 30, tzinfo=timezone.utc)
-    places = [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0)]
-    tx = [transaction(pid, i, o, label, b"\x05\x06\x07\x08\x09"[: (3, 5, 4, 5, 4)[n]], f"{tag}{n}", block)
-          for n, ((i, o), label) in enumerate(zip(places, labels))]
-    key = {"payload_id": pid}
-    blocks = []
-    for index, (n_tx, n_w) in enumerate([(2, 1), (2, 0), (1, 0)]):
-        base = {}
-        if index == 0:
-            base = {c: fill(F, c, tag) for c in FIRST_ROW_COLUMNS if c not in ("base_block_number", "block_timestamp")}
-            base |= {"base_block_number": block, "block_timestamp": at}
-        blocks.append(make_row(
-            F, f"{tag}.{index}", **key, index=index, metadata_block_number=block, received_time_a=at,
-            transaction_count=n_tx, receipt_count=n_tx, withdrawal_count=n_w, balance_change_count=1, **base))
-    logs_of = (1, 2, 1, 0, 1)
-    receipts = []
-    for n, row in enumerate(tx):
-        shape = {"status_kind": "post_state_root", "post_state_root": fill(R, "post_state_root", tag)} if n == 0 else {"status_kind": "eip658", "status": True}
-        if row["transaction_type_label"] == "deposit":
-            shape |= {"deposit_nonce": 7, "deposit_receipt_version": 1}
-        receipts.append(make_row(
-            R, f"{tag}.{n}", **key, index=row["index"], block_number=block, transaction_hash=row["transaction_hash"],
-            receipt_type=row["transaction_type"], receipt_type_label=row["transaction_type_label"],
-            cumulative_gas_used=(21000, 45000, 30000, 50000, 6000)[n], log_count=logs_of[n], **shape))
-    logs = []
-    for n, (receipt, ordinal, topics) in enumerate([(0, 0, 0), (1, 0, 1), (1, 1, 2), (2, 0, 4), (4, 0, 1)]):
-        logs.append(make_row(
-            L, f"{tag}.{n}", **key, index=tx[receipt]["index"], block_number=block, transaction_hash=tx[receipt]["transaction_hash"],
-            log_ordinal=ordinal, topic_count=topics, **{f"topic_{i}": fill(L, f"topic_{i}", tag) for i in range(topics)}))
-    access = [
-        make_row(A, f"{tag}.{n}", **key, index=i, transaction_ordinal=o, access_list_ordinal=a, storage_key_ordinal=s,
-                 storage_key=None if s is None else fill(A, "storage_key", f"{tag}.{n}"))
-        for n, (i, o, a, s) in enumerate([(0, 1, 0, 0), (0, 1, 0, 1), (0, 1, 1, None), (1, 0, 0, None), (1, 1, 0, 0)])
-    ]
-    authorizations = []
-    for n, row in enumerate(tx):
-        if row["transaction_type_label"] == "eip7702":
-            authorizations += [make_row(U, f"{tag}.{n}.{k}", **key, index=row["index"], transaction_ordinal=row["transaction_ordinal"],
-                                        authorization_ordinal=k, y_parity=k) for k in (0, 1)]
-    return {
-        F: blocks, T: tx, R: receipts, L: logs, A: access, U: authorizations,
-        B: [make_row(B, f"{tag}.{i}", **key, index=i, block_number=block) for i in range(3)],
-        W: [make_row(W, tag, **key, index=0, block_number=block, withdrawal_ordinal=0)],
-    }
+    for index, step in enumerate(PAYLOAD):
+        known = {"base_block_number": block, "block_timestamp": at}
+        first = {} if index else some(F, [c for c in FIRST_ROW_COLUMNS if c not in known]) | known
+        add(F, index, metadata_block_number=block, received_time_b=at, transaction_count=len(step.txs), receipt_count=len(step.txs),
+            withdrawal_count=step.withdrawals, balance_change_count=step.balance_changes, **first)
+        for ordinal, tx in enumerate(step.txs):
+            kind = next(kinds)
+            rlp, data = f"{tag}:{kind}:{len(out[T])}".encode(), bytes(range(64, 64 + tx.input_bytes))
+            row = add(T, index, transaction_ordinal=ordinal, transaction_hash=digests([rlp])[0], transaction_rlp=rlp, transaction_type=CODES[kind],
+                      transaction_type_label=kind, is_contract_creation=False, input=data, input_length=len(data),
+                      input_selector=data[:4] if len(data) >= 4 else None, **some(T, ("to_address", *PRESENT[kind])))
+            shape = {"status_kind": "post_state_root", **some(R, ["post_state_root"])} if kind == ROOTED else {"status_kind": "eip658", "status": True}
+            if kind == "deposit":
+                shape |= some(R, ("deposit_nonce", "deposit_receipt_version"))
+            add(R, index, transaction_hash=row["transaction_hash"], receipt_type=CODES[kind], receipt_type_label=kind,
+                cumulative_gas_used=tx.gas, log_count=len(tx.logs), **shape)
+            for number, topics in enumerate(tx.logs):
+                add(L, index, transaction_hash=row["transaction_hash"], log_ordinal=number, topic_count=topics, **some(L, [f"topic_{i}" for i in range(topics)]))
+            for entry, keys in enumerate(tx.access):
+                for number in range(keys) if keys else (None,):
+                    key = {} if number is None else some(A, ["storage_key"])
+                    add(A, index, transaction_ordinal=ordinal, access_list_ordinal=entry, storage_key_ordinal=number, **key)
+            for number in range(tx.authorizations if kind == "eip7702" else 0):
+                add(U, index, transaction_ordinal=ordinal, authorization_ordinal=number, y_parity=(number + 1) % 2)
+        for number in range(step.withdrawals):
+            add(W, index, withdrawal_ordinal=number)
+        for _ in range(step.balance_changes):
+            add(B, index)
+    return out
 
 
 def merged(*parts: Tables) -> Tables:
@@ -125,7 +143,7 @@ def only_indexes(tables: Tables, indexes: set[int]) -> Tables:
     return {name: [row for row in rows if row["index"] in indexes] for name, rows in tables.items()}
 
 
-def file_path(root: Path, layout: str, dataset: str, day: date, hour: int = 16) -> Path:
+def file_path(root: Path, layout: str, dataset: str, day: date, hour: int = 9) -> Path:
     tree = f"year={day.year:04d}/month={day.month:02d}/day={day.day:02d}"
     if layout == "hour":
         return root / tree / f"hour={hour:02d}" / f"{dataset}_{day.isoformat()}_{hour:02d}.parquet"
@@ -139,6 +157,6 @@ def write_table(path: Path, table: pa.Table) -> None:
     pq.write_table(table, path)
 
 
-def write_partition(root: Path, tables: Tables, day: date, layout: str = "hour", hour: int = 16) -> None:
+def write_partition(root: Path, tables: Tables, day: date, layout: str = "hour", hour: int = 9) -> None:
     for dataset, rows in tables.items():
         write_table(file_path(root, layout, dataset, day, hour), pa.Table.from_pylist(rows, schema(dataset)))

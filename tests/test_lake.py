@@ -34,7 +34,7 @@ PATHS = {
     "date=2026-04-05/flashblocks_2026-04-05.parquet": ("date_partition", "flashblocks", "2026-04-05", None),
     "date=2026-04-05/flashblocks_2026-04-06.parquet": ("date_partition", "flashblocks", "2026-04-05", None),
     "flashblocks/year=2026/month=04/day=05/flashblocks_2026-04-05.parquet": ("table_partition", "flashblocks", "2026-04-05", None),
-    "year=2026/month=04/day=05/hour=16/flashblocks_2026-04-05_16.parquet": ("hour_partition", "flashblocks", "2026-04-05", 16),
+    "year=2026/month=04/day=05/hour=09/flashblocks_2026-04-05_09.parquet": ("hour_partition", "flashblocks", "2026-04-05", 9),
     "year=2026/month=4/day=5/hour=7/a_b_2026-04-05_07.parquet": ("hour_partition", "a_b", "2026-04-05", 7),
     "date=bad/flashblocks_2026-04-05.parquet": None,
     "date=2026-02-30/flashblocks_2026-02-28.parquet": None,
@@ -46,10 +46,10 @@ PATHS = {
     "flashblocks/year=2026/month=04/day=05/extra/flashblocks_2026-04-05.parquet": None,
     "year=2026/month=04/day=05/hour=99/flashblocks_2026-04-05_99.parquet": None,
     "year=2026/month=04/day=05/hour=24/flashblocks_2026-04-05_24.parquet": None,
-    "year=2026/monthX04/day=05/hour=16/flashblocks_2026-04-05_16.parquet": None,
-    "year=2026/month=02/day=30/hour=16/flashblocks_2026-02-28_16.parquet": None,
-    "year=99999/month=02/day=03/hour=16/flashblocks_2026-02-28_16.parquet": None,
-    "year=2026/month=04/day=05/hour=16/flashblocks_2026-04-05.parquet": None,
+    "year=2026/monthX04/day=05/hour=09/flashblocks_2026-04-05_09.parquet": None,
+    "year=2026/month=02/day=30/hour=09/flashblocks_2026-02-28_09.parquet": None,
+    "year=99999/month=02/day=03/hour=09/flashblocks_2026-02-28_09.parquet": None,
+    "year=2026/month=04/day=05/hour=09/flashblocks_2026-04-05.parquet": None,
     "flashblocks_2026-04-05.parquet": None,
 }
 
@@ -77,7 +77,7 @@ def gates(spark, tmp_path_factory):
     g.write_table(g.file_path(root, "hour", "surprise", day(4)), pa.table({"marker": pa.array([1], pa.uint64())}))
     blocks = tables[5].pop(F)
     g.write_partition(root, tables[5], day(5))
-    g.write_table(root / "year=2026/month=04/day=05/hour=16/flashblocks_2026-04-06_16.parquet", pa.Table.from_pylist(blocks, g.schema(F)))
+    g.write_table(root / "year=2026/month=04/day=05/hour=09/flashblocks_2026-04-06_09.parquet", pa.Table.from_pylist(blocks, g.schema(F)))
     withdrawals = tables[6].pop(W)
     g.write_partition(root, tables[6], day(6), "table")
     g.write_partition(root, {W: withdrawals}, day(6), "date")
@@ -96,20 +96,20 @@ def test_gates(gates):
     root, outcome = gates
     assert issues(outcome) == {
         None: {("partition_parse_error", None)},
-        "2026-04-01T16:00Z": {("missing_required_dataset", R)},
+        "2026-04-01T09:00Z": {("missing_required_dataset", R)},
         "2026-04-02": {("mixed_storage_layout_for_partition", None), ("multiple_readable_files_for_dataset_partition", F)},
-        "2026-04-03T16:00Z": {("schema_mismatch", F)},
-        "2026-04-04T16:00Z": {("unknown_dataset", "surprise")},
-        "2026-04-05T16:00Z": {("partition_date_mismatch", F)},
+        "2026-04-03T09:00Z": {("schema_mismatch", F)},
+        "2026-04-04T09:00Z": {("unknown_dataset", "surprise")},
+        "2026-04-05T09:00Z": {("partition_date_mismatch", F)},
         "2026-04-06": {("mixed_storage_layout_for_partition", None)},
-        "2026-04-07T16:00Z": {("invalid_parquet_file", T), ("missing_required_dataset", T)},
+        "2026-04-07T09:00Z": {("invalid_parquet_file", T), ("missing_required_dataset", T)},
     }
     reviewed = [r["partition"] for r in outcome.reviewed_partitions().collect()]
-    assert reviewed == ["2026-04-04T16:00Z", "2026-04-05T16:00Z", "2026-04-06", "2026-04-08T16:00Z", "2026-04-09"]
+    assert reviewed == ["2026-04-04T09:00Z", "2026-04-05T09:00Z", "2026-04-06", "2026-04-08T09:00Z", "2026-04-09"]
     file = outcome.findings.where("rule_id = 'schema_mismatch'").first()["file"]
     assert file == str(g.file_path(root, "hour", F, date(2026, 4, 3)))
     misnamed = outcome.findings.where("rule_id = 'partition_date_mismatch'").first()
-    assert json.loads(misnamed["example"]) == {"filename_day": "2026-04-06", "filename_hour": 16, "partition_hour": 16}
+    assert json.loads(misnamed["example"]) == {"filename_day": "2026-04-06", "filename_hour": 9, "partition_hour": 9}
     assert misnamed["count"] is None
 
 
@@ -121,7 +121,7 @@ def test_peer_eligibility(gates):
 
 def test_empty_partition_metrics(gates):
     _, outcome = gates
-    rows = outcome.findings.where("partition = '2026-04-08T16:00Z'").collect()
+    rows = outcome.findings.where("partition = '2026-04-08T09:00Z'").collect()
     assert {r["rule_id"] for r in rows} == METRICS and len(rows) == 16
     empty = next(r for r in rows if r["rule_id"] == "empty_dataset_count")
     assert empty["count"] == 8 and json.loads(empty["example"])["datasets"] == ",".join(sorted(CONTRACT))
@@ -157,7 +157,7 @@ def test_manifest_bounds_days_before_opening_footers(spark, gates):
     assert {str(r["partition_date"]) for r in rows if r["layout"]} == {"2026-04-04", "2026-04-05"}
     assert [r["rel_path"] for r in rows if r["layout"] is None] == ["flashblocks/year=2026/month=04/day=xx/flashblocks_2026-04-05.parquet"]
     row = next(r for r in rows if r["dataset"] == F and str(r["partition_date"]) == "2026-04-04")
-    assert (row["row_count"], row["row_groups"], len(row["fields"])) == (3, 1, 27)
+    assert (row["row_count"], row["row_groups"], len(row["fields"])) == (4, 1, 27)
     assert row["file_size_bytes"] == g.file_path(root, "hour", F, date(2026, 4, 4)).stat().st_size
     only = build_manifest(spark, str(root), date_from=date(2026, 4, 9)).where("layout IS NOT NULL").select("partition_date").distinct().collect()
     assert [str(r[0]) for r in only] == ["2026-04-09"]
@@ -198,17 +198,17 @@ def drifting(spark, tmp_path_factory):
             day = date(2026, 4, number)
             tables = g.payload_tables(day, hour)
             if hour == 10 and number == 4:
-                tables = g.merged(tables, g.payload_tables(day, hour, "second", 200))
+                tables = g.merged(tables, g.payload_tables(day, hour, "second", 7420))
             if hour == 11 and number == 4:
-                tables = g.payload_tables(day, hour, labels=("legacy",) * 5)
+                tables = g.payload_tables(day, hour, labels=("legacy",) * 6)
             if hour == 12 and number == 3:
-                tables[F][1]["base_block_number"] = 101
+                tables[F][1]["base_block_number"] = 7300
             if hour == 12 and number == 4:
-                tables = g.merged(tables, g.payload_tables(day, hour, "second", 200))
+                tables = g.merged(tables, g.payload_tables(day, hour, "second", 7420))
             if hour == 13 and number == 3:
-                tables = g.merged(tables, g.only_indexes(g.payload_tables(day, hour, "second", 200), {1, 2}))
+                tables = g.merged(tables, g.only_indexes(g.payload_tables(day, hour, "second", 7420), {1, 2}))
             if hour == 13 and number == 4:
-                tables = g.merged(tables, g.payload_tables(day, hour, "second", 200))
+                tables = g.merged(tables, g.payload_tables(day, hour, "second", 7420))
             g.write_partition(root, tables, day, "hour", hour)
     return audit(spark, str(root))
 
@@ -217,7 +217,7 @@ def test_physical_drift_against_three_healthy_days(drifting):
     rows = drifting.findings.where("rule_id = 'dataset_physical_drift'").collect()
     by = {(r["partition"], r["dataset"]): json.loads(r["example"]) for r in rows}
     second = by[("2026-04-04T10:00Z", F)]
-    assert second["metric"] == "row_count" and second["drift_ratio"] == 2.0 and second["peer_median"] == 3.0
+    assert second["metric"] == "row_count" and second["drift_ratio"] == 2.0 and second["peer_median"] == 4.0
     assert second["peer_count"] == 3 and second["comparison_scope"] == "same_hour" and second["metrics"].startswith("row_count")
     # Hours 12 and 13 lost a peer to a failing and a warned partition.
     assert {p for p, _ in by} <= {"2026-04-04T10:00Z", "2026-04-04T11:00Z"}
@@ -228,4 +228,4 @@ def test_mix_drift(drifting):
     assert [r["partition"] for r in rows] == ["2026-04-04T11:00Z"]
     example = json.loads(rows[0]["example"])
     assert rows[0]["count"] == 1
-    assert example == {"type_label": "legacy", "share": 1.0, "peer_median_share": 0.2, "difference": 0.8, "peer_count": 3, "comparison_scope": "same_hour"}
+    assert example == {"type_label": "legacy", "share": 1.0, "peer_median_share": 0.1667, "difference": 0.8333, "peer_count": 3, "comparison_scope": "same_hour"}

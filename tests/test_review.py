@@ -81,7 +81,7 @@ def test_runs_over_a_growing_lake(spark, tmp_path):
         ("validated", d(5)), ("validated", d(6)), ("validated", d(7)), ("idle", d(7))]
     assert all(s.audited.get('fail_count', 0) == s.audited.get('warn_count', 0) == 0 for s in steps)
 
-    larger = g.merged(g.payload_tables(d(8)), g.payload_tables(d(8), 16, "second", 200))
+    larger = g.merged(g.payload_tables(d(8)), g.payload_tables(d(8), 9, "second", 7420))
     g.write_partition(tmp_path / "lake", larger, d(8))
     moment = datetime(2026, 4, 9, 6, tzinfo=timezone.utc)
     step = review_next(spark, root, working, 3, run_time=moment)

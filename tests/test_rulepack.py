@@ -59,14 +59,14 @@ def copied(dataset, column, source, target):
 def split_payload(tables, **_):
     for rows in tables.values():
         for row in rows:
-            if row["index"] == 2:
+            if row["index"] == 3:
                 row["payload_id"] = b"otherpid"
 
 
 def to_1559(tables, **_):
     for dataset, prefix in ((T, "transaction"), (R, "receipt")):
-        tables[dataset][3][f"{prefix}_type"] = 2
-        tables[dataset][3][f"{prefix}_type_label"] = "eip1559"
+        tables[dataset][2][f"{prefix}_type"] = 2
+        tables[dataset][2][f"{prefix}_type_label"] = "eip1559"
 
 
 def clones(count, indexes, first_kept=None):
@@ -89,41 +89,41 @@ def childless(tables, **_):
 PID = b"\xff" * 8
 # rule -> (damage, exact count per (rule, dataset), NULL counts included)
 CASES = {
-    "duplicate_flashblock_key": (reindex({2: 1}), {("duplicate_flashblock_key", F): 1}),
-    "payload_maps_to_multiple_blocks": (cell(F, "metadata_block_number", 2, 101), {("payload_maps_to_multiple_blocks", F): 1}),
-    "non_contiguous_payload_indexes": (reindex({1: 2, 2: 3}), {("non_contiguous_payload_indexes", F): 1}),
-    "orphan_child_flashblock": (cell(T, "payload_id", 0, PID), {("orphan_child_flashblock", T): 1}),
-    "flashblock_count_mismatch": (cell(F, "transaction_count", 0, 3), {("flashblock_count_mismatch", T): 1}),
+    "duplicate_flashblock_key": (reindex({3: 2}), {("duplicate_flashblock_key", F): 1}),
+    "payload_maps_to_multiple_blocks": (cell(F, "metadata_block_number", 2, 7302), {("payload_maps_to_multiple_blocks", F): 1}),
+    "non_contiguous_payload_indexes": (reindex({3: 5}), {("non_contiguous_payload_indexes", F): 1}),
+    "orphan_child_flashblock": (cell(T, "payload_id", 3, PID), {("orphan_child_flashblock", T): 1}),
+    "flashblock_count_mismatch": (cell(F, "transaction_count", 0, 4), {("flashblock_count_mismatch", T): 1}),
     "flashblock_transaction_receipt_count_mismatch": (
-        cell(F, "receipt_count", 0, 3), {("flashblock_transaction_receipt_count_mismatch", F): None}),
-    "child_block_number_mismatch": (cell(T, "block_number", 0, 101), {("child_block_number_mismatch", T): 1}),
+        cell(F, "receipt_count", 0, 5), {("flashblock_transaction_receipt_count_mismatch", F): None}),
+    "child_block_number_mismatch": (cell(T, "block_number", 0, 7300), {("child_block_number_mismatch", T): 1}),
     "duplicate_transaction_ordinal": (cell(T, "transaction_ordinal", 1, 0), {("duplicate_transaction_ordinal", T): 1}),
     "duplicate_transaction_hash": (copied(T, "transaction_hash", 0, 1), {("duplicate_transaction_hash", T): 1}),
-    "non_contiguous_transaction_ordinals": (cell(T, "transaction_ordinal", 1, 2), {("non_contiguous_transaction_ordinals", T): 1}),
+    "non_contiguous_transaction_ordinals": (cell(T, "transaction_ordinal", 5, 3), {("non_contiguous_transaction_ordinals", T): 1}),
     "duplicate_receipt_key": (copied(R, "transaction_hash", 0, 1), {("duplicate_receipt_key", R): 1}),
     "transaction_receipt_hash_mismatch": (
         cell(R, "transaction_hash", 0, b"\xee" * 32), {("transaction_receipt_hash_mismatch", None): 2}),
     "duplicate_receipt_log_key": (cell(L, "log_ordinal", 2, 0), {("duplicate_receipt_log_key", L): 1}),
-    "receipt_log_count_mismatch": (cell(R, "log_count", 1, 1), {("receipt_log_count_mismatch", L): 1}),
+    "receipt_log_count_mismatch": (cell(R, "log_count", 2, 1), {("receipt_log_count_mismatch", L): 1}),
     "non_contiguous_log_ordinals": (cell(L, "log_ordinal", 2, 2), {("non_contiguous_log_ordinals", L): 1}),
     "duplicate_balance_change_key": (repeat(B, 0), {("duplicate_balance_change_key", B): 1}),
     "duplicate_withdrawal_ordinal": (repeat(W, 0), {("duplicate_withdrawal_ordinal", W): 1}),
-    "non_contiguous_withdrawal_ordinals": (cell(W, "withdrawal_ordinal", 0, 1), {("non_contiguous_withdrawal_ordinals", W): 1}),
-    "transaction_type_mismatch": (cell(T, "transaction_type_label", 0, "eip1559"), {("transaction_type_mismatch", T): 1}),
-    "receipt_type_mismatch": (cell(R, "receipt_type_label", 0, "eip1559"), {("receipt_type_mismatch", R): 1}),
+    "non_contiguous_withdrawal_ordinals": (cell(W, "withdrawal_ordinal", 2, 1), {("non_contiguous_withdrawal_ordinals", W): 1}),
+    "transaction_type_mismatch": (cell(T, "transaction_type_label", 3, "eip1559"), {("transaction_type_mismatch", T): 1}),
+    "receipt_type_mismatch": (cell(R, "receipt_type_label", 3, "eip1559"), {("receipt_type_mismatch", R): 1}),
     "transaction_receipt_type_mismatch": (
-        several(cell(R, "receipt_type", 0, 1), cell(R, "receipt_type_label", 0, "eip2930")), {("transaction_receipt_type_mismatch", None): 1}),
+        several(cell(R, "receipt_type", 3, 1), cell(R, "receipt_type_label", 3, "eip2930")), {("transaction_receipt_type_mismatch", None): 1}),
     "transaction_optional_field_shape_mismatch": (
         cell(T, "gas_price", 2, b"\x01" * 16), {("transaction_optional_field_shape_mismatch", T): 1}),
     "contract_creation_flag_mismatch": (cell(T, "to_address", 0, None), {("contract_creation_flag_mismatch", T): 1}),
-    "transaction_input_length_mismatch": (cell(T, "input_length", 0, 2), {("transaction_input_length_mismatch", T): 1}),
-    "transaction_input_selector_mismatch": (cell(T, "input_selector", 1, bytes(4)), {("transaction_input_selector_mismatch", T): 1}),
+    "transaction_input_length_mismatch": (cell(T, "input_length", 0, 13), {("transaction_input_length_mismatch", T): 1}),
+    "transaction_input_selector_mismatch": (cell(T, "input_selector", 2, bytes(4)), {("transaction_input_selector_mismatch", T): 1}),
     "transaction_rlp_hash_mismatch": (cell(T, "transaction_rlp", 0, b"changed"), {("transaction_rlp_hash_mismatch", T): 1}),
     "base_fields_missing_on_index_zero": (
         several(cell(F, "parent_hash", 0, None), cell(F, "fee_recipient", 0, None)), {("base_fields_missing_on_index_zero", F): 2}),
     "base_fields_present_on_nonzero_index": (cell(F, "parent_hash", 1, b"\x01" * 32), {("base_fields_present_on_nonzero_index", F): 1}),
-    "base_block_number_mismatch": (cell(F, "base_block_number", 0, 101), {("base_block_number_mismatch", F): 1}),
-    "receipt_status_shape_mismatch": (cell(R, "status_kind", 0, "eip658"), {("receipt_status_shape_mismatch", R): 1}),
+    "base_block_number_mismatch": (cell(F, "base_block_number", 0, 7300), {("base_block_number_mismatch", F): 1}),
+    "receipt_status_shape_mismatch": (cell(R, "status_kind", 4, "eip658"), {("receipt_status_shape_mismatch", R): 1}),
     "deposit_receipt_field_mismatch": (
         several(cell(R, "deposit_nonce", 0, 1), cell(R, "deposit_receipt_version", 0, 1)), {("deposit_receipt_field_mismatch", R): 1}),
     "topic_count_out_of_range": (cell(L, "topic_count", 3, 5), {("topic_count_out_of_range", L): 1}),
@@ -131,42 +131,38 @@ CASES = {
     "orphan_access_list_row": (cell(A, "transaction_ordinal", 0, 99), {("orphan_access_list_row", A): 1}),
     "duplicate_access_list_key": (cell(A, "storage_key_ordinal", 1, 0), {("duplicate_access_list_key", A): 1}),
     "access_list_storage_key_shape_mismatch": (
-        cell(A, "storage_key", 2, b"\x01" * 32), {("access_list_storage_key_shape_mismatch", A): 1}),
-    "non_contiguous_access_list_ordinals": (cell(A, "access_list_ordinal", 2, 2), {("non_contiguous_access_list_ordinals", A): 1}),
+        cell(A, "storage_key", 3, b"\x01" * 32), {("access_list_storage_key_shape_mismatch", A): 1}),
+    "non_contiguous_access_list_ordinals": (cell(A, "access_list_ordinal", 3, 2), {("non_contiguous_access_list_ordinals", A): 1}),
     "non_contiguous_access_storage_key_ordinals": (
-        cell(A, "storage_key_ordinal", 1, 2), {("non_contiguous_access_storage_key_ordinals", A): 1}),
+        cell(A, "storage_key_ordinal", 2, 3), {("non_contiguous_access_storage_key_ordinals", A): 1}),
     "orphan_authorization_row": (cell(U, "transaction_ordinal", 0, 99), {("orphan_authorization_row", U): 1}),
     "duplicate_authorization_key": (cell(U, "authorization_ordinal", 1, 0), {("duplicate_authorization_key", U): 1}),
-    "authorization_non_7702": (to_1559, {("authorization_non_7702", U): 2}),
+    "authorization_non_7702": (to_1559, {("authorization_non_7702", U): 3}),
     "authorization_y_parity_out_of_range": (cell(U, "y_parity", 0, 2), {("authorization_y_parity_out_of_range", U): 1}),
-    "non_contiguous_authorization_ordinals": (cell(U, "authorization_ordinal", 1, 2), {("non_contiguous_authorization_ordinals", U): 1}),
+    "non_contiguous_authorization_ordinals": (cell(U, "authorization_ordinal", 2, 3), {("non_contiguous_authorization_ordinals", U): 1}),
     "block_maps_to_multiple_payloads": (split_payload, {("block_maps_to_multiple_payloads", F): 1}),
     "duplicate_content_hash": (copied(F, "content_hash", 0, 1), {("duplicate_content_hash", F): 1}),
-    "all_received_time_slots_missing": (cell(F, "received_time_a", 0, None), {("all_received_time_slots_missing", F): 1}),
+    "all_received_time_slots_missing": (cell(F, "received_time_b", 0, None), {("all_received_time_slots_missing", F): 1}),
     "receipt_cumulative_gas_used_not_monotonic": (
-        cell(R, "cumulative_gas_used", 1, 20000), {("receipt_cumulative_gas_used_not_monotonic", R): 1}),
-    "payload_starts_after_zero": (reindex({0: 1, 1: 2, 2: 3}), {("payload_starts_after_zero", F): 1}),
-    "short_payload_run_length": (clones(4, {0, 1, 2}, first_kept={0}), {("short_payload_run_length", F): 1}),
+        cell(R, "cumulative_gas_used", 2, 80_000), {("receipt_cumulative_gas_used_not_monotonic", R): 1}),
+    "payload_starts_after_zero": (reindex({0: 1, 1: 2, 2: 3, 3: 4}), {("payload_starts_after_zero", F): 1}),
+    "short_payload_run_length": (clones(4, {0, 1, 2, 3}, first_kept={0}), {("short_payload_run_length", F): 1}),
     "excess_tail_only_payloads": (clones(3, {1, 2}), {("excess_tail_only_payloads", F): 3}),
 }
 # Defects that cannot help tripping a second rule, exactly as listed. Rows that share an ordinal count as
 # sorted by value, so repeated ordinals alone do not trip the gas order.
 ALSO = {
-    "duplicate_flashblock_key": {
-        "non_contiguous_payload_indexes", "flashblock_count_mismatch", "duplicate_transaction_ordinal",
-        "non_contiguous_transaction_ordinals"},
+    "duplicate_flashblock_key": {"non_contiguous_payload_indexes", "flashblock_count_mismatch"},
     "payload_maps_to_multiple_blocks": {"child_block_number_mismatch"},
-    "orphan_child_flashblock": {
-        "flashblock_count_mismatch", "transaction_receipt_hash_mismatch", "non_contiguous_transaction_ordinals"},
+    "orphan_child_flashblock": {"flashblock_count_mismatch", "transaction_receipt_hash_mismatch"},
     "flashblock_count_mismatch": {"flashblock_transaction_receipt_count_mismatch", "non_contiguous_transaction_ordinals"},
     "flashblock_transaction_receipt_count_mismatch": {"flashblock_count_mismatch"},
-    "duplicate_transaction_ordinal": {"non_contiguous_transaction_ordinals", "orphan_access_list_row"},
+    "duplicate_transaction_ordinal": set(),
     "duplicate_transaction_hash": {
         "transaction_receipt_hash_mismatch", "transaction_rlp_hash_mismatch", "transaction_receipt_type_mismatch"},
     "non_contiguous_transaction_ordinals": {"orphan_access_list_row"},
     "duplicate_receipt_key": {
-        "transaction_receipt_hash_mismatch", "transaction_receipt_type_mismatch", "receipt_log_count_mismatch",
-        "non_contiguous_log_ordinals"},
+        "transaction_receipt_hash_mismatch", "transaction_receipt_type_mismatch", "receipt_log_count_mismatch"},
     "transaction_receipt_hash_mismatch": {"receipt_log_count_mismatch"},
     "duplicate_receipt_log_key": {"non_contiguous_log_ordinals"},
     "receipt_log_count_mismatch": {"non_contiguous_log_ordinals"},
@@ -194,8 +190,8 @@ EXTRA = {
     "unknown_type_label": (
         several(cell(T, "transaction_type", 0, 3), cell(R, "receipt_type", 0, 3)), {"transaction_type_mismatch", "receipt_type_mismatch"}),
     "huge_ordinal": (cell(L, "log_ordinal", 2, 2**64 - 1), {"non_contiguous_log_ordinals"}),
-    "huge_index": (reindex({2: 2**64 - 1}), {"non_contiguous_payload_indexes"}),
-    "span_counts_gaps": (cell(F, "index", 2, 3), {"non_contiguous_payload_indexes", "orphan_child_flashblock", "flashblock_count_mismatch"}),
+    "huge_index": (reindex({3: 2**64 - 1}), {"non_contiguous_payload_indexes"}),
+    "span_counts_gaps": (cell(F, "index", 3, 4), {"non_contiguous_payload_indexes", "orphan_child_flashblock", "flashblock_count_mismatch"}),
     "wrong_hour": (
         lambda tables, day, hour: tables[F][0].update(block_timestamp=tables[F][0]["block_timestamp"] + timedelta(hours=1)), {"partition_date_mismatch"}),
 }
@@ -280,4 +276,4 @@ def test_example_payload(result):
     _, rows = result
     row = next(r for r in rows["duplicate_flashblock_key"] if r["rule_id"] == "payload_run_length_distribution")
     assert json.loads(row["example"]) == {
-        "payload_length_count": 1, "payload_length_min": 2, "payload_length_median": 2.0, "payload_length_max": 2}
+        "payload_length_count": 1, "payload_length_min": 3, "payload_length_median": 3.0, "payload_length_max": 3}
