@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .tally import tally
 
-# Ordinals are cut into runs of 2**RUN_BITS, so a window never sees more rows than that.
-RUN_BITS = 16
-
 
 def backward_groups(
     df: DataFrame,
@@ -26,19 +23,19 @@ def backward_groups(
     be a value range per row (``high`` defaults to ``low``).
 
     1. Rows collapse to (group, ordinal) with the smallest and largest value: unique ordinals.
-    2. ``lag`` runs inside runs of 65,536 consecutive ordinals, so a group with a third of all rows
-       is still many bounded windows.
-    3. The first and last value of each run are compared across runs of the group.
+    2. These are range-partitioned along group and ordinal and compared inside each range, so a group with a third of all
+       rows is many ranges of a like size, however sparse its ordinals are.
+    3. The first and last value of each range are compared across the ranges of the group, one row per group and range.
     """
     high = high or low
-    run = F.shiftright(F.col("_ord"), RUN_BITS)
     points = (
         df.select(*scope, *group, F.col(ordinal).cast("bigint").alias("_ord"), F.col(low).alias("_low"), F.col(high).alias("_high"))
         .where(F.col("_ord").isNotNull())
         .groupBy(*scope, *group, "_ord")
         .agg(F.min("_low").alias("_low"), F.max("_high").alias("_high"))
-        .withColumn("_run", run)
     )
+    # Equal keys are one row by now, and adaptive execution merges neighbouring ranges only.
+    points = points.repartitionByRange(*scope, *group, "_ord").withColumn("_run", F.spark_partition_id())
     inside = W.partitionBy(*scope, *group, "_run").orderBy("_ord")
     runs = (
         points.withColumn("_falls", F.col("_low") < F.lag("_high").over(inside))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from ..functions.columns import null_safe_join, unsigned
 
-# Values are cut into ranges of 2**RANGE_BITS, so a window never sees more distinct values than that.
-RANGE_BITS = 16
+# A rank is found digit by digit, so a window never sees more than 2**DIGIT_BITS rows.
+DIGIT_BITS = 16
 
 
 def _attach(rows: DataFrame, per_scope: DataFrame, scope: Sequence[str]) -> DataFrame:
@@ -33,42 +33,46 @@ def histogram(df: DataFrame, value: str, scope: Sequence[str] = ()) -> DataFrame
 def distribution(hist: DataFrame, scope: Sequence[str] = (), zero: int = 0) -> DataFrame:
     """Exact summary of a ``histogram``: ``(scope..., count, minimum, median_value, maximum)``.
 
-    The rows of a scope are ranked without sorting them in one task: totals per range of 65,536
-    values locate the range of the middle row(s), and only that range is ranked value by value.
+    Radix selection: counts per leading digit of 16 bits tell in which digit the middle row(s) lie, counts per second digit
+    below that one, and so on; four digits make a value. Each coarser count is made from the finer one, and a scope keeps at
+    most two rows from digit to digit, so neither sparse values nor a hot scope make a window long.
     """
-    rng = F.shiftright("value", RANGE_BITS)
-    ranges = hist.groupBy(*scope, rng.alias("_range")).agg(
-        F.sum("n").alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max")
-    )
+    levels = [hist.select(*scope, F.col("value").alias("_cell"), F.col("n").alias("_n"), F.col("value").alias("_min"), F.col("value").alias("_max"))]
+    for _ in range(-(-64 // DIGIT_BITS) - 1):
+        upper = F.shiftright("_cell", DIGIT_BITS).alias("_cell")
+        levels.append(levels[-1].groupBy(*scope, upper).agg(F.sum("_n").alias("_n"), F.min("_min").alias("_min"), F.max("_max").alias("_max")))
+    *finer, top = levels
     everything = W.partitionBy(*scope) if scope else W.partitionBy(F.lit(1))
-    upto = everything.orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = (
-        ranges.withColumn("_upto", F.sum("_n").over(upto))
-        .withColumn("_count", F.sum("_n").over(everything))
-        .withColumn("_min", F.min("_min").over(everything))
-        .withColumn("_max", F.max("_max").over(everything))
-        .withColumn("_lower", F.floor((F.col("_count") + 1) / 2).cast("bigint"))
-        .withColumn("_upper", F.floor((F.col("_count") + 2) / 2).cast("bigint"))
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .where((F.col("_upto") >= F.col("_lower")) & (F.col("_before") < F.col("_upper")))
-    )
-    inside = W.partitionBy(*scope, "_range").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    middle = hist.withColumn("_range", rng)
-    middle = null_safe_join(middle, placed.drop("_n", "_upto"), [*scope, "_range"]).withColumn(
-        "_rank", F.col("_before") + F.sum("n").over(inside)
-    )
-    low = F.min(F.when(F.col("_rank") >= F.col("_lower"), F.col("value")))
-    high = F.min(F.when(F.col("_rank") >= F.col("_upper"), F.col("value")))
+    total = F.sum("_n").over(everything)
+    facts = ("_count", "_least", "_most", "_lower", "_upper")
+    found = _holding_middle(top.select(
+        *scope, "_cell", "_n", F.lit(0).cast("bigint").alias("_before"), total.alias("_count"), F.min("_min").over(everything).alias("_least"),
+        F.max("_max").over(everything).alias("_most"), F.floor((total + 1) / 2).cast("bigint").alias("_lower"),
+        F.floor((total + 2) / 2).cast("bigint").alias("_upper")), everything, scope)
+    for level in reversed(finer):
+        above = found.select(*scope, F.col("_cell").alias("_above"), "_before", *facts)
+        above = above if scope else F.broadcast(above)  # two rows without a scope
+        cells = level.select(*scope, "_cell", "_n", F.shiftright("_cell", DIGIT_BITS).alias("_above"))
+        found = _holding_middle(null_safe_join(cells, above, [*scope, "_above"]), W.partitionBy(*scope, "_above"), scope)
+    low = F.min(F.when(F.col("_before") + F.col("_n") >= F.col("_lower"), F.col("_cell")))
+    high = F.min(F.when(F.col("_before") + F.col("_n") >= F.col("_upper"), F.col("_cell")))
     total = unsigned(low, zero).cast("decimal(20,0)") + unsigned(high, zero).cast("decimal(20,0)")
     count = F.first("_count") if scope else F.coalesce(F.first("_count"), F.lit(0))
-    return middle.groupBy(*scope).agg(
+    return found.groupBy(*scope).agg(
         count.alias("count"),
-        unsigned(F.first("_min"), zero).alias("minimum"),
+        unsigned(F.first("_least"), zero).alias("minimum"),
         (total / F.lit(2)).cast("double").alias("median_value"),
-        unsigned(F.first("_max"), zero).alias("maximum"),
+        unsigned(F.first("_most"), zero).alias("maximum"),
     )
 
 
+def _holding_middle(cells: DataFrame, siblings: WindowSpec, scope: Sequence[str]) -> DataFrame:
+    """The cells that hold the row(s) in the middle; ``_before`` becomes the number of the scope's rows before a cell."""
+    upto = F.col("_before") + F.sum("_n").over(siblings.orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow))
+    placed = cells.select(*scope, "_cell", "_n", (upto - F.col("_n")).alias("_before"), "_count", "_least", "_most", "_lower", "_upper")
+    return placed.where((F.col("_before") + F.col("_n") >= F.col("_lower")) & (F.col("_before") < F.col("_upper")))
+
+
 def run_length() -> Column:
     """Span of a group on ``ordinal_ranges`` output: last - first + 1, not its row count."""
     return F.col("last_ordinal") - F.col("first_ordinal") + 1

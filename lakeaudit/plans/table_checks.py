@@ -317,6 +317,19 @@ def monotonic_linked(spark, sf_dir):
     return ordered.backward_children(lines, lines, ["l_orderkey"], "l_partkey", "l_linenumber", "l_extendedprice")
 
 
+@query("monotonic_sparse", """
+SELECT event_type, count(*) FILTER (WHERE falls > 0) AS backward_groups FROM (
+  SELECT event_type, user_id, count(*) FILTER (WHERE value < before) AS falls FROM (
+    SELECT event_type, user_id, value, lag(value) OVER (PARTITION BY event_type, user_id ORDER BY epoch_us(ts), value) AS before
+    FROM events) GROUP BY 1, 2) GROUP BY 1
+""")
+def monotonic_sparse(spark, sf_dir):
+    """Values along microseconds: ordinals far apart."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
+    events = table(spark, sf_dir, "events").withColumn("micros", micros)
+    return ordered.backward_groups(events, ["user_id"], "micros", "value", scope=["event_type"])
+
+
 # --- row contracts ----------------------------------------------------------------------------
 
 

@@ -154,7 +154,7 @@ def _expand(root: str, low: date, high: date, limit: int):
 
 def _by_frontier(spark: SparkSession, root: str, low: date, high: date) -> DataFrame:
     tasks = 4 * spark.sparkContext.defaultParallelism
-    frontier, files = spark.createDataFrame([("", [])], "rel_path string, above array<int>"), None
+    frontier, files = spark.createDataFrame([("", [])], "rel_path string, above array<int>").coalesce(1), None
     while True:
         found = materialize(frontier.mapInArrow(_expand(root, low, high, DIRECTORIES_PER_TASK), _FOUND_SCHEMA), narrow=False)
         mine = found.where("NOT is_dir").select("rel_path", "size")

@@ -127,14 +127,27 @@ def test_ordinal_verdicts(spark):
             distinct == list(range(len(distinct))), sorted(os) == list(range(len(os))), max(os) + 1 - min(os) != len(os), min(os) > 0), g
 
 
-@pytest.mark.parametrize("bits", [16, 1])
-def test_backward_groups(spark, monkeypatch, bits):
-    """With one-bit runs, every group spans several runs."""
-    monkeypatch.setattr(ordered, "RUN_BITS", bits)
-    rng = random.Random(bits)
+@pytest.mark.parametrize("parts", [4, 61])
+def test_backward_groups(spark, parts):
+    """Many small groups, and two with most of the rows and ordinals far apart, one of which falls once; cut into few or many ranges."""
+    rng = random.Random(parts)
     rows = [(s, g, rng.randint(-6, 9), rng.randint(0, 9) if s % 2 else None) for s in range(CASES) for g in range(3) for _ in range(rng.randint(0, 5))]
     rows = [(s, g, o, o + 20 if v is None else v) for s, g, o, v in rows]
-    frame = spark.createDataFrame(rows, "s int, g int, o int, v int")
+    steps = sorted({rng.randrange(-(2**62), 2**62) for _ in range(3000)})
+    rows += [(None, 7, o, n) for n, o in enumerate(steps)] + [(None, 8, o, n - 2 * (n == 2000)) for n, o in enumerate(steps)]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "s int, g int, o bigint, v int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", parts == 4)
+    try:
+        _check_backward_groups(frame, rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+
+
+def _check_backward_groups(frame, rows):
     got = by_scope(ordered.backward_groups(frame, ["g"], "o", "v", scope=["s"]), "backward_groups")
     want = defaultdict(int)
     for s, g in {(r[0], r[1]) for r in rows}:
@@ -160,11 +173,13 @@ def test_backward_children(spark):
         assert got.get(s, 0) == want, s
 
 
-@pytest.mark.parametrize("bits", [16, 2])
+@pytest.mark.parametrize("bits", [16, 12])
 def test_distribution(spark, monkeypatch, bits):
-    monkeypatch.setattr(profile, "RANGE_BITS", bits)
+    """Values of all sizes and signs, near to and far from each other."""
+    monkeypatch.setattr(profile, "DIGIT_BITS", bits)
     rng = random.Random(5)
-    cases = {s: [rng.randint(-40, 60) if rng.random() < 0.7 else 7 for _ in range(rng.randint(1, 9))] for s in range(CASES)}
+    scale = lambda: rng.choice([1, 1, 2**11, 2**16, 2**33, 2**50, 2**56])
+    cases = {s: [rng.randint(-40, 60) * scale() if rng.random() < 0.7 else 7 for _ in range(rng.randint(1, 9))] for s in range(CASES)}
     rows = [(s if s else None, v) for s, values in cases.items() for v in values] + [(1, None)]
     frame = spark.createDataFrame(rows, "s int, v bigint")
     hist = profile.histogram(frame, "v", ["s"])
@@ -174,10 +189,22 @@ def test_distribution(spark, monkeypatch, bits):
     every = [v for values in cases.values() for v in values]
     row = profile.distribution(profile.histogram(frame, "v")).first()
     assert tuple(row) == (len(every), min(every), float(median(every)), max(every))
-    empty = profile.distribution(profile.histogram(frame.where("v > 1000"), "v")).first()
+    empty = profile.distribution(profile.histogram(frame.where("v IS NULL"), "v")).first()
     assert tuple(empty) == (0, None, None, None)
 
 
+def test_no_window_over_more_rows_than_a_digit_has(spark):
+    """A million sparse values of one scope: the median is exact, and what the windows see is bounded by their digits."""
+    frame = spark.range(1_000_000).select((F.col("id") * 7_777_777_777_777 - 2**61).alias("v"))
+    row = profile.distribution(profile.histogram(frame, "v")).first()
+    half = (499_999 * 7_777_777_777_777 - 2**61) + (500_000 * 7_777_777_777_777 - 2**61)
+    assert tuple(row) == (1_000_000, -(2**61), float(half) / 2, 999_999 * 7_777_777_777_777 - 2**61)
+    cells = frame.groupBy(*[F.shiftright("v", profile.DIGIT_BITS * k).alias(f"c{k}") for k in (1, 2, 3)]).count()
+    for k in (3, 2, 1):
+        above = ["c3", "c2"][: 3 - k]
+        assert cells.groupBy(*above).agg(F.countDistinct(f"c{k}").alias("n")).agg(F.max("n")).first()[0] <= 1 << profile.DIGIT_BITS
+
+
 def test_distribution_of_huge_unsigned_values(spark):
     values = [0, 1, 2**63, 2**64 - 1]
     frame = spark.createDataFrame([(str(v),) for v in values], "v string").select(ordered_long(F.col("v").cast("decimal(20,0)")).alias("v"))
