@@ -99,7 +99,7 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "suffix_dedup.n_bytes", removed.alias("n_removed"), F.size("suffix_dedup.spans").cast("long").alias("n_spans"),
         F.sha2("suffix_dedup.kept", 256).alias("kept_sha256"),
         # A cut may split a character: its remains are replaced by U+FFFD in this column, and only here.
-        F.decode("suffix_dedup.kept", F.lit("UTF-8")).alias("text"),
+        F.make_valid_utf8(F.col("suffix_dedup.kept").cast("string")).alias("text"),
     )
 
 
