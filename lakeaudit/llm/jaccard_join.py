@@ -4,12 +4,14 @@ The matrix has a row per distinct set and a column per n-gram; its product with
 that can decide are multiplied: a set's n-grams are put in one global order, rare ones first, and as two similar sets share
 so many n-grams, they must share one of the first few (the size-derived bound). The order comes from a count sketch of all
 n-grams; any order gives the same result, a good one few products. Columns with many rows are cut into blocks, and each pair
-of blocks is multiplied by itself. Pairs whose shared first n-grams, with all that may follow, are too few for their sizes
-are dropped at once; the overlap of the others is counted exactly.
+of blocks is multiplied by itself, with the n-grams folded to as many columns modulo two as the sets' sizes ask for: the
+folded rows of two sets differ in at most as many columns as the sets differ in n-grams, so the product bounds the overlap
+from above, and pairs below what their sizes ask for are dropped at once. The overlap of the others is counted exactly.
 
 Rows of equal sets are one row of the matrix. In crowded columns, rows are first compared with a central one; rows that are
 thus known to be connected need not be compared again, so a large group of near copies costs about as many comparisons as
-it has members.
+it has members. Blocks then give each row's closest partner first, and only where that leaves rows that can be similar but
+are not connected, the remaining pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ COUNTERS = 1 << 20
 SEGMENTS = 64
 #: Members of a column's block.
 BLOCK = 512
+#: Bits of a folded row at most; a larger set's are folded more densely, which drops fewer pairs before they are counted.
+FOLDED_BITS = 1 << 15
 #: Rows of columns with more members are first compared with the column's pivot.
 CROWD = 2
 #: So many ids at most are broadcast; more are joined by a shuffle.
@@ -91,8 +95,20 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"segment": pa.array(list(total), pa.int32()), "counts": pa.array([x.tobytes() for x in total.values()], pa.binary())})
 
 
+def _folded_bits(n: np.ndarray, percent: int) -> np.ndarray:
+    """Bits of the folded rows of sets of these sizes: a power of two, six times what similar sets may differ in."""
+    differ = np.maximum(1, 2 * n * (100 - percent) // (100 + percent))
+    return np.minimum(FOLDED_BITS, 1 << np.maximum(6, np.ceil(np.log2(6 * differ))).astype(np.int64))
+
+
+def _fold(hashes: np.ndarray, bits: int) -> bytes:
+    """The set's row of the matrix modulo two, its columns folded to so many."""
+    odd = np.bincount((hashes >> np.uint64(24)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def _prefixes(counts, size: int, percent: int):
-    """The rarest n-grams of each set, one of which any similar set has among its own; and the count of the last of them."""
+    """The rarest n-grams of each set, one of which any similar set has among its own; and its folded row."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a task gives equal sets once
@@ -106,12 +122,14 @@ def _prefixes(counts, size: int, percent: int):
             keep = (np.arange(len(hashes)) - bounds[text]) < first[text]
             grams = hashes[order][keep].view(np.int64)
             ends = np.concatenate([[0], np.cumsum(first)])
-            last = np.where(first > 0, count[order][np.maximum(bounds[:-1] + first - 1, 0)] if len(order) else 0, 0)
+            new = [f > 0 and not (d in seen or seen.add(d)) for d, f in zip(digests.tolist(), first.tolist(), strict=True)]
+            bits = _folded_bits(n, percent).tolist()
+            folded = [_fold(hashes[a:b], w) if f else None for a, b, w, f in zip(bounds[:-1], bounds[1:], bits, new, strict=True)]
             rows = pa.RecordBatch.from_pydict({
-                "row": pa.array(digests), "n": pa.array(n, pa.int64()), "last": pa.array(last, pa.int64()),
+                "row": pa.array(digests), "n": pa.array(n, pa.int64()), "folded": pa.array(folded, pa.binary()),
                 "prefix": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(grams)),
             })
-            yield rows.filter(pa.array([f > 0 and not (d in seen or seen.add(d)) for d, f in zip(digests.tolist(), first.tolist(), strict=True)], pa.bool_()))
+            yield rows.filter(pa.array(new, pa.bool_()))
 
     return prefixes
 
@@ -121,63 +139,76 @@ def _shared_columns(twice, bits: int):
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefix = batch.column(1)
+            prefix = batch.column(2)
             column = prefix.flatten().to_numpy(zero_copy_only=False)
             hit = seen_twice(twice.value, bits, column.view(np.uint64))
-            row = batch.column(0).to_numpy()[pc.list_parent_indices(prefix).to_numpy()]
-            yield pa.RecordBatch.from_pydict({"column": pa.array(column[hit]), "row": pa.array(row[hit])})
+            of = pc.list_parent_indices(prefix).to_numpy()[hit]
+            row, n = (batch.column(i).to_numpy()[of] for i in (0, 1))
+            yield pa.RecordBatch.from_pydict({"column": pa.array(column[hit]), "row": pa.array(row), "n": pa.array(n)})
 
     return shared
 
 
-def _may_be_similar(n, last, prefixes: list[np.ndarray], percent: int) -> np.ndarray:
-    """For all pairs of a block's rows: whether what they share of their prefixes leaves them a chance.
+def _narrowed(folded: bytes, width: int) -> np.ndarray:
+    """A folded row of more bytes, folded to ``width`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(folded, np.uint8).reshape(-1, width), axis=0)
+
 
-    The product of the block's incidence matrix with itself counts the shared n-grams. Of two rows, the one whose prefix ends
-    earlier in the global order has shared all it can before that end; beyond it, it has only so many n-grams left.
+def _room(n: np.ndarray, folded: list[bytes], percent: int) -> np.ndarray:
+    """For all pairs of rows: in how many n-grams similar sets of their sizes may differ, less those they surely differ in.
+
+    Pairs below zero are not similar. The product of the folded rows, as ones and minus ones, counts the columns in which
+    they differ; rows of different widths are compared in the narrower one.
     """
-    size = np.array([len(p) for p in prefixes])
-    flat, row = np.concatenate(prefixes), np.repeat(np.arange(len(size)), size)
-    _, column, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    common = counts[column] > 1
-    number = np.cumsum(counts > 1) - 1
-    incidence = np.zeros((len(size), max(1, int((counts > 1).sum()))), np.float32)
-    incidence[row[common], number[column[common]]] = 1
-    shared = (incidence @ incidence.T).astype(np.int64)
-    rank = np.empty(len(size), np.int64)  # of the prefixes' ends in the global order
-    rank[np.lexsort((np.array([p[-1] for p in prefixes]).view(np.uint64), last))] = np.arange(len(size))
-    earlier = rank[:, None] <= rank[None, :]
-    left = np.where(earlier, (n - size)[:, None], (n - size)[None, :])
     total = n[:, None] + n[None, :]
     ratio = np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * percent
-    return ratio & (shared > 0) & (shared + left >= -(-total * percent // (100 + percent)))
+    room = np.where(ratio, total - 2 * -(-total * percent // (100 + percent)), -1)
+    widths = np.array([len(x) for x in folded])
+    for width in np.unique(widths).tolist():
+        wide = np.flatnonzero(widths >= width)
+        own = np.flatnonzero(widths[wide] == width)
+        signs = np.unpackbits(np.stack([_narrowed(folded[i], width) for i in wide]), axis=1).astype(np.float32) * 2 - 1
+        room[np.ix_(wide[own], wide)] -= ((8 * width - signs[own] @ signs.T) / 2).astype(np.int64)
+    return np.minimum(room, room.T)
+
 
+def _multiply(percent: int, closest: bool):
+    """Pairs of rows ``x, y`` in a block (or across two) that are not yet connected and can be similar.
 
-def _multiply(percent: int):
-    """Pairs of rows in a column's block (or across two blocks) that are not yet connected and can be similar."""
+    With ``closest``, each row gives one pair only; a block that has more also gives a row ``of`` without a pair.
+    """
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [], []
+            pairs, more = [np.zeros((0, 2), np.int64)], []
             cells = batch.column(0).flatten()
-            row, n, last, group, block = (cells.field(i).to_numpy(zero_copy_only=False) for i in range(5))
-            prefix = cells.field(5)
-            grams, ends = prefix.flatten().to_numpy(zero_copy_only=False), prefix.offsets.to_numpy() - prefix.offsets[0].as_py()
+            row, n, group, block = (cells.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            folded = cells.field(4)
             offsets = batch.column(0).offsets.to_numpy() - batch.column(0).offsets[0].as_py()
             across = batch.column(1).to_numpy(zero_copy_only=False)
-            for a, b, other in zip(offsets[:-1], offsets[1:], across, strict=True):
+            for a, b, other, of in zip(offsets[:-1], offsets[1:], across, batch.column(2).to_pylist(), strict=True):
                 own = group[a:b]
                 if (own == own[0]).all():
                     continue
-                fits = _may_be_similar(n[a:b], last[a:b], [grams[ends[i] : ends[i + 1]] for i in range(a, b)], percent)
-                fits &= own[:, None] != own[None, :]
+                room = _room(n[a:b], folded.slice(a, b - a).to_pylist(), percent)
+                fits = (room >= 0) & (own[:, None] != own[None, :])
                 if other:
                     fits &= block[a:b][:, None] != block[a:b][None, :]
-                x, y = np.nonzero(np.triu(fits, 1))
-                left.append(row[a:b][x])
-                right.append(row[a:b][y])
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (left, right)], names=["x", "y"])
+                if closest and np.count_nonzero(fits) > 2:
+                    best = np.where(fits, room, -1).argmax(axis=1)
+                    x = np.flatnonzero(fits.any(axis=1))
+                    y = best[x]
+                    more.append(of)
+                else:
+                    x, y = np.nonzero(np.triu(fits, 1))
+                found = np.stack([row[a:b][x], row[a:b][y]], axis=1)
+                pairs.append(np.unique(np.sort(found, axis=1), axis=0))
+            found = np.unique(np.concatenate(pairs), axis=0)
+            yield pa.RecordBatch.from_pydict({
+                "x": pa.concat_arrays([pa.array(found[:, 0]), pa.nulls(len(more), pa.int64())]),
+                "y": pa.concat_arrays([pa.array(found[:, 1]), pa.nulls(len(more), pa.int64())]),
+                "of": pa.concat_arrays([pa.nulls(len(found), pa.int64()), pa.array(more, pa.int64())]),
+            })
 
     return multiply
 
@@ -187,11 +218,12 @@ def _promising(percent: int):
 
     def promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (batch.column(i).to_pylist() for i in (2, 3))
+            (n, x), (m, y) = ([batch.column(i).field(f).to_pylist() for f in ("n", "folded")] for i in (2, 3))
             keep = []
-            for p, q in zip(x, y, strict=True):
-                n, last = np.array([p["n"], q["n"]]), np.array([p["last"], q["last"]])
-                keep.append(bool(_may_be_similar(n, last, [np.array(p["prefix"]), np.array(q["prefix"])], percent)[0, 1]))
+            for p, q, s, t in zip(n, m, x, y, strict=True):
+                width = min(len(s), len(t))
+                s, t = (int.from_bytes(v if len(v) == width else _narrowed(v, width).tobytes(), "little") for v in (s, t))
+                keep.append((s ^ t).bit_count() <= p + q - 2 * -(-(p + q) * percent // (100 + percent)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return promising
@@ -236,12 +268,12 @@ class _Join:
         self.classes = written(named.groupBy("set").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("_n")))
 
     def cells(self) -> DataFrame:
-        """``column, row, members`` of the columns that decide and have more than one row."""
-        rows = self.base.mapInArrow(_prefixes(self.counts, self.size, self.percent), "row long, n long, last long, prefix array<long>")
+        """``column, row, n, members`` of the columns that decide and have more than one row."""
+        rows = self.base.mapInArrow(_prefixes(self.counts, self.size, self.percent), "row long, n long, folded binary, prefix array<long>")
         self.rows = written(rows.dropDuplicates(["row"]))
         many = self.rows.agg(F.sum(F.size("prefix"))).first()[0] or 0
         twice, bits = twice_filter(self.rows.select(F.col("prefix").alias("hashes")), many)
-        cells = self.rows.select("row", "prefix").mapInArrow(_shared_columns(self.base.sparkSession.sparkContext.broadcast(twice), bits), "column long, row long")
+        cells = self.rows.select("row", "n", "prefix").mapInArrow(_shared_columns(self.base.sparkSession.sparkContext.broadcast(twice), bits), "column long, row long, n long")
         cells = written(cells)
         shared = written(cells.groupBy("column").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("members", F.col("_n")))
         return written(lookup(cells, shared, ["column"], "_n", "inner"))
@@ -263,19 +295,27 @@ class _Join:
         """
         crowd = cells.where(F.col("members") > CROWD)
         central = crowd.groupBy("row").agg((-F.count(F.lit(1))).alias("o"))
-        pivot = F.min(F.struct("o", F.xxhash64("row").alias("h"), F.col("row").alias("pivot"))).alias("p")
+        pivot = F.min(F.struct("o", F.xxhash64("row").alias("h"), F.col("row").alias("pivot"), F.col("n").alias("of"))).alias("p")
         pivots = crowd.join(central, "row").groupBy("column").agg(pivot, F.first("members").alias("_n"))
-        pairs = lookup(crowd.drop("members"), written(pivots.select("column", "p.pivot", "_n")), ["column"], "_n", "inner").where("row != pivot")
+        pairs = lookup(crowd.drop("members"), written(pivots.select("column", "p.pivot", "p.of", "_n")), ["column"], "_n", "inner").where("row != pivot")
+        pairs = pairs.where(F.least("n", "of") * 100 >= F.greatest("n", "of") * self.percent)
         pairs = written(pairs.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct())
-        about = F.struct("n", "last", "prefix")
+        about = F.struct("n", "folded")
         x, y = self.rows.select(F.col("row").alias("a"), about.alias("x")), self.rows.select(F.col("row").alias("b"), about.alias("y"))
         pairs = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
         return self.verified(written(pairs.mapInArrow(_promising(self.percent), "a long, b long")))
 
-    def by_blocks(self, cells: DataFrame, known: DataFrame) -> DataFrame:
-        """Links of rows that are not known to be connected: all blocks of all columns. Equal blocks are multiplied once."""
-        known = known.select(F.col("node").alias("row"), "component")
-        cells = cells.join(known, "row", "left").withColumn("group", F.coalesce("component", "row")).drop("component")
+    def product(self, lists: DataFrame, closest: bool) -> DataFrame:
+        """``x, y, of`` of the lists' blocks (:func:`_multiply`)."""
+        cell = F.struct("row", "n", "group", F.pmod(F.xxhash64("row"), "blocks").alias("block"), "folded")
+        blocks = lists.join(self.rows.drop("prefix"), "row").groupBy("of", "across").agg(F.collect_list(cell).alias("cells"))
+        return written(blocks.select("cells", "across", "of").mapInArrow(_multiply(self.percent, closest), "x long, y long, of long"))
+
+    def by_blocks(self, cells: DataFrame, first: DataFrame) -> DataFrame:
+        """Links of rows that ``first`` does not connect: all blocks of all columns. Equal blocks are multiplied once."""
+        grouped = lambda rows, known: rows.join(known.select(F.col("node").alias("row"), "component"), "row", "left").withColumn(
+            "group", F.coalesce("component", "row")).drop("component")
+        cells = grouped(cells, components(first))
         open_ = cells.groupBy("column").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("column")
         cells = written(cells).join(written(open_), "column", "left_semi")
         blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int").alias("blocks")
@@ -285,10 +325,14 @@ class _Join:
         lists = lists.agg(F.sort_array(F.collect_list(F.struct("row", "group"))).alias("list")).where(F.size("list") > 1)
         lists = lists.groupBy("list", "blocks", (F.col("i") != F.col("j")).alias("across")).agg(F.count(F.lit(1)).alias("columns"))
         lists = written(lists.select(F.xxhash64("list", "blocks", "across").alias("of"), "blocks", "across", F.explode("list").alias("c")).select("*", "c.*").drop("c"))
-        cell = F.struct("row", "n", "last", "group", F.pmod(F.xxhash64("row"), "blocks").alias("block"), "prefix")
-        product = lists.join(self.rows, "row").groupBy("of", "across").agg(F.collect_list(cell).alias("cells"))
-        pairs = product.select("cells", "across").mapInArrow(_multiply(self.percent), "x long, y long")
-        return self.verified(written(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()))
+        pairs_of = lambda found: written(found.where("y IS NOT NULL").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        found = self.product(lists, True)
+        links = self.verified(pairs_of(found))
+        again = written(found.where("y IS NULL").select("of").distinct())
+        if not again.limit(1).count():
+            return links
+        rest = grouped(lists.drop("group").join(again, "of", "left_semi"), components(first.unionByName(links)))
+        return links.unionByName(self.verified(pairs_of(self.product(rest, False))))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
@@ -304,7 +348,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     join = _Join(base, size, percent)
     cells = join.cells()
     first = join.by_pivots(cells)
-    links = first.unionByName(join.by_blocks(cells, components(first)))
+    links = first.unionByName(join.by_blocks(cells, first))
     found = components(links).withColumnRenamed("node", "set")
     classes = written(join.classes.join(found, "set", "left").withColumn("component", F.coalesce("component", "set")))
     names = classes.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_n"))

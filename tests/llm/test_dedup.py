@@ -233,3 +233,26 @@ def test_passages_of_frequent_lines(spark):
             if other != i:
                 links.append((other, i))
     assert len(links) > 100 and not [(a, b) for a, b in links if a not in group or group.get(a) != group.get(b)]
+
+
+def test_folded_rows_never_lose_a_link():
+    """Sets of all sizes around the bound: what the folded rows rule out is not similar."""
+    random = np.random.default_rng(5)
+    for percent in (50, 80, 90, 100):
+        sets = []
+        for size in (1, 2, 3, 9, 40, 41, 300, 2000):
+            base = random.integers(0, 1 << 62, size, dtype=np.int64).astype(np.uint64)
+            for edits in {0, 1, size // 20, size // 10, size // 4}:
+                sets.append(np.unique(np.concatenate([base[edits:], random.integers(0, 1 << 62, edits // 2, dtype=np.int64).astype(np.uint64)])))
+        sets = [s for s in sets if len(s)]
+        n = np.array([len(s) for s in sets])
+        folded = [jaccard_join._fold(s, int(w)) for s, w in zip(sets, jaccard_join._folded_bits(n, percent), strict=True)]
+        room = jaccard_join._room(n, folded, percent)
+        ruled_out = 0
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                shared = len(np.intersect1d(a, b))
+                if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    assert room[i, j] >= 0, (percent, i, j)
+                ruled_out += room[i, j] < 0
+        assert ruled_out > len(sets) ** 2 / 2
