@@ -29,6 +29,25 @@ MEASURES = ("payload_length", "transaction_count", "log_count", "balance_change_
 LABELS = tuple(TYPE_LABELS.values())
 
 
+
+def _partition_columns() -> str:
+    counts = ["tail_only", "total_transactions", *[f"{m}_count" for m in MEASURES], *[f"{x}_count" for x in LABELS]]
+    ranges = [f"{m}_{part}" for m in MEASURES for part in ("min", "median", "max")]
+    columns = ["part_id int", "partition_date date", "partition_hour int", *[f"{c} bigint" for c in counts]]
+    columns += [f"{c} {'double' if c.endswith('median') else 'decimal(20,0)'}" for c in ranges]
+    columns += [f"{c} bigint" for c in ("short_runs", "threshold_length", "empty_count")]
+    return ", ".join([*columns, "empty_names string", *[f"{c} boolean" for c in ("tail_only_excess", "peer_eligible", "is_peer")]])
+
+
+# The columns of stored snapshots.
+SNAPSHOT_SCHEMAS = {
+    "partitions": _partition_columns(),
+    "physical": "part_id int, dataset string, row_count bigint, file_size_bytes bigint, row_groups bigint, "
+    "compressed_bytes bigint, uncompressed_bytes bigint, compression_ratio double",
+    "mix": "part_id int, label string, n bigint",
+}
+
+
 @dataclass(frozen=True)
 class Snapshots:
     """Compact profiles in long form; small enough to keep for every audited partition.

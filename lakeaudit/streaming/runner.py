@@ -3,25 +3,32 @@
 Everything a run produced lives under ``<working>/runs/<run_id>``: findings, summary, reviewed days and
 snapshots. A run counts only once its row is in ``<working>/commits``; readers take state from the
 newest committed run, so a run that died half way leaves no trace in it.
+
+Commits are numbered, and the file of a number can be created once only. Of two writers that started
+from the same state, the second one finds its number taken, rereads the state and decides anew.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.audit import Audit, audit
-from ..plans.baseline import Snapshots
+from ..plans.baseline import SNAPSHOT_SCHEMAS, Snapshots
 from ..sinks.report import markdown, summary_payload, write_findings, write_text
 from ..sources.manifest import discover_days, layout_errors
+from ..sources.records import DecodingError, read_records, schema_problems
 from . import review
 
-COMMIT_SCHEMA = "sequence bigint, run_id string, latest_reviewed_day date, snapshots_run_id string"
+COMMIT_SCHEMA = "sequence bigint NOT NULL, run_id string NOT NULL, latest_reviewed_day date, snapshots_run_id string"
+REVIEWED_SCHEMA = "partition_date date NOT NULL"
 
 
 class ReviewStateError(ValueError):
@@ -68,20 +75,69 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def publish(spark: SparkSession, folder: str, name: str, text: str) -> bool:
+    """Create ``folder/name`` with its whole content, unless it exists: False then, and nothing is changed.
+
+    The text is written beside the folder's visible files first. A local file system links it to its name,
+    any other one renames it without overwriting; both are one step that only one writer can do.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    target, draft = path(f"{folder}/{name}"), path(f"{folder}/_drafts/{uuid.uuid4().hex}")
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = system.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if system.getUri().getScheme() == "file":
+            local = [jvm.java.nio.file.Paths.get(p.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.String, 0)) for p in (target, draft)]
+            jvm.java.nio.file.Files.createLink(*local)
+        else:
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), system.getConf()).rename(draft, target, options)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        system.delete(draft, False)
+
+
+def _snapshots(spark: SparkSession, home: str) -> Snapshots:
+    """Stored snapshots, which must have the declared columns."""
+    parts = {}
+    for name, declared in SNAPSHOT_SCHEMAS.items():
+        parts[name] = spark.read.parquet(f"{home}/{name}")
+        problems = schema_problems(parts[name].schema, declared)
+        if problems:
+            raise ReviewStateError(f"{home}/{name}: " + "; ".join(problems))
+    return Snapshots(**parts)
+
+
 def load_state(spark: SparkSession, working: str) -> ReviewState:
-    """State of the newest committed run; an empty state before the first."""
+    """State of the newest committed run; an empty state before the first.
+
+    Records with missing, extra or retyped fields are refused, and so are two commits of one number.
+    """
     if not _exists(spark, f"{working}/commits"):
         return ReviewState(0, None, None, None, None)
-    commits = spark.read.schema(COMMIT_SCHEMA).option("mode", "FAILFAST").json(f"{working}/commits")
-    newest = commits.orderBy(F.desc("sequence")).first()
-    if newest is None:
-        return ReviewState(0, None, None, None, None)
-    run = f"{working}/runs/{newest['run_id']}"
-    reviewed = spark.read.schema("partition_date date").option("mode", "FAILFAST").json(f"{run}/reviewed_days")
+    try:
+        commits = read_records(spark, f"{working}/commits", COMMIT_SCHEMA)
+        newest, *same = commits.orderBy(F.desc("sequence")).limit(2).collect() or [None]
+        if newest is None:
+            return ReviewState(0, None, None, None, None)
+        if same and same[0]["sequence"] == newest["sequence"]:
+            raise ReviewStateError(f"commit {newest['sequence']} is stored twice")
+        run = f"{working}/runs/{newest['run_id']}"
+        reviewed = read_records(spark, f"{run}/reviewed_days", REVIEWED_SCHEMA)
+    except DecodingError as error:
+        raise ReviewStateError(str(error)) from error
     snapshots = None
     if newest["snapshots_run_id"] is not None:
-        home = f"{working}/runs/{newest['snapshots_run_id']}/snapshots"
-        snapshots = Snapshots(*[spark.read.parquet(f"{home}/{part}") for part in ("partitions", "physical", "mix")])
+        snapshots = _snapshots(spark, f"{working}/runs/{newest['snapshots_run_id']}/snapshots")
     latest = newest["latest_reviewed_day"]
     return ReviewState(newest["sequence"], latest, reviewed if latest is not None else None, snapshots, newest["snapshots_run_id"])
 
@@ -117,8 +173,17 @@ def review_next(
 ) -> Step:
     """Review the next day of a ``year=/month=/day=/hour=`` lake and commit the advanced state.
 
-    ``days`` (``partition_date, has_files``) overrides the discovered day folders.
+    ``days`` (``partition_date, has_files``) overrides the discovered day folders. If another writer commits
+    first, the step is decided anew from what it left; its own results stay in a folder that never counts.
     """
+    while True:
+        step = _attempt(spark, root, working, max_days_back, verify_hashes, run_time, days)
+        if step is not None:
+            return step
+
+
+def _attempt(spark, root, working, max_days_back, verify_hashes, run_time, days) -> Step | None:
+    """One step from the state as it is now; None if another writer has committed meanwhile."""
     if max_days_back < 0:
         raise ValueError("max_days_back must not be negative")
     errors = layout_errors(spark, root)
@@ -132,7 +197,7 @@ def review_next(
         reviewed = review.resolved_reviewed(days, state.reviewed, state.latest)
         plan = review.next_review(days, reviewed, max_days_back).first()
         moment = (run_time or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H-%M-%SZ")
-        run_id = f"{moment}-{state.sequence + 1:06d}"
+        run_id = f"{moment}-{state.sequence + 1:06d}-{uuid.uuid4().hex[:8]}"
         report = f"{working}/runs/{run_id}"
         old_days = review.expired_days(days, reviewed, max_days_back).first()
         standing = Days(
@@ -141,8 +206,7 @@ def review_next(
         oldest, target = window["oldest_day"], plan["target_day"]
         if target is None:
             write_findings(None, f"{report}/findings", spark)
-            _commit(spark, working, run_id, state, state.latest, reviewed, None, step)
-            return step
+            return step if _commit(spark, working, run_id, state, state.latest, reviewed, None, step) else None
         committed = _days_of(state.snapshots, oldest, target, False) if state.snapshots is not None else None
         done = audit(spark, root, target, target, verify_hashes, committed)
         latest = target if state.latest is None else max(state.latest, target)
@@ -155,14 +219,14 @@ def review_next(
             audited = done.snapshots.partitions.select("part_id")
             kept = old.map(lambda f: f.join(audited, "part_id", "left_anti")).zip(
                 done.snapshots, lambda a, b: a.unionByName(b.select(*a.columns)))
-        _commit(spark, working, run_id, state, latest, review.advanced_reviewed(reviewed, target), kept, step)
-        return step
+        done_days = review.advanced_reviewed(reviewed, target)
+        return step if _commit(spark, working, run_id, state, latest, done_days, kept, step) else None
     finally:
         days.unpersist()
 
 
-def _commit(spark, working, run_id, state, latest, reviewed, snapshots, step: Step) -> None:
-    """Write the state of the run, then the commit row that makes it count."""
+def _commit(spark, working, run_id, state, latest, reviewed, snapshots, step: Step) -> bool:
+    """Write the state of the run, then the commit row that makes it count. False if its number was taken meanwhile."""
     run = f"{working}/runs/{run_id}"
     reviewed.coalesce(1).write.mode("errorifexists").json(f"{run}/reviewed_days")
     snapshots_run = state.snapshots_run_id
@@ -173,8 +237,8 @@ def _commit(spark, working, run_id, state, latest, reviewed, snapshots, step: St
     payload = step.record()
     write_text(spark, json.dumps(payload, sort_keys=True), f"{run}/summary")
     write_text(spark, markdown(payload, step.lake, "Lake review"), f"{run}/summary_page")
-    row = [(state.sequence + 1, run_id, latest, snapshots_run)]
-    spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{working}/commits")
+    row = {"sequence": state.sequence + 1, "run_id": run_id, "latest_reviewed_day": latest, "snapshots_run_id": snapshots_run}
+    return publish(spark, f"{working}/commits", f"{state.sequence + 1:012d}.json", json.dumps(row, default=str))
 
 
 def drain(spark: SparkSession, root: str, working: str, **options) -> Iterator[Step]:

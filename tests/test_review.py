@@ -128,3 +128,4 @@ def test_only_unsupported_paths_still_advance(spark, tmp_path):
     step = review_next(spark, str(tmp_path / "lake"), str(tmp_path / "work"), 0)
     assert (step.state, step.audited["reviewed_partition_count"], step.days.latest) == ("validated", 0, d(5))
     assert step.audited["rule_counts"] == {"partition_parse_error": 1}
+    assert load_state(spark, str(tmp_path / "work")).snapshots.partitions.count() == 0
