@@ -15,6 +15,7 @@ from ..functions.presence import prefix_matches, timestamp_in_partition
 from ..operators import digest, drift, findings, keys, ordered, profile, relations, shapes
 from ..operators.relations import Relation
 from ..session import materialize
+from ..sources.records import record_problems
 from ..streaming import review
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -726,6 +727,30 @@ def upsert_snapshots(spark, sf_dir):
     return review.upsert_snapshots(kept, current, "partition_date")
 
 
+# Each order as a JSON record; some are damaged, by customer. The same text in both engines.
+_RECORD = """CASE o_custkey % 9 WHEN 2 THEN '{"key":"x"' WHEN 5 THEN '{"key":null' WHEN 6 THEN '{"key":0.5' ELSE '{"key":' || CAST(o_orderkey AS VARCHAR(20)) END
+  || CASE o_custkey % 9 WHEN 1 THEN '' WHEN 7 THEN ',"status":null' ELSE ',"status":"' || o_orderstatus || '"' END
+  || CASE o_custkey % 9 WHEN 3 THEN ',"more":1' ELSE '' END || CASE o_custkey % 9 WHEN 4 THEN '' ELSE '}' END"""
+
+
+@query("strict_records", f"""
+WITH r AS (SELECT {_RECORD} AS v FROM orders), ok AS (SELECT CASE WHEN json_valid(v) THEN v END AS v FROM r),
+     f AS (SELECT v, json_keys(v) AS names, json_type(v, '$.key') AS k, json_type(v, '$.status') AS s FROM ok WHERE v IS NOT NULL),
+     p AS (SELECT 'malformed' AS kind, NULL AS field FROM ok WHERE v IS NULL
+           UNION ALL SELECT CASE WHEN NOT list_contains(names, 'key') THEN 'missing' WHEN k = 'NULL' THEN 'null' ELSE 'retyped' END, 'key'
+             FROM f WHERE NOT list_contains(names, 'key') OR k NOT IN ('UBIGINT', 'BIGINT')
+           UNION ALL SELECT CASE WHEN NOT list_contains(names, 'status') THEN 'missing' ELSE 'retyped' END, 'status'
+             FROM f WHERE NOT list_contains(names, 'status') OR s NOT IN ('VARCHAR', 'NULL')
+           UNION ALL SELECT 'extra', n FROM (SELECT unnest(names) AS n FROM f) WHERE n NOT IN ('key', 'status'))
+SELECT kind, field, count(*) AS records FROM p GROUP BY kind, field
+""")
+def strict_records(spark, sf_dir):
+    """JSON records checked field by field before they are decoded."""
+    records = table(spark, sf_dir, "orders").select(F.expr(_RECORD).alias("value"))
+    problems = record_problems(records, "key bigint NOT NULL, status string").select(F.explode("problems").alias("p"))
+    return problems.groupBy("p.kind", "p.field").agg(F.count(F.lit(1)).alias("records"))
+
+
 # --- digests ----------------------------------------------------------------------------------
 
 
