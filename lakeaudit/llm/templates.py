@@ -39,11 +39,11 @@ UNITS = (
 def _marked(text: Column) -> Column:
     """Tokens joined by one space, in lower case. Names begin with NAME, other words with a capital with START; numbers are whole."""
     text = F.translate(F.coalesce(text, F.lit("")), NAME + POINT + START + NUM_SLOT + NAME_SLOT + UNIT_SLOT, "")
-    # A capital after a word and a space, not after the end of a sentence or line, begins a name.
-    text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;)] )(?=\p{Lu}\p{Ll})", NAME)
-    text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}\p{{M}}{NAME}])(?=\p{{Lu}}\p{{Ll}})", START)
-    text = F.regexp_replace(text, r"(?<=\p{N})[.,](?=\p{N})", POINT)
-    text = F.regexp_replace(text, r"(?<=\p{N})(?=\p{L})|(?<=\p{L})(?=\p{N})", " ")
+    # A capital after a word and a space, not after the end of a sentence or line, begins a name. What few places have is asked first.
+    text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<=[\p{L}\p{N},;)] )", NAME)
+    text = F.regexp_replace(text, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{N}}\p{{M}}{NAME}])", START)
+    text = F.regexp_replace(text, r"[.,](?=\p{N})(?<=\p{N}[.,])", POINT)
+    text = F.regexp_replace(text, r"(?=\p{N})(?<=\p{L})|(?=\p{L})(?<=\p{N})", " ")
     text = F.regexp_replace(text, rf"[^\p{{L}}\p{{N}}\p{{M}}{NAME}{POINT}{START}]+", " ")
     return F.trim(F.lower(text))
 
