@@ -2,12 +2,17 @@
 
 An entity's surrogate is drawn with a secret key from its type and text alone, so one entity has one surrogate in all
 documents (coreference), and nobody without the key can go back. A check over all distinct entities finds surrogates that
-two entities share, or that are entities themselves, and draws again for these until none is left (distinctness). All of it
-is DataFrame functions; documents without entities are not shuffled.
+two entities share, or that are entities themselves, and draws again for these until none is left (distinctness). What
+entities have in common, domains of addresses and last names, is settled in the same way first, so that all addresses of a
+domain and all members of a family share the new one. Names of later draws have more parts (``Abel-Baker``), so there are
+always enough. All of it is DataFrame functions; documents without entities are not shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +48,7 @@ NAMES = {
     "greek_m": "Αλέξης Βασίλης Γιώργος Δημήτρης Ηλίας Κώστας Νίκος Πέτρος".split(),
     "greek_l": "Αλεξίου Γεωργίου Δημητρίου Ιωάννου Κωνσταντίνου Νικολάου Παύλου Πέτρου".split(),
 }
-#: Draws in which an entity takes its letters, digits or names; then it is lengthened by further digits (no end is reached).
+#: Draws in which letters and digits keep their number; each later one adds one of the last one's kind, so no space is too small.
 DRAWS = 6
 
 
@@ -89,53 +94,53 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.slice(F.transform(digits, part), 1, F.greatest(F.size(digits) - 1, F.lit(0))), F.lit(0), lambda total, x: total + x)
 
 
-def _surrogate(kind: Column, entity: Column, key: str, attempt: Column) -> Column:
-    """A surrogate for the attempt. After ``DRAWS`` attempts it is lengthened as well."""
-    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, entity, attempt.cast("string")), 256)
-    domain_seed = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index(entity, "@", -1), attempt.cast("string")), 256)
+def _seed(key: str, attempt: int, *parts: Column | str) -> Column:
+    return F.sha2(F.concat_ws("\x1f", F.lit(key), *[F.lit(p) if isinstance(p, str) else p for p in parts], F.lit(str(attempt))), 256)
+
+
+def _lengthened(text: Column, attempt: int) -> Column:
+    return text if attempt < DRAWS else F.concat(text, F.repeat(F.right(text, F.lit(1)), F.lit(attempt - DRAWS + 1)))
+
+
+def _surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
+    """A surrogate of a number, a secret, a domain or a last name for the attempt."""
+    seed = _seed(key, attempt, kind, entity)
     zero = F.lit(0)
-    domain = F.substring_index(entity, "@", -1)
-    top = F.substring_index(domain, ".", -1)
-    host = F.substr(domain, F.lit(1), F.char_length(domain) - F.char_length(top))
-    email = F.concat(_redrawn(F.substring_index(entity, "@", 1), seed, zero), F.lit("@"), _redrawn(host, domain_seed, zero), top)
-    ip = F.concat_ws(".", *[(_number(seed, i, 254) + 1).cast("string") for i in range(4)])
-    plain = _redrawn(entity, seed, zero)
+    top = F.substring_index(entity, ".", -1)
+    host = F.substr(entity, F.lit(1), F.char_length(entity) - F.char_length(top) - 1)
+    domain = F.concat(_redrawn(_lengthened(host, attempt), seed, zero), F.lit("."), top)
+    ip = F.concat_ws(".", *[(_number(seed, i, 254) + 1).cast("string") for i in range(4 + max(0, attempt - 4 * DRAWS))])
+    long = _lengthened(entity, attempt)
+    plain = _redrawn(long, seed, zero)
     # a country code stays
-    phone = _redrawn(entity, seed, F.char_length(F.regexp_extract(entity, r"^(\+\d{1,3})(?!\d)", 1)))
+    phone = _redrawn(long, seed, F.char_length(F.regexp_extract(entity, r"^(\+\d{1,3})(?!\d)", 1)))
     # a card number that had a right check digit gets one
     digits, fresh = F.split(F.regexp_replace(entity, r"\D", ""), ""), F.split(F.regexp_replace(plain, r"\D", ""), "")
     check = F.pmod(-_luhn_sum(fresh), F.lit(10)).cast("string")
     right = F.pmod(_luhn_sum(digits) + F.element_at(digits, -1).cast("int"), F.lit(10)) == 0
     card = F.when(right, F.concat(F.substr(plain, F.lit(1), F.char_length(plain) - 1), check)).otherwise(plain)
     iban = F.concat(F.substring(entity, 1, 2), F.substr(plain, F.lit(3)))
-    secret = F.when(entity.rlike("^[0-9a-f]+$"), F.substr(F.concat(seed, F.sha2(seed, 256)), F.lit(1), F.char_length(entity))).otherwise(plain)
-    secret = F.when(F.char_length(secret) == F.char_length(entity), secret).otherwise(plain)
-    out = (
-        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "iban", iban)
-        .when(kind == "secret", secret).when(kind == "name", _name(entity, key, attempt)).otherwise(plain)
+    secret = F.when(entity.rlike("^[0-9a-f]+$"), F.substr(F.concat(seed, F.sha2(seed, 256)), F.lit(1), F.char_length(long))).otherwise(plain)
+    secret = F.when(F.char_length(secret) == F.char_length(long), secret).otherwise(plain)
+    return (
+        F.when(kind == "domain", domain).when(kind == "last", _composed(F.lit("l"), entity, key, attempt)).when(kind == "ip", ip)
+        .when(kind == "phone", phone).when(kind == "card", card).when(kind == "iban", iban).when(kind == "secret", secret).otherwise(plain)
     )
-    longer = F.concat(out, F.lit("-"), F.abs(F.xxhash64(seed)).cast("string"))
-    return F.when(attempt < DRAWS, out).otherwise(longer)
 
 
-def _name(entity: Column, key: str, attempt: Column) -> Column:
-    """Title as it was; names of the title's gender and the name's script, as many as there were."""
-    title, names = F.regexp_extract(entity, TITLE, 1), F.regexp_replace(entity, r"^\S+ ", "")
-    bare = F.regexp_replace(title, r"\.$", "")
-    gender = F.when(bare.isin(FEMALE), "f").otherwise("m")
-    script = F.when(names.rlike(r"\p{IsCyrillic}"), "cyrillic").when(names.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    # a last name is drawn by itself, so that a family's stays one
-    parts = F.split(names, " ")
-    last_seed = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("last"), F.element_at(parts, -1), attempt.cast("string")), 256)
-    first_seed = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("first"), gender, names, attempt.cast("string")), 256)
+def _composed(which: Column, name: Column, key: str, attempt: int, *of: Column) -> Column:
+    """A first (``f`` or ``m``) or last (``l``) name of the name's script, of one part more with each attempt."""
+    script = F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    lists = F.create_map(*[x for k, v in NAMES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    list_, seed = lists[F.concat_ws("_", script, which)], _seed(key, attempt, which, name, *of)
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(attempt)), lambda i: F.element_at(list_, F.pmod(F.xxhash64(seed, i), F.size(list_)).cast("int") + 1)), "-")
 
-    def pick(which: Column, seed: Column) -> Column:
-        lists = F.create_map(*[x for k, v in NAMES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-        list_ = lists[F.concat_ws("_", script, which)]
-        return F.element_at(list_, F.pmod(F.xxhash64(seed), F.size(list_)).cast("int") + 1)
 
-    last, first = pick(F.lit("l"), last_seed), pick(gender, first_seed)
-    return F.when(F.size(parts) > 1, F.concat_ws(" ", title, first, last)).otherwise(F.concat_ws(" ", title, last))
+def _dependent(kind: Column, entity: Column, base: Column, key: str, attempt: int) -> Column:
+    """An address at its new domain, or a person (of kind ``f`` or ``m``) with the new last name."""
+    local = _redrawn(_lengthened(F.substring_index(entity, "@", 1), attempt), _seed(key, attempt, kind, entity), F.lit(0))
+    first = _composed(kind, F.substring_index(entity, " ", 1), key, attempt, F.substring_index(entity, " ", -1))
+    return F.when(kind == "email", F.concat(local, F.lit("@"), base)).otherwise(F.concat(first, F.lit(" "), base))
 
 
 def found_entities(table: DataFrame, text_col: str, *keys: Column) -> DataFrame:
@@ -144,28 +149,65 @@ def found_entities(table: DataFrame, text_col: str, *keys: Column) -> DataFrame:
     return rows.withColumn("found", F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1))).where(F.size("found") > 0)
 
 
-def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
-    """``kind, entity, _n, surrogate`` for ``kind, entity, _n``: distinct, and none is an entity.
+def _settled(entities: DataFrame, draw: Callable[[int], Column]) -> DataFrame:
+    """``entities`` (a written table with ``kind, entity``, distinct) with ``surrogate``: distinct, and none is an entity.
 
-    Each round draws for the entities whose surrogate another one has, or which is itself found in the texts; the entity
-    that comes first keeps a shared one. With every round fewer are left, and lengthened surrogates leave none.
+    Each round draws for the entities whose surrogate another one has, or which is itself an entity; the one that comes first
+    keeps a shared one. Few possible surrogates in an early round make large groups, so they are split as hot keys are.
     """
-    done = None
+    done: list[DataFrame] = []
     open_, attempt = entities, 0
-    while True:
-        drawn = written(open_.withColumn("surrogate", _surrogate(F.col("kind"), F.col("entity"), key, F.lit(attempt))))
-        first = drawn.groupBy("surrogate").agg(F.min(F.struct("kind", "entity")).alias("first"))
-        taken = entities.select(F.col("entity").alias("surrogate")).distinct().withColumn("taken", F.lit(True))
-        if done is not None:
-            taken = taken.unionByName(done.select("surrogate").withColumn("taken", F.lit(True))).distinct()
-        judged = drawn.join(first, "surrogate").join(taken, "surrogate", "left")
+    known = entities.select(F.col("entity").alias("surrogate"))
+    while open_.limit(1).count():
+        drawn = written(open_.withColumn("surrogate", draw(attempt)))
+        taken = reduce(DataFrame.unionByName, [known, *[d.select("surrogate") for d in done]]).distinct().withColumn("taken", F.lit(True))
+        first = drawn.groupBy("surrogate").agg(F.min(F.struct("kind", "entity")).alias("first"), F.count(F.lit(1)).alias("_in"))
+        judged = lookup(drawn, written(first.join(taken, "surrogate", "left")), ["surrogate"], "_in", "inner")
         good = F.col("taken").isNull() & (F.struct("kind", "entity") == F.col("first"))
-        judged = written(judged.select("kind", "entity", "_n", "surrogate", good.alias("good")))
-        kept = judged.where("good").drop("good")
-        done = kept if done is None else written(done.unionByName(kept))
-        open_, attempt = judged.where("NOT good").select("kind", "entity", "_n"), attempt + 1
-        if not open_.limit(1).count():
-            return done
+        judged = written(judged.select(*entities.columns, "surrogate", good.alias("good")))
+        done.append(judged.where("good").drop("good"))
+        open_, attempt = judged.where("NOT good").select(*entities.columns), attempt + 1
+    return reduce(DataFrame.unionByName, done) if done else entities.withColumn("surrogate", F.lit(None).cast("string"))
+
+
+def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
+    """``kind, entity, _n, surrogate`` for ``kind, entity, _n`` (distinct): surrogates are distinct, and none is an entity.
+
+    Domains and last names are settled first, together with all numbers; then addresses at them and persons of that name.
+    A new domain or last name is none that occurs, hence no address or name made with it occurs either.
+    """
+    domain, names = F.substring_index("entity", "@", -1), F.regexp_replace("entity", TITLE, "")
+    title = F.regexp_extract("entity", TITLE, 1)
+    emails = entities.where("kind = 'email'").withColumn("part", domain)
+    named = entities.where("kind = 'name'").select(
+        "*", title.alias("title"), names.alias("names"), F.substring_index(names, " ", -1).alias("part"),
+        F.when(F.regexp_replace(title, r"\.$", "").isin(FEMALE), "f").otherwise("m").alias("gender"),
+    )
+    parts = [
+        rows.groupBy("part").agg(F.count(F.lit(1)).alias("_n")).select(F.lit(kind).alias("kind"), F.col("part").alias("entity"), "_n")
+        for kind, rows in (("domain", emails), ("last", named))
+    ]
+    kind, entity = F.col("kind"), F.col("entity")
+    single = entities.where("kind NOT IN ('email', 'name')").select("kind", "entity", "_n")
+    level = written(_settled(written(single.unionByName(parts[0]).unionByName(parts[1])), lambda attempt: _surrogate(kind, entity, key, attempt)))
+
+    def based(rows: DataFrame, part: str) -> DataFrame:
+        facts = level.where(kind == part).select(entity.alias("part"), F.col("surrogate").alias("base"), F.col("_n").alias("_in"))
+        return lookup(rows, facts, ["part"], "_in", "inner")
+
+    named = written(based(named, "last"))
+    several = F.col("names").contains(" ")
+    persons = named.where(several).groupBy("gender", "names", "base").agg(F.count(F.lit(1)).alias("_n"))
+    both = based(emails, "domain").select("kind", "entity", "base", "_n").unionByName(
+        persons.select(F.col("gender").alias("kind"), F.col("names").alias("entity"), "base", "_n"))
+    second = written(_settled(written(both), lambda attempt: _dependent(kind, entity, F.col("base"), key, attempt)))
+    # a person has as many rows as titles; a title stays as it was
+    persons = second.where("kind <> 'email'").select(kind.alias("gender"), entity.alias("names"), F.col("surrogate").alias("person"))
+    full = named.where(several).join(persons, ["gender", "names"]).unionByName(named.where(~several).withColumn("person", F.col("base")))
+    full = full.withColumn("surrogate", F.concat_ws(" ", "title", "person"))
+    columns = ["kind", "entity", "_n", "surrogate"]
+    frames = [level.where("kind NOT IN ('domain', 'last')"), second.where("kind = 'email'"), full]
+    return written(reduce(DataFrame.unionByName, [f.select(*columns) for f in frames]))
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", result: str = "pii") -> DataFrame:
@@ -173,8 +215,9 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
 
     Entities are e-mail and IPv4 addresses, IBANs, long secrets of letters and digits, card, social security and phone
     numbers, and names after a title. Equal entities get equal surrogates in all rows, different ones different ones. Numbers
-    keep their length, separators and country code, cards with a right check digit get one, names keep title, gender and
-    script, addresses keep their top-level domain, and addresses of one domain share the new one. NULL texts stay NULL,
+    keep their length (up to ``DRAWS`` collisions), separators and country code, cards with a right check digit get one, names
+    keep title, gender and script, and share a last name where they did; addresses keep their top-level domain and share a
+    domain where they did. NULL texts stay NULL,
     empty ones empty, texts without entities as they are. Ids may be NULL or repeat; repeated rows are replaced alike. An
     empty table gives no rows. Other columns are passed on whatever their names; one named as the result is replaced.
     """
