@@ -24,6 +24,8 @@ CHUNK = 1 << 16
 #: Fixed values of the WARC 1.1 standard.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_TYPE = "application/http; msgtype=response"
+#: First bytes of a gzip member (fixed: magic number and the deflate method).
+GZIP_HEAD = b"\x1f\x8b\x08"
 
 ARCHIVE_SCHEMA = "path string, content binary"
 RECORD_SCHEMA = (
@@ -173,16 +175,29 @@ def _parse(member: _Member) -> dict:
 
 
 def records_of(path: str, content: bytes) -> Iterator[dict]:
-    """The records of one archive in order. After a member that can't be framed, a last row tells the error and the offset."""
+    """The records of one archive in order. A range that can't be framed gives a row with its offset and what is wrong."""
     data, at = memoryview(content), 0
     while at < len(data):
         member = _Member(data, at)
         try:
             yield {"path": path, "offset": at, **_parse(member)}
+            at = member.at
         except (zlib.error, EOFError, ValueError, KeyError) as error:
-            yield {"path": path, "offset": at, "error": str(error) or type(error).__name__}
-            return
-        at = member.at
+            on = _next_record(content, at + 1)
+            yield {"path": path, "offset": at, "error": f"{str(error) or type(error).__name__}; skipped {on - at} bytes"}
+            at = on
+
+
+def _next_record(content: bytes, at: int) -> int:
+    """The next place of a gzip head whose content begins as a record does, or the archive's end."""
+    while (at := content.find(GZIP_HEAD, at)) >= 0:
+        try:
+            if zlib.decompressobj(31).decompress(content[at : at + CHUNK], 5) == b"WARC/":
+                return at
+        except zlib.error:
+            pass
+        at += 1
+    return len(content)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,8 +220,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
     """The records of archives ``path, content``, in the columns of ``RECORD_SCHEMA``.
 
     Every member is decompressed in chunks, framed by its content length and checked against its digests; ``error`` is NULL
-    for a good record. A record whose digest or length differs is returned with its error; an archive that is cut off or no
-    WARC ends with a row that has only path, offset and error. A NULL or empty content gives no rows. ``payload_bytes`` and
+    for a good record. A record whose digest or length differs is returned with its error; a range that is cut off, damaged or
+    no WARC gives a row that has only path, offset and error, and reading goes on at the next record behind it. A NULL or empty content gives no rows. ``payload_bytes`` and
     ``payload_digest`` of a revisit are those of the payload it refers to; its ``payload`` is NULL.
     """
     return archives.select("path", "content").mapInArrow(_read, RECORD_SCHEMA)

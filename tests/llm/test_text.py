@@ -89,6 +89,21 @@ def test_warc_damage():
     assert "digest differs" in next(warc.records_of("p", pack.compress(text) + pack.flush()))["error"]
 
 
+def test_warc_reads_on_after_damage():
+    parts = [warc.record_bytes("response", f"urn:page:{i}", "http://x", random.Random(i).randbytes(3000), None, "2000-01-01T00:00:00Z") for i in range(6)]
+    starts = [sum(map(len, parts[:i])) for i in range(7)]
+    for at, junk in ((0, b"\0" * 5), (starts[2] + 40, b"\xff" * 30), (starts[4] - 9, b"\0" * 20), (starts[3], warc.GZIP_HEAD + b"no record")):
+        whole = bytearray(b"".join(parts))
+        whole[at : at + len(junk)] = junk
+        got = list(warc.records_of("p", bytes(whole)))
+        hit = {i for i in range(6) if starts[i] < at + len(junk) and at < starts[i + 1]}
+        assert [r["record_id"] for r in got if not r["error"]] == [f"urn:page:{i}" for i in range(6) if i not in hit]
+        assert [r["offset"] for r in got if r["error"]] == [starts[min(hit)]] if len(hit) == 1 else True
+    # junk between records, and an end that is cut off
+    got = list(warc.records_of("p", parts[0] + b"junk" + parts[1] + parts[2][:-30]))
+    assert [r.get("record_id") for r in got] == ["urn:page:0", None, "urn:page:1", None] and "skipped 4 bytes" in got[1]["error"]
+
+
 # ---- templates
 
 
@@ -196,11 +211,60 @@ def test_surrogates(spark):
 
 
 def test_surrogates_stay_distinct(spark):
-    """Far more names than there are surrogates to draw, and entities that are surrogates' likely values."""
-    rows = [("name", f"Mr N{chr(97 + i // 26)}{chr(97 + i % 26)}", 1) for i in range(200)] + [("ip", f"1.1.1.{i}", 1) for i in range(100)]
+    """Far more names than there are in the lists, many addresses of one domain, short addresses, surrogates' likely values."""
+    letters = [chr(97 + i // 676) + chr(97 + i // 26 % 26) + chr(97 + i % 26) for i in range(10000)]
+    rows = [("name", f"Mr N{x}", 1) for x in letters] + [("name", f"Ms Ada N{x}", 1) for x in letters[:300]]
+    rows += [("name", f"{t} {x} Smith", 1) for x in surrogates.NAMES["latin_m"] for t in ("Mr", "Mr.", "Herr")] + [("name", f"Mr {x}", 1) for x in surrogates.NAMES["latin_l"]]
+    rows += [("name", f"Κύριος Α{x}", 1) for x in "αβγδεζηθικλμνξοπρστυφχψω"]
+    rows += [("email", f"p{x}@corp.example.com", 1) for x in letters[:1000]] + [("email", f"{a}@{b}.org", 1) for a in "abcdefghijklmnop0123456789" for b in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("ip", f"1.1.1.{i}", 1) for i in range(100)] + [("ssn", f"123-45-{i}", 1) for i in range(1000, 1300)]
     table = surrogates.surrogate_table(spark.createDataFrame(rows, "kind string, entity string, _n long"), "k").collect()
-    assert len({r.surrogate for r in table}) == len(table) == len(rows)
-    assert not {r.surrogate for r in table} & {r.entity for r in table}
+    assert sorted((r.kind, r.entity) for r in table) == sorted(r[:2] for r in rows)
+    assert len({r.surrogate for r in table}) == len(table) and not {r.surrogate for r in table} & {r.entity for r in table}
+    new = {r.entity: r.surrogate for r in table}
+    for r in table:
+        assert re.fullmatch(PLAIN[r.kind], r.surrogate), r
+        if r.kind == "name":
+            title, *_, last = r.entity.split(" ")
+            assert r.surrogate.split(" ")[0] == title and r.surrogate.count(" ") == r.entity.count(" ")
+            lists = [set(surrogates.NAMES[("greek_" if title == "Κύριος" else "latin_") + k]) for k in ("f" if title == "Ms" else "m", "l")]
+            for name, of in zip(r.surrogate.split(" ")[1:], lists[-r.entity.count(" "):], strict=True):
+                assert set(name.split("-")) <= of, r
+    for of in (lambda e: e.split("@")[1] if "@" in e else None, lambda e: e.split(" ")[-1] if " " in e else None):
+        pairs = {(of(e), of(x)) for e, x in new.items() if of(e)}
+        assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
+    assert {len({new[f"{t} {x} Smith"].split(" ", 1)[1] for t in ("Mr", "Mr.", "Herr")}) for x in surrogates.NAMES["latin_m"]} == {1}
+
+
+#: What surrogates of a kind have to look like, written down apart from the patterns that find entities.
+PLAIN = {
+    "name": r"\S+ [^\W\d_]+(-[^\W\d_]+)*( [^\W\d_]+(-[^\W\d_]+)*)?", "email": r"[a-z0-9]+@[a-z.]+\.(com|org)", "ip": r"\d{1,3}(\.\d{1,3}){3}", "ssn": r"\d{3}-\d\d-\d{4}",
+}
+
+
+def test_surrogates_equal_plain_replacement(spark):
+    """The whole result against texts that are searched and put together one by one in Python, with the same table."""
+    rng = random.Random(5)
+    bits = ["Mr Smith", "Mrs. Anna Smith", "Г-жа Анна Петрова", "a.b@x.org", "c@x.org", "10.1.2.3", "123-45-6789", "4111 1111 1111 1111", "+1 (017) 555-7713", "2024-01-02", "v1.2.3",
+            "Mr", "12", "@", "word", "\n", "é", "04dbebab91ab85687d33eeaaf9ac699e1188f962", "GB82 WEST 1234 5698 7654 32"]
+    texts = [None, "", *(" ".join(rng.choice(bits) for _ in range(rng.randint(1, 12))) for _ in range(120)), "long " * 20000 + "Mr Smith " * 500]
+    table = frame(spark, [(i, t, *NONE) for i, t in enumerate(texts)]).withColumnRenamed("row", "pii")
+    regex = pytest.importorskip("regex")
+    find = regex.compile("|".join(surrogates.PATTERNS.values()))
+
+    def kind(text):
+        return next((k for k, p in surrogates.PATTERNS.items() if regex.fullmatch(p, text) and (k != "phone" or sum(c.isdigit() for c in text) >= 9)), None)
+
+    found = Counter(m for t in texts if t for m in set(find.findall(t)) if kind(m))
+    new = surrogates.surrogate_table(spark.createDataFrame([(kind(e), e, n) for e, n in found.items()], "kind string, entity string, _n long"), "k")
+    new = {r.entity: r.surrogate for r in new.collect()}
+    out = surrogates.replace_entities(table, "k")
+    assert out.columns == [c for c in table.columns if c != "pii"] + ["pii"]
+    for r in out.collect():
+        t = texts[r.doc_id]
+        assert r.text == (t and find.sub(lambda m: new.get(m[0], m[0]), t))
+        kinds = Counter(kind(m) for m in find.findall(t or "") if kind(m))
+        assert (r.pii.n_entities, dict(r.pii.kinds)) == (sum(kinds.values()), dict(kinds))
 
 
 # ---- perplexities
