@@ -1,18 +1,22 @@
 """Keccak-256 over a whole Arrow batch at once.
 
 Spark has no Keccak, and SHA3 pads differently. The permutation runs on numpy arrays with one column
-per row of the batch, so the Python cost is per batch and 136-byte block, not per row.
+per row of the batch, so the Python cost is per batch and 136-byte block, not per row. Payloads are read
+where Arrow put them; no value becomes a Python object.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import BinaryType
 
 RATE = 136
 LANES = RATE // 8
+DIGEST = 32
+_PLACES = np.arange(RATE)
 
 
 def _round_constants() -> np.ndarray:
@@ -67,44 +71,56 @@ def _permute(state: np.ndarray) -> np.ndarray:
     return state
 
 
-def _tile_digests(payloads: list[bytes], blocks: np.ndarray) -> bytes:
-    """Digests of payloads sorted from most to fewest blocks, concatenated."""
-    padded = bytearray()
-    for payload, count in zip(payloads, blocks):
-        padded += payload
-        padded += bytes(int(count) * RATE - len(payload))
-        padded[len(padded) - int(count) * RATE + len(payload)] = 0x01
-        padded[-1] ^= 0x80
-    lanes = np.frombuffer(padded, dtype="<u8").reshape(-1, LANES)
-    starts = np.cumsum(blocks) - blocks
-    state = np.zeros((25, len(payloads)), dtype=np.uint64)
+def _tile_digests(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Digests (one row of 32 bytes each) of stretches of ``data`` that are sorted from most to fewest blocks."""
+    blocks = lengths // RATE + 1
+    state = np.zeros((25, len(starts)), dtype=np.uint64)
     for block in range(int(blocks[0])):
         active = int(np.searchsorted(-blocks, -block, side="left"))
-        part = state[:, :active].copy()
-        part[:LANES] ^= lanes[starts[:active] + block].T
-        state[:, :active] = _permute(part)
-    return np.ascontiguousarray(state[:4].T).astype("<u8").tobytes()
+        left = lengths[:active] - block * RATE
+        part = data[np.minimum((starts[:active] + block * RATE)[:, None] + _PLACES, len(data) - 1)]
+        last = np.flatnonzero(left < RATE)
+        if len(last):
+            tails = np.where(_PLACES < left[last, None], part[last], np.uint8(0))
+            tails[np.arange(len(last)), left[last]] = 0x01
+            tails[:, -1] ^= 0x80
+            part[last] = tails
+        mixed = state[:, :active].copy()
+        mixed[:LANES] ^= part.view("<u8").T
+        state[:, :active] = _permute(mixed)
+    return np.ascontiguousarray(state[:4].T).astype("<u8").view(np.uint8)
+
+
+def digest_array(payload: pa.Array) -> pa.Array:
+    """Keccak-256 of each value of a binary array, read in place; NULL stays NULL.
+
+    Payloads of similar length share a tile, so few columns ever idle, and only a tile's current blocks are copied.
+    """
+    payload = payload.cast(pa.large_binary())
+    rows = len(payload)
+    _, offsets, values = payload.buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int64)[payload.offset : payload.offset + rows + 1] if rows else np.zeros(1, dtype=np.int64)
+    # a NULL may own bytes or none; it is hashed like any other value, and its digest is masked
+    data = np.frombuffer(values, dtype=np.uint8) if values is not None and values.size else np.zeros(1, dtype=np.uint8)
+    starts, lengths = bounds[:-1], np.diff(bounds)
+    order = np.argsort(-(lengths // RATE), kind="stable")
+    out = np.empty((rows, DIGEST), dtype=np.uint8)
+    for first in range(0, rows, TILE):
+        chosen = order[first : first + TILE]
+        out[chosen] = _tile_digests(data, starts[chosen], lengths[chosen])
+    ends = np.arange(rows + 1, dtype=np.int32) * DIGEST
+    hashed = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends), pa.py_buffer(out)])
+    return hashed if not payload.null_count else pc.if_else(payload.is_valid(), hashed, pa.scalar(None, pa.binary()))
 
 
 def digests(payloads: list[bytes]) -> list[bytes]:
-    """Keccak-256 of every payload. Payloads of similar length share a tile, so few columns ever idle."""
-    blocks = np.array([len(p) // RATE + 1 for p in payloads], dtype=np.int64)
-    order = np.argsort(-blocks, kind="stable")
-    result: list[bytes] = [b""] * len(payloads)
-    for first in range(0, len(payloads), TILE):
-        chosen = order[first : first + TILE]
-        hashes = _tile_digests([payloads[row] for row in chosen], blocks[chosen])
-        for place, row in enumerate(chosen):
-            result[row] = hashes[32 * place : 32 * place + 32]
-    return result
-
-
-@F.pandas_udf(BinaryType())
-def _keccak_udf(payload: pd.Series) -> pd.Series:
-    present = payload.notna()
-    out = pd.Series([None] * len(payload), index=payload.index, dtype=object)
-    out[present] = pd.Series(digests([bytes(p) for p in payload[present]]), index=payload.index[present], dtype=object)
-    return out
+    """Keccak-256 of every payload."""
+    return digest_array(pa.array(payloads, pa.large_binary())).to_pylist()
+
+
+@F.arrow_udf(BinaryType())
+def _keccak_udf(payload: pa.Array) -> pa.Array:
+    return digest_array(payload)
 
 
 def keccak256(payload: Column | str) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 RULE_SCHEMA = "rule_id string, severity string, status string, description string"
+#: So many rules at most are broadcast, after they were counted.
+BROADCAST_RULES = 10_000
 SEVERITIES = ("critical", "high", "medium", "low")
 
 
@@ -48,7 +50,8 @@ def with_rule_defaults(findings: DataFrame, rules: DataFrame) -> DataFrame:
     """Add status, severity and message. A finding whose rule is not listed fails the query; it is never dropped."""
     defaults = rules.select("rule_id", "status", "severity", F.col("description").alias("message"))
     unknown = F.raise_error(F.concat(F.lit("no such rule: "), F.coalesce("rule_id", F.lit("NULL")))).cast("string")
-    joined = findings.join(defaults, "rule_id", "left")
+    # findings are many and rules few: a catalogue of counted size is sent to the findings, not both to one task per rule
+    joined = findings.join(F.broadcast(defaults) if rules.count() <= BROADCAST_RULES else defaults, "rule_id", "left")
     return joined.withColumn("status", F.when(F.col("status").isNull(), unknown).otherwise(F.col("status")))
 
 

@@ -8,12 +8,13 @@ from collections import Counter, defaultdict
 from decimal import Decimal
 from statistics import median
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lakeaudit.functions import columns
 from lakeaudit.functions.columns import U64_ZERO, ordered_long, unsigned
-from lakeaudit.functions.keccak import digests
+from lakeaudit.functions.keccak import digest_array, digests
 from lakeaudit.functions.presence import instant_in_partition
 from lakeaudit.functions.scope import part_date, part_hour, part_id, part_label
 from lakeaudit.operators import digest, drift, findings, keys, ordered, profile, relations
@@ -318,6 +319,11 @@ def test_digests(spark):
     lengths = [0, 1, 135, 136, 137, 271, 272, 273, 5000] * 80
     together = digests([bytes([n % 251]) * length for n, length in enumerate(lengths)])
     assert together == [digests([bytes([n % 251]) * length])[0] for n, length in enumerate(lengths)]
+    values = [None if n % 7 == 0 else bytes([n % 251]) * length for n, length in enumerate(lengths)]
+    for kind in (pa.binary(), pa.large_binary()):  # NULLs, and a stretch of a longer array
+        part = digest_array(pa.array(values, kind).slice(5, 600)).to_pylist()
+        assert part == [v and digests([v])[0] if v != b"" else empty for v in values[5:605]]
+    assert digest_array(pa.array([None, None], pa.binary())).to_pylist() == [None, None]
     rows = spark.createDataFrame([(1, b"abc", abc), (1, b"abd", abc), (2, b"", empty), (2, None, empty)], "s int, p binary, d binary")
     assert by_scope(digest.digest_mismatches(rows, "p", "d", "keccak256", ["s"]), "rows", "mismatches") == {1: (2, 1), 2: (2, 1)}
     with pytest.raises(ValueError):

@@ -17,7 +17,7 @@ from tools.compare import normal  # noqa: E402
 SF_DIR = "/root/testdata/sf0.001"
 QUICK = (
     "dup_key", "ordinal_sequences", "orphan_null_keys", "count_reconcile_repeated_parents", "relation_summary", "monotonic", "row_shapes",
-    "distribution_wide", "label_mix", "count_drift", "all_examples", "review_next", "upsert_snapshots", "strict_records", "digest_verify", "footer_row_counts", "path_parsing",
+    "distribution_wide", "label_mix", "count_drift", "all_examples", "review_next", "upsert_snapshots", "strict_records", "digest_verify", "keccak_known_values", "dup_text", "footer_row_counts", "path_parsing",
 )
 NAMES = list(registry.oracle_sql()) if os.environ.get("LAKEAUDIT_ALL_QUERIES") else QUICK
 needs_data = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
