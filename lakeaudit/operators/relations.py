@@ -67,61 +67,89 @@ def _pairs(left: str, right: str) -> Column:
     return F.col(left).cast("decimal(19,0)") * F.col(right).cast("decimal(18,0)")
 
 
-def key_agreement(parent: Relation, children: Sequence[Relation], scope: Sequence[str] = ()) -> DataFrame:
-    """Compare key sets and attributes of a parent and its children.
-
-    Returns ``(scope..., relation, orphan_keys, childless_keys, mismatched_rows, flagged_rows,
-    duplicate_child_keys, duplicate_parent_keys)``, one row per child relation:
-
-    * ``orphan_keys``: distinct child keys without a parent;
-    * ``childless_keys``: distinct parent keys without a child;
-    * ``mismatched_rows``: joined rows whose attributes differ (NULL never differs);
-    * ``flagged_rows``: joined rows whose parent carries ``flag``;
-    * ``duplicate_*_keys``: keys carried by more than one row of that side.
-    """
+def _keyed(parent: Relation, children: Sequence[Relation], scope: Sequence[str], declared: bool = False) -> tuple[DataFrame, bool]:
+    """One row per key from one union of all sides: rows ``_n``, flagged rows ``_f``, known attributes ``_v`` and matches ``_m``
+    of each side; with ``declared`` also what ``_candidates`` needs. And whether attributes are compared."""
     sides = [parent, *children]
     key_names = [f"_k{i}" for i in range(len(parent.keys))]
     with_attribute = parent.attribute is not None and any(c.attribute for c in children)
     flagged = F.coalesce(parent.flag, F.lit(False)) if parent.flag is not None else F.lit(False)
+    ranged = [i for i, c in enumerate(children, start=1) if declared and c.declared is not None and c.ordinal is not None]
     frames = []
     for position, side in enumerate(sides):
         columns = [F.col(c) for c in scope] + _keys(side) + [F.lit(position).cast("tinyint").alias("_side"), _weight(side)]
         columns.append((flagged if position == 0 else F.lit(False)).alias("_flag"))
         if with_attribute and side.attribute is not None:
             columns.append(F.col(side.attribute).alias("_attr"))
+        if declared:
+            columns.append((F.col(side.counted).isNotNull() if side.counted else F.lit(True)).alias("_counted"))
+            columns.append((F.col(side.ordinal) if position in ranged else F.lit(None)).cast("bigint").alias("_ord"))
+            if position == 0:
+                columns += [F.col(children[i - 1].declared).cast("bigint").alias(f"_d{i}") for i in ranged]
         frames.append(side.rows.select(*columns))
     rows = _stack(frames)
 
     count = _weighted(sides)
     counts = [count(F.col("_side") == i).alias(f"_n{i}") for i in range(len(sides))]
     counts.append(count(F.col("_flag")).alias("_f"))
-    if with_attribute:
-        # Step 1 by (key, attribute): multiplicities of each value. Step 2 by key: totals and matches.
-        cells = rows.groupBy(*scope, *key_names, "_attr").agg(*counts)
-        known = F.col("_attr").isNotNull()
-        sums = [F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(sides))]
-        sums += [F.sum("_f").alias("_f"), F.coalesce(F.sum(F.when(known, F.col("_n0"))), F.lit(0)).alias("_v0")]
-        for i, child in enumerate(children, start=1):
-            if child.attribute is not None:
-                sums.append(F.coalesce(F.sum(F.when(known, F.col(f"_n{i}"))), F.lit(0)).alias(f"_v{i}"))
-                sums.append(F.coalesce(F.sum(F.when(known, _pairs("_n0", f"_n{i}"))), F.lit(0)).alias(f"_m{i}"))
-        keyed = cells.groupBy(*scope, *key_names).agg(*sums)
-    else:
-        keyed = rows.groupBy(*scope, *key_names).agg(*counts)
-
-    joinable = all_present(key_names)
+    sums = [F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(sides))] + [F.sum("_f").alias("_f")]
+    for i, child in enumerate(children, start=1):
+        mine = F.col("_side") == i
+        if declared and child.declared is not None:
+            counts.append(count(mine & F.col("_counted")).alias(f"_c{i}"))
+            sums.append(F.sum(f"_c{i}").alias(f"_c{i}"))
+        if i in ranged:
+            counts += [F.min(F.when(mine, F.col("_ord"))).alias(f"_first{i}"), F.max(F.when(mine, F.col("_ord"))).alias(f"_last{i}"),
+                       count(F.col(f"_d{i}") > child.zero).alias(f"_positive{i}")]
+            sums += [F.min(f"_first{i}").alias(f"_first{i}"), F.max(f"_last{i}").alias(f"_last{i}"), F.sum(f"_positive{i}").alias(f"_positive{i}")]
+    if not with_attribute:
+        return rows.groupBy(*scope, *key_names).agg(*counts), False
+    # Step 1 by (key, attribute): multiplicities of each value. Step 2 by key: totals and matches.
+    cells = rows.groupBy(*scope, *key_names, "_attr").agg(*counts)
+    known = F.col("_attr").isNotNull()
+    sums.append(F.coalesce(F.sum(F.when(known, F.col("_n0"))), F.lit(0)).alias("_v0"))
+    for i, child in enumerate(children, start=1):
+        if child.attribute is not None:
+            sums.append(F.coalesce(F.sum(F.when(known, F.col(f"_n{i}"))), F.lit(0)).alias(f"_v{i}"))
+            sums.append(F.coalesce(F.sum(F.when(known, _pairs("_n0", f"_n{i}"))), F.lit(0)).alias(f"_m{i}"))
+    return cells.groupBy(*scope, *key_names).agg(*sums), True
+
+
+def _judged_key(parent: Relation, child: Relation, i: int, with_attribute: bool) -> tuple[Column, Column, Column, Column, Column]:
+    """Of one key: is it an orphan, childless, repeated in the child; its mismatched and its flagged joined rows."""
+    joinable, present = all_present([f"_k{j}" for j in range(len(parent.keys))]), F.col("_k0").isNotNull()
+    n0, ni = F.col("_n0"), F.col(f"_n{i}")
+    mismatched = F.lit(0)
+    if with_attribute and child.attribute is not None:
+        mismatched = F.when(joinable, _pairs("_v0", f"_v{i}") - F.col(f"_m{i}"))
+    return (
+        (ni > 0) & ((n0 == 0) | ~joinable), (n0 > 0) & ((ni == 0) | ~joinable), (ni > 1) & present,
+        mismatched, F.when(joinable, _pairs("_f", f"_n{i}")),
+    )
+
+
+def key_agreement(parent: Relation, children: Sequence[Relation], scope: Sequence[str] = ()) -> DataFrame:
+    """Compare key sets and attributes of a parent and its children.
+
+    Returns ``(scope..., relation, orphan_keys, childless_keys, mismatched_rows, flagged_rows,
+    duplicate_child_keys, duplicate_parent_keys)``, one row per child relation:
+
+    * ``orphan_keys``: distinct child keys without a parent;
+    * ``childless_keys``: distinct parent keys without a child;
+    * ``mismatched_rows``: joined rows whose attributes differ (NULL never differs);
+    * ``flagged_rows``: joined rows whose parent carries ``flag``;
+    * ``duplicate_*_keys``: keys carried by more than one row of that side.
+    """
+    keyed, with_attribute = _keyed(parent, children, scope)
     present = F.col("_k0").isNotNull()
     aggregates: list[Column] = [F.count_if((F.col("_n0") > 1) & present).alias("_dup0")]
     for i, child in enumerate(children, start=1):
-        n0, ni = F.col("_n0"), F.col(f"_n{i}")
-        aggregates.append(F.count_if((ni > 0) & ((n0 == 0) | ~joinable)).alias(f"_orphan{i}"))
-        aggregates.append(F.count_if((n0 > 0) & ((ni == 0) | ~joinable)).alias(f"_childless{i}"))
-        aggregates.append(F.count_if((ni > 1) & present).alias(f"_dup{i}"))
-        mismatched = F.lit(0)
-        if with_attribute and child.attribute is not None:
-            mismatched = F.when(joinable, _pairs("_v0", f"_v{i}") - F.col(f"_m{i}"))
+        orphan, childless, repeated, mismatched, flags = _judged_key(parent, child, i, with_attribute)
+        aggregates.append(F.count_if(orphan).alias(f"_orphan{i}"))
+        aggregates.append(F.count_if(childless).alias(f"_childless{i}"))
+        aggregates.append(F.count_if(repeated).alias(f"_dup{i}"))
         aggregates.append(F.coalesce(F.sum(mismatched), F.lit(0)).alias(f"_mismatch{i}"))
-        aggregates.append(F.coalesce(F.sum(F.when(joinable, _pairs("_f", f"_n{i}"))), F.lit(0)).alias(f"_flagged{i}"))
+        aggregates.append(F.coalesce(F.sum(flags), F.lit(0)).alias(f"_flagged{i}"))
     summary = keyed.groupBy(*scope).agg(*aggregates)
     per_child = [
         F.struct(
@@ -202,10 +230,19 @@ def declared_counts(parent: Relation, children: Sequence[Relation], scope: Seque
             aggregates.append(count(F.col(f"_d{i}") > child.zero).alias(f"_positive{i}"))
     keyed = rows.groupBy(*scope, *key_names).agg(*aggregates).where(F.col("_parents") > 0)
 
-    joinable = all_present(key_names)
+    candidates = [F.struct(*[v.alias(k) for k, v in c.items()]) for c in _candidates(parent, children, "_n")]
+    expected = keyed.select(*scope, *key_names, F.inline(F.array(*candidates))).where(F.col("_declared").isNotNull())
+    return _met(_stack([_declarations(parent, children, scope), expected]), parent, children, scope)
+
+
+def _candidates(parent: Relation, children: Sequence[Relation], observed_as: str) -> list[dict[str, Column]]:
+    """The declarations that would be right for a key, by count and by range of ordinals."""
+    joinable = all_present([f"_k{j}" for j in range(len(parent.keys))])
     candidates = []
     for i, child in enumerate(children, start=1):
-        observed = F.when(joinable, F.col(f"_n{i}")).otherwise(F.lit(0)) + F.lit(child.zero)
+        if child.declared is None:
+            continue
+        observed = F.when(joinable, F.col(f"{observed_as}{i}")).otherwise(F.lit(0)) + F.lit(child.zero)
         by_range = F.lit(None).cast("bigint")
         positive = F.lit(0).cast("bigint")
         if child.ordinal is not None:
@@ -213,39 +250,36 @@ def declared_counts(parent: Relation, children: Sequence[Relation], scope: Seque
             by_range = F.when(starts, F.try_add(F.col(f"_last{i}"), F.lit(1 + child.zero - child.base).cast("bigint")))
             positive = F.when(joinable & F.col(f"_first{i}").isNotNull(), F.col(f"_positive{i}")).otherwise(F.lit(0))
         same = by_range.eqNullSafe(observed)
-        relation = F.lit(i).cast("tinyint").alias("_relation")
-        candidates.append(
-            F.struct(relation, observed.alias("_declared"), F.lit(True).alias("_by_count"), same.alias("_by_range"),
-                     positive.cast("bigint").alias("_positive"))
-        )
+        relation = F.lit(i).cast("tinyint")
+        candidates.append({"_relation": relation, "_declared": observed, "_by_count": F.lit(True), "_by_range": same,
+                           "_positive": positive.cast("bigint")})
         if child.ordinal is not None:
-            candidates.append(
-                F.struct(relation, F.when(~same, by_range).alias("_declared"), F.lit(False).alias("_by_count"),
-                         F.lit(True).alias("_by_range"), F.lit(0).cast("bigint").alias("_positive"))
-            )
-    expected = keyed.select(*scope, *key_names, F.inline(F.array(*candidates))).where(F.col("_declared").isNotNull())
-    declarations = parent.rows.select(
-        *scope,
-        *_keys(parent),
-        _weight(parent).alias("_rows"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).cast("tinyint").alias("_relation"), F.col(c.declared).cast("bigint").alias("_declared"))
-                    for i, c in enumerate(children, start=1)
-                ]
-            )
-        ),
-    ).where(F.col("_declared").isNotNull())
-    met = (
-        _stack([declarations, expected])
-        .groupBy(*scope, *key_names, "_relation", "_declared")
-        .agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"),
-            F.coalesce(F.bool_or("_by_count"), F.lit(False)).alias("_by_count"),
-            F.coalesce(F.bool_or("_by_range"), F.lit(False)).alias("_by_range"),
-            F.coalesce(F.sum("_positive"), F.lit(0)).alias("_positive"),
-        )
+            candidates.append({"_relation": relation, "_declared": F.when(~same, by_range), "_by_count": F.lit(False),
+                               "_by_range": F.lit(True), "_positive": F.lit(0).cast("bigint")})
+    return candidates
+
+
+def _declarations(parent: Relation, children: Sequence[Relation], scope: Sequence[str]) -> DataFrame:
+    values = [
+        F.struct(F.lit(i).cast("tinyint").alias("_relation"), F.col(c.declared).cast("bigint").alias("_declared"))
+        for i, c in enumerate(children, start=1)
+        if c.declared is not None
+    ]
+    rows = parent.rows.select(*scope, *_keys(parent), _weight(parent).alias("_rows"), F.inline(F.array(*values)))
+    return rows.where(F.col("_declared").isNotNull())
+
+
+def _met(
+    rows: DataFrame, parent: Relation, children: Sequence[Relation], scope: Sequence[str], totals: Sequence[str] = ()
+) -> DataFrame:
+    """Declarations against candidates per relation, and the sums of further columns."""
+    key_names = [f"_k{j}" for j in range(len(parent.keys))]
+    met = rows.groupBy(*scope, *key_names, "_relation", "_declared").agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"),
+        F.coalesce(F.bool_or("_by_count"), F.lit(False)).alias("_by_count"),
+        F.coalesce(F.bool_or("_by_range"), F.lit(False)).alias("_by_range"),
+        F.coalesce(F.sum("_positive"), F.lit(0)).alias("_positive"),
+        *[F.sum(name).alias(name) for name in totals],
     )
     zero = F.lit(None).cast("bigint")
     name = F.lit(None).cast("string")
@@ -262,11 +296,41 @@ def declared_counts(parent: Relation, children: Sequence[Relation], scope: Seque
                     F.when(F.col("_by_range") & (F.col("_declared") > zero), F.col("_rows")).otherwise(F.lit(0))
                 )
             ).alias("ordinal_mismatches"),
+            *[exact_long(F.coalesce(F.sum(c), F.lit(0))).alias(c) for c in totals],
         )
-        .select(*scope, name.alias("relation"), "count_mismatches", "ordinal_mismatches")
+        .select(*scope, name.alias("relation"), *totals, "count_mismatches", "ordinal_mismatches")
     )
 
 
+AGREEMENT = ("orphan_keys", "childless_keys", "duplicate_child_keys", "duplicate_parent_keys", "mismatched_rows", "flagged_rows")
+
+
+def key_contract(parent: Relation, children: Sequence[Relation], scope: Sequence[str] = ()) -> DataFrame:
+    """``key_agreement`` and ``declared_counts`` of the same key from one union: each child is read and shuffled once.
+
+    Returns the columns of both, one row per scope and child. A child without ``declared`` has no count or ordinal mismatches,
+    one without ``attribute`` no mismatched rows. What a key says about agreement travels beside its candidates.
+    """
+    keyed, with_attribute = _keyed(parent, children, scope, declared=True)
+    types = dict.fromkeys(AGREEMENT[:4], "bigint") | dict.fromkeys(AGREEMENT[4:], "decimal(38,0)")
+    none = {name: F.lit(None).cast(kind) for name, kind in types.items()}
+    found = []
+    for i, child in enumerate(children, start=1):
+        orphan, childless, repeated, mismatched, flags = _judged_key(parent, child, i, with_attribute)
+        values = (orphan, childless, repeated, (F.col("_n0") > 1) & F.col("_k0").isNotNull(), mismatched, flags)
+        key = {"_relation": F.lit(i).cast("tinyint"), "_declared": F.lit(None).cast("bigint"), "_by_count": F.lit(False),
+               "_by_range": F.lit(False), "_positive": F.lit(0).cast("bigint")}
+        found.append(key | {name: value.cast("int").cast(types[name]) if name in AGREEMENT[:4] else value.cast(types[name])
+                            for name, value in zip(AGREEMENT, values, strict=True)})
+    right = [c | none for c in _candidates(parent, children, "_c")]
+    # without a parent there is nothing to declare
+    wanted = F.filter(F.array(*[F.struct(*[v.alias(k) for k, v in c.items()]) for c in found + right]),
+                      lambda c: c["orphan_keys"].isNotNull() | (c["_declared"].isNotNull() & (F.col("_n0") > 0)))
+    key_names = [f"_k{j}" for j in range(len(parent.keys))]
+    rows = _stack([keyed.select(*scope, *key_names, F.inline(wanted)), _declarations(parent, children, scope)])
+    return _met(rows, parent, children, scope, AGREEMENT)
+
+
 def absent_members(
     scopes: DataFrame, scope: Sequence[str], present: DataFrame, member: str, required: Sequence[str]
 ) -> DataFrame:

@@ -269,7 +269,7 @@ def rulepack_integrity(spark, sf_dir):
     """Keys, orphans, counts, ordinals and order: 25 rules in one plan."""
     t = derived_tables(spark, sf_dir)
     frames = [
-        rulepack.flashblock_relations(t), rulepack.flashblock_counts(t), rulepack.receipt_relations(t), rulepack.receipt_logs(t),
+        rulepack.flashblock_children(t), rulepack.receipt_relations(t), rulepack.receipt_logs(t),
         rulepack.repeated_keys(t), rulepack.payload_rules(t, _partitions(t)), rulepack.gas_order(t),
     ]
     ordinals = rulepack.transaction_children(t).where("rule_id = 'duplicate_transaction_ordinal'")

@@ -95,6 +95,29 @@ def test_declared_counts(family):
             assert got.get(s, (0, 0)) == (counts, ordinals), s
 
 
+@pytest.mark.parametrize("weight", [None, "n"])
+def test_key_contract_is_both_in_one(family, weight):
+    _, _, p, c = family
+    rows = c if weight is None else c.groupBy("s", "x", "y", "attr", "ord").agg(F.count(F.lit(1)).alias("n"))
+    p = p.withColumn("other", F.col("declared") - 1)
+    parent = Relation("p", p, ("a", "b"), attribute="attr", flag=F.col("flagged"))
+    children = [
+        Relation("c", rows, ("x", "y"), attribute="attr", declared="declared", ordinal="ord", weight=weight),
+        Relation("plain", c.where("ord > 1"), ("x", "y")),
+        Relation("counted", c.where("ord < 3"), ("x", "y"), declared="other", counted="attr"),
+        Relation("none", c.where("false"), ("x", "y"), attribute="attr", declared="other"),
+    ]
+    got = {(r["s"], r["relation"]): r.asDict() for r in relations.key_contract(parent, children, ["s"]).collect()}
+    agreement = {(r["s"], r["relation"]): r.asDict() for r in relations.key_agreement(parent, children, ["s"]).collect()}
+    counts = relations.declared_counts(Relation("p", p, ("a", "b")), [x for x in children if x.declared], ["s"])
+    counts = {(r["s"], r["relation"]): r.asDict() for r in counts.collect()}
+    assert set(got) == set(agreement) >= set(counts) and len(counts) > CASES
+    for key, row in got.items():
+        both = agreement[key] | {"count_mismatches": 0, "ordinal_mismatches": 0} | counts.get(key, {})
+        assert row == both, key
+    assert not relations.key_contract(parent, children[:3], ["s"]).where("s < 0").count()
+
+
 def test_declared_counts_on_the_unsigned_scale(family):
     parents, children, p, c = family
     plain = relations.declared_counts(
