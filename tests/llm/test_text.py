@@ -329,6 +329,33 @@ def test_kneser_ney(spark, monkeypatch, at_once):
     assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, *_ in rows if got[i].kept)
 
 
+@pytest.mark.parametrize("at_once", [1, 16])
+def test_kneser_ney_of_many_characters(spark, monkeypatch, at_once):
+    """More characters than the broadcast table has: all are told apart, and scrambled text is rejected."""
+    monkeypatch.setattr(kneser_ney, "LANGUAGES_AT_ONCE", at_once)
+    rng = random.Random(5)
+    han = [chr(0x4E00 + i) for i in range(400)]
+    words = {"zh": ["".join(rng.sample(han, 3)) for _ in range(300)], "en": ["the", "and", "thing", "ering"]}
+    text = lambda lang: "".join(rng.choice(words[lang]) for _ in range(rng.randint(10, 40)))
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["zh", "en"] * 100)]
+    rows += [(300 + i, "".join(rng.sample(rows[2 * i][1], len(rows[2 * i][1]))), "zh") for i in range(40)]
+    rows += [(400, rows[0][1] + "\u9f98x\U0001f389", "zh"), (401, "the \u4e00 thing", "en"), (402, None, "zh"), (0, rows[0][1], "zh"), (None, rows[2][1], "zh"), (None, rows[2][1], "zh")]
+    table = frame(spark, [(i, t, lang, None, None, None, None) for i, t, lang in rows])
+    out = kneser_ney.classify(table, spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")).collect()
+    assert len(out) == len(rows)
+    for lang in ("zh", "en"):
+        good = [t for i, t, x in rows if x == lang and i is not None and i < 200]
+        monkeypatch.setattr(kneser_ney, "SYMBOLS", 7 + max(89, len(set("".join(good)))))
+        score = plain_model(good)
+        for r in out:
+            if r.lang == lang and r.text:
+                assert r.quality.perplexity == pytest.approx(score(r.text), rel=1e-4)
+        monkeypatch.undo()
+        monkeypatch.setattr(kneser_ney, "LANGUAGES_AT_ONCE", at_once)
+    assert sum(r.quality.kept for r in out if r.doc_id is not None and 300 <= r.doc_id < 400) <= 2
+    assert sum(r.quality.kept for r in out if r.doc_id is not None and r.doc_id < 200) >= 196
+
+
 def test_kneser_ney_empty(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert kneser_ney.classify(spark.createDataFrame([], SCHEMA), none).count() == 0
