@@ -309,25 +309,27 @@ def key_contract(parent: Relation, children: Sequence[Relation], scope: Sequence
     """``key_agreement`` and ``declared_counts`` of the same key from one union: each child is read and shuffled once.
 
     Returns the columns of both, one row per scope and child. A child without ``declared`` has no count or ordinal mismatches,
-    one without ``attribute`` no mismatched rows. What a key says about agreement travels beside its candidates.
+    one without ``attribute`` no mismatched rows. What a key says about agreement travels beside its candidates, but without
+    the key: tasks add it up before the shuffle.
     """
     keyed, with_attribute = _keyed(parent, children, scope, declared=True)
     types = dict.fromkeys(AGREEMENT[:4], "bigint") | dict.fromkeys(AGREEMENT[4:], "decimal(38,0)")
     none = {name: F.lit(None).cast(kind) for name, kind in types.items()}
+    key_names = [f"_k{j}" for j in range(len(parent.keys))]
+    no_key = {name: F.lit(None).cast(keyed.schema[name].dataType) for name in key_names}
     found = []
     for i, child in enumerate(children, start=1):
         orphan, childless, repeated, mismatched, flags = _judged_key(parent, child, i, with_attribute)
         values = (orphan, childless, repeated, (F.col("_n0") > 1) & F.col("_k0").isNotNull(), mismatched, flags)
         key = {"_relation": F.lit(i).cast("tinyint"), "_declared": F.lit(None).cast("bigint"), "_by_count": F.lit(False),
                "_by_range": F.lit(False), "_positive": F.lit(0).cast("bigint")}
-        found.append(key | {name: value.cast("int").cast(types[name]) if name in AGREEMENT[:4] else value.cast(types[name])
+        found.append(no_key | key | {name: value.cast("int").cast(types[name]) if name in AGREEMENT[:4] else value.cast(types[name])
                             for name, value in zip(AGREEMENT, values, strict=True)})
-    right = [c | none for c in _candidates(parent, children, "_c")]
+    right = [{name: F.col(name) for name in key_names} | c | none for c in _candidates(parent, children, "_c")]
     # without a parent there is nothing to declare
     wanted = F.filter(F.array(*[F.struct(*[v.alias(k) for k, v in c.items()]) for c in found + right]),
                       lambda c: c["orphan_keys"].isNotNull() | (c["_declared"].isNotNull() & (F.col("_n0") > 0)))
-    key_names = [f"_k{j}" for j in range(len(parent.keys))]
-    rows = _stack([keyed.select(*scope, *key_names, F.inline(wanted)), _declarations(parent, children, scope)])
+    rows = _stack([keyed.select(*scope, F.inline(wanted)), _declarations(parent, children, scope)])
     return _met(rows, parent, children, scope, AGREEMENT)
 
 

@@ -76,6 +76,21 @@ def test_key_agreement(family):
             assert row["duplicate_child_keys"] == sum(n > 1 and key[0] is not None for key, n in repeats.items())
 
 
+def test_key_contract_adds_agreement_up_before_the_shuffle(spark, monkeypatch):
+    """What is counted of each key goes to its scope without the key; only candidates and declarations travel by key."""
+    sent = []
+    met = relations._met
+    monkeypatch.setattr(relations, "_met", lambda rows, *rest: (sent.append(rows), met(rows, *rest))[1])
+    p = spark.createDataFrame([(i % 2, i, 1, 7) for i in range(50)], "s int, a int, n bigint, attr int")
+    c = spark.createDataFrame([(i % 2, i, 0, 7 + (i == 3)) for i in range(60)] + [(0, None, 0, 7)], "s int, a int, ord int, attr int")
+    child = Relation("c", c, ("a",), attribute="attr", declared="n", ordinal="ord")
+    got = {r["s"]: r for r in relations.key_contract(Relation("p", p, ("a",), attribute="attr"), [child], ["s"]).collect()}
+    assert [got[s]["orphan_keys"] for s in (0, 1)] == [6, 5] and [got[s]["mismatched_rows"] for s in (0, 1)] == [0, 1]
+    assert [got[s]["count_mismatches"] for s in (0, 1)] == [0, 0]
+    agreement = sent[0].where("orphan_keys IS NOT NULL")
+    assert agreement.count() == 61 and agreement.select("s", "_k0", "_relation", "_declared").distinct().count() == 2
+
+
 def test_declared_counts(family):
     parents, children, p, c = family
     weighted = c.groupBy("s", "x", "y", "ord").agg(F.count(F.lit(1)).alias("n"))
