@@ -7,6 +7,10 @@ one value of the document's, and the other way round. All of it is DataFrame fun
 So that not every window of every document is hashed, each window of the benchmark is entered under one of its pairs of
 neighbouring tokens, the one with the most letters, which few other places have. Documents look up their pairs; only where
 one is found is the window around it cut out and compared.
+
+Telling names, numbers and sentences apart costs most. So texts are first split into runs of letters and of digits only, and
+each window has an anchor, two such runs in a row (or one) that stand in every text with the window, whatever its slots hold.
+Only texts with an anchor are read closely; a text without one has no window.
 """
 
 from __future__ import annotations
@@ -22,11 +26,14 @@ WINDOW = 13
 LITERAL_PERCENT = 40
 #: So many windows of the benchmark at most are broadcast (about 400 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1 << 17
+#: So many hashes of anchors or texts at most are broadcast (16 to 32 bytes each); more are joined by a shuffle.
+BROADCAST_HASHES = 1 << 20
 #: Marks that stand for nothing in any text: a name's beginning, and the point or comma within a number.
 NAME, POINT = "", ""
 #: The beginning of a word that has a capital because a text, sentence, line or quotation begins there, or that is a name.
 START = ""
 NUM_SLOT, NAME_SLOT, UNIT_SLOT = "", "", ""
+MARKS = NAME + POINT + START + NUM_SLOT + NAME_SLOT + UNIT_SLOT
 #: Units that may follow a number (fixed list of common ones).
 UNITS = (
     "mm cm dm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t lb lbs oz ounce ounces pound pounds ton tons ml cl l liter "
@@ -38,7 +45,7 @@ UNITS = (
 
 def _marked(text: Column) -> Column:
     """Tokens joined by one space, in lower case. Names begin with NAME, other words with a capital with START; numbers are whole."""
-    text = F.translate(F.coalesce(text, F.lit("")), NAME + POINT + START + NUM_SLOT + NAME_SLOT + UNIT_SLOT, "")
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{MARKS}]+", "")
     # A capital after a word and a space, not after the end of a sentence or line, begins a name. What few places have is asked first.
     text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<=[\p{L}\p{N},;)] )", NAME)
     text = F.regexp_replace(text, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{N}}\p{{M}}{NAME}])", START)
@@ -87,8 +94,43 @@ def _letters(tokens: Column, i: Column) -> Column:
     return size(F.get(tokens, i)) + size(F.get(tokens, i + 1))
 
 
+def _runs(lowered: Column, more: str = "") -> Column:
+    """The runs of letters and of digits of a text in lower case. Which sigma ends a word depends on what follows, so they count as one."""
+    return F.regexp_extract_all(F.replace(lowered, F.lit("ς"), F.lit("σ")), F.lit(r"\p{L}+|\p{N}+" + more), F.lit(0))
+
+
+def _anchor(runs: Column) -> Column:
+    """``paired, letters, hash`` of the runs with the most letters that every text with the window has: two in a row without a slot between, or one.
+
+    NULL for a window without letters and digits outside its slots.
+    """
+    paired = lambda p: p["b"].isNotNull() & ~_is_slot(p["b"])
+    letters = lambda p: F.char_length(p["a"]) + F.when(paired(p), F.char_length(p["b"])).otherwise(0)
+    key = lambda p: F.when(paired(p), F.xxhash64(p["a"], p["b"])).otherwise(F.xxhash64(p["a"]))
+    places = F.zip_with(runs, F.slice(runs, F.lit(2), F.size(runs)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return F.array_max(F.transform(F.filter(places, lambda p: ~_is_slot(p["a"])), lambda p: F.struct(paired(p).alias("paired"), letters(p).alias("letters"), key(p).alias("hash"))))
+
+
+def _with_anchor(keyed: DataFrame, windows: DataFrame) -> DataFrame:
+    """The rows whose text holds the anchor of some window: all that can share one. If a window has none, these are all rows."""
+    if windows.where("anchor IS NULL").limit(1).count():
+        return keyed
+    anchors = written(windows.select("anchor", "paired").distinct())
+    lowered = F.lower(F.regexp_replace("text", f"[{MARKS}]+", ""))
+    texts = keyed.where("text != ''").select(F.xxhash64("text").alias("of"), _runs(lowered).alias("runs"))
+    parts = [F.zip_with("runs", F.slice("runs", F.lit(2), F.size("runs")), lambda a, b: F.xxhash64(a, b))]
+    if anchors.where("NOT paired").limit(1).count():
+        parts.append(F.transform("runs", lambda run: F.xxhash64(run)))
+    few = lambda hashes: F.broadcast(hashes) if hashes.count() <= BROADCAST_HASHES else hashes
+    # Outer, as a filter by size would compute all runs twice.
+    found = texts.select("of", F.explode_outer(F.concat(*parts)).alias("anchor")).join(few(anchors.select("anchor").distinct()), "anchor", "left_semi")
+    found = written(found.select("of").distinct())
+    return keyed.join(few(found), F.xxhash64("text") == F.col("of"), "left_semi")
+
+
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, literal_percent: int, verbatim: bool = False) -> DataFrame:
-    """``item, loose, exact, pair, shift, width, hash, slots`` of each window: the pair it is entered under, and that pair's place in it.
+    """``item, loose, exact, pair, shift, width, hash, slots, anchor, paired`` of each window: the pair it is entered under, that pair's place
+    in it, and what every text with the window has.
 
     With ``verbatim``, windows with too few literal tokens are kept as exact ones, entered under a pair of values.
     """
@@ -102,7 +144,11 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window:
     best = F.array_max(F.transform(places, lambda i: F.struct(_letters(F.col("under"), i).alias("letters"), (-i).alias("i"))))
     cut = cut.withColumn("shift", -best["i"]).withColumn("width", F.size("tokens"))
     pair = F.when(F.col("width") > 1, _pair(F.col("under"), F.col("shift"))).otherwise(F.xxhash64(F.get("under", F.lit(0))))
-    return cut.select("item", "loose", "exact", pair.alias("pair"), "shift", "width", F.xxhash64("tokens").alias("hash"), _slots("tokens", "values").alias("slots")).distinct()
+    cut = cut.withColumn("runs", _runs(F.array_join("under", " "), f"|[{NUM_SLOT}{NAME_SLOT}{UNIT_SLOT}]")).withColumn("anchor", _anchor(F.col("runs")))
+    return cut.select(
+        "item", "loose", "exact", pair.alias("pair"), "shift", "width", F.xxhash64("tokens").alias("hash"), _slots("tokens", "values").alias("slots"),
+        F.col("anchor.hash").alias("anchor"), F.col("anchor.paired").alias("paired"),
+    ).distinct()
 
 
 def _slots(tokens: str, values: str) -> Column:
@@ -131,6 +177,8 @@ def leaks(
     windows = written(benchmark_windows(benchmark, item_col, item_text_col, window, literal_percent, verbatim))
     single = windows.where("width = 1").limit(1).count() > 0
     keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    keyed = written(_with_anchor(keyed, windows).dropDuplicates(["key"]))
+    windows = windows.drop("anchor", "paired")
     tokens = _tokens(keyed, F.col("key"), text_col="text")
     parts = []
     for c in ("tokens", "values") if verbatim else ("tokens",):
@@ -143,7 +191,7 @@ def leaks(
     found = tokens.select("key", "loose", pairs.alias("pairs")).select("key", "loose", F.posexplode_outer("pairs").alias("pos", "pair"))
     found = written(found.join(F.broadcast(windows) if windows.count() <= BROADCAST_WINDOWS else windows, ["pair", "loose"]).distinct())
     keys = written(found.select("key").distinct())
-    some = keyed.dropDuplicates(["key"]) if keys.count() > BROADCAST_WINDOWS else keyed.join(F.broadcast(keys), "key", "left_semi").dropDuplicates(["key"])
+    some = keyed.join(F.broadcast(keys) if keys.count() <= BROADCAST_WINDOWS else keys, "key", "left_semi")
     hits = _tokens(some, F.col("key"), F.col("id"), text_col="text").join(found, ["key", "loose"])
     place = F.pmod(F.col("pos"), F.size("tokens"))
     hits = hits.withColumn("first_token", place - F.col("shift")).where("first_token >= 0 AND first_token + width <= size(tokens)")

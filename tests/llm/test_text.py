@@ -178,6 +178,28 @@ def test_templates_of_initial_names(spark):
     assert {(r.id, r.item) for r in templates.leaks(table, bench).collect()} == {(1, 1), (2, 1), (4, 2), (5, 1)}
 
 
+def test_templates_read_few_texts_closely(spark, monkeypatch):
+    """Only texts that can share a window are read closely, and no window is lost by that."""
+    items = [
+        (1, "A train leaves at 12.5 km from Paris and then Anna walks 30 miles to the old station, how many hours"), (2, "3 + 4 km = 7 km; 5 + 12 = 17, 8, 13, 21, 34, 55"),
+        (3, "Ο ΔΡΌΜΟΣ.ΤΗΣ πόλης 25kg είναι μακρύς"), (4, "x1y İki Σ"), (5, "ein\ue000wort nur"), (6, "in Rome 5 at 7 of 9 by 11 on 13 as 15"), (7, "e\u03015 a\u0301b2"), (8, "zzz"),
+    ]
+    odd = ["ο δρόμος.της Πόλης 25 kg Είναι μακρύς", "x1y İki Σ", "x 1 Y i\u0307ki ς", "Ein wort nur", "einwort nur", "in Oslo 6 at 8 of 1 by 12 on 14 as 16", "(E\u03015 A\u0301b2)", "Zzz!", "a zzz b"]
+    docs = [(i, t) for i, t in enumerate([*(t for _, t in items), *(t.upper() for _, t in items), *(f"so, {t} 1" for _, t in items), *odd, None, "", "\u0301", "nothing of that"])]
+    table, bench = frame(spark, [(i, t, *NONE) for i, t in docs]), spark.createDataFrame(items, "item_id int, text string")
+    found = lambda **how: sorted(tuple(r) for r in templates.leaks(table, bench, **how).collect())
+    for broadcast in (0, 1 << 20):
+        monkeypatch.setattr(templates, "BROADCAST_HASHES", broadcast)
+        got = {verbatim: found(verbatim=verbatim) for verbatim in (False, True)}
+    keyed = frame(spark, [(i, "word of no item " * 9, *NONE) for i in range(9)] + [(9, items[0][1], *NONE)])
+    windows = templates.benchmark_windows(bench, "item_id", "text", 13, 40, True)
+    assert [r.doc_id for r in templates._with_anchor(keyed, windows).collect()] == [9]
+    none = templates.benchmark_windows(spark.createDataFrame([(1, "\u0301 " * 20 + "a")], "item_id int, text string"), "item_id", "text", 13, 40)
+    assert none.where("anchor IS NULL").count() and templates._with_anchor(keyed, none).count() == 10
+    monkeypatch.setattr(templates, "_with_anchor", lambda keyed, windows: keyed)
+    assert got == {verbatim: found(verbatim=verbatim) for verbatim in (False, True)} and {r[2] for r in got[True]} == {i for i, _ in items}
+
+
 def test_templates_empty(spark):
     docs, bench = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id int, text string")
     assert templates.leaks(docs, bench).count() == 0 and templates.drop_leaks(frame(spark), bench).count() == len(corpus())
