@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import with_result
+from .shared import handing_back, with_result
 
 #: Words whose tokens a task remembers; what is forgotten is encoded again.
 MEMORY_WORDS = 1 << 18
@@ -35,7 +35,7 @@ MEMORY_PAIRS = 1 << 19
 #: Tokens that are decoded at a time.
 DECODE_TOKENS = 1 << 18
 #: Bytes of text that are encoded together.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 #: Stands for the end-of-word mark, which is one symbol together with the character before it.
 END = "￿"
 
@@ -177,6 +177,11 @@ class WordBpe:
         self.known[pair] = fits = self.compatible(left, right)
         return fits
 
+    def forget(self) -> None:
+        """Drop what a task remembered: the worker lives on for the tasks of other steps."""
+        self.recent, self.older = {}, {}
+        self.known.clear()
+
     def normal(self, text: str) -> str:
         """NFC and lower case, character by character (a final sigma is no exception)."""
         if not text.isascii():
@@ -278,19 +283,22 @@ def _apply(path: str, fields: tuple[str, ...]):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         hexes = lambda items: pa.array([sha256(x).hexdigest() for x in items], pa.string())
-        for batch in batches:
-            texts = batch.column(1).fill_null("")
-            for first, last in _runs(pc.binary_length(texts).to_numpy()):
-                ids, bounds = bpe.encode_batch(texts.slice(first, last - first).to_pylist())
-                decoded = _spell(bpe.name_table, ids, bounds) if {"decoded", "decoded_sha256"} & {*fields} else []
-                make = {
-                    "n_tokens": lambda: pa.array(np.diff(bounds), pa.int64()),
-                    "ids": lambda: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
-                    "decoded": lambda: pa.array(decoded, pa.binary()).cast(pa.string()),
-                    "ids_sha256": lambda: hexes(_spell(bpe.number_table, ids, bounds)),
-                    "decoded_sha256": lambda: hexes(decoded),
-                }
-                yield pa.RecordBatch.from_pydict({"row": batch.column(0).slice(first, last - first)} | {f: make[f]() for f in fields})
+        try:
+            for batch in batches:
+                texts = batch.column(1).fill_null("")
+                for first, last in _runs(pc.binary_length(texts).to_numpy()):
+                    ids, bounds = bpe.encode_batch(texts.slice(first, last - first).to_pylist())
+                    decoded = _spell(bpe.name_table, ids, bounds) if {"decoded", "decoded_sha256"} & {*fields} else []
+                    make = {
+                        "n_tokens": lambda: pa.array(np.diff(bounds), pa.int64()),
+                        "ids": lambda: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
+                        "decoded": lambda: pa.array(decoded, pa.binary()).cast(pa.string()),
+                        "ids_sha256": lambda: hexes(_spell(bpe.number_table, ids, bounds)),
+                        "decoded_sha256": lambda: hexes(decoded),
+                    }
+                    yield pa.RecordBatch.from_pydict({"row": batch.column(0).slice(first, last - first)} | {f: make[f]() for f in fields})
+        finally:
+            bpe.forget()
 
     return apply
 
@@ -320,5 +328,5 @@ def encode_documents(
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
     schema = T.StructType([rows.schema["row"], *(T.StructField(f, FIELDS[f]) for f in fields)])
-    out = rows.mapInArrow(_apply(vocabulary, fields), schema)
+    out = rows.mapInArrow(handing_back(_apply(vocabulary, fields)), schema)
     return with_result(out.withColumn(result, F.struct(*fields)), result)

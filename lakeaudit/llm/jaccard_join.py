@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import hashing
 from .components import components
 from .line_dedup import seen_twice, twice_filter
-from .shared import lookup, without, written
+from .shared import handing_back, lookup, without, written
 
 #: Counters of the sketch of n-gram counts: 8 MiB are broadcast, whatever the input.
 COUNTERS = 1 << 20
@@ -257,10 +257,10 @@ class _Join:
     def __init__(self, base: DataFrame, size: int, percent: int):
         self.base, self.size, self.percent = base, size, percent
         kind = base.schema["id"].dataType.simpleString()
-        out = written(base.mapInArrow(_identify(size), f"id {kind}, n long, set long, segment int, counts binary"))
+        out = written(base.mapInArrow(handing_back(_identify(size)), f"id {kind}, n long, set long, segment int, counts binary"))
         parts = out.where("segment IS NOT NULL").select("segment", "counts").repartition(SEGMENTS, "segment")
         counts = np.zeros((SEGMENTS, COUNTERS // SEGMENTS), np.int64)
-        for part in parts.mapInArrow(_add, "segment int, counts binary").collect():  # COUNTERS numbers in all
+        for part in parts.mapInArrow(handing_back(_add), "segment int, counts binary").collect():  # COUNTERS numbers in all
             counts[part.segment] = np.frombuffer(part.counts, np.int64)
         self.counts = base.sparkSession.sparkContext.broadcast(counts.reshape(-1))
         self.docs = out.where("segment IS NULL").select("id", "n", "set")
@@ -269,11 +269,11 @@ class _Join:
 
     def cells(self) -> DataFrame:
         """``column, row, n, members`` of the columns that decide and have more than one row."""
-        rows = self.base.mapInArrow(_prefixes(self.counts, self.size, self.percent), "row long, n long, folded binary, prefix array<long>")
+        rows = self.base.mapInArrow(handing_back(_prefixes(self.counts, self.size, self.percent)), "row long, n long, folded binary, prefix array<long>")
         self.rows = written(rows.dropDuplicates(["row"]))
         many = self.rows.agg(F.sum(F.size("prefix"))).first()[0] or 0
         twice, bits = twice_filter(self.rows.select(F.col("prefix").alias("hashes")), many)
-        cells = self.rows.select("row", "n", "prefix").mapInArrow(_shared_columns(self.base.sparkSession.sparkContext.broadcast(twice), bits), "column long, row long, n long")
+        cells = self.rows.select("row", "n", "prefix").mapInArrow(handing_back(_shared_columns(self.base.sparkSession.sparkContext.broadcast(twice), bits)), "column long, row long, n long")
         cells = written(cells)
         shared = written(cells.groupBy("column").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("members", F.col("_n")))
         return written(lookup(cells, shared, ["column"], "_n", "inner"))
@@ -283,10 +283,10 @@ class _Join:
         rows = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
         ids = written(self.classes.join(rows, "set", "left_semi").select(F.col("least").alias("id")))
         texts = self.base.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
-        sets = written(texts.mapInArrow(_sets(self.size), "row long, grams binary").dropDuplicates(["row"]))
+        sets = written(texts.mapInArrow(handing_back(_sets(self.size)), "row long, grams binary").dropDuplicates(["row"]))
         x, y = sets.select(F.col("row").alias("a"), F.col("grams").alias("x")), sets.select(F.col("row").alias("b"), F.col("grams").alias("y"))
         sides = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        return written(sides.mapInArrow(_overlap(self.percent), "a long, b long"))
+        return written(sides.mapInArrow(handing_back(_overlap(self.percent)), "a long, b long"))
 
     def by_pivots(self, cells: DataFrame) -> DataFrame:
         """Links of the rows of crowded columns with the most central row of the column.
@@ -303,13 +303,13 @@ class _Join:
         about = F.struct("n", "folded")
         x, y = self.rows.select(F.col("row").alias("a"), about.alias("x")), self.rows.select(F.col("row").alias("b"), about.alias("y"))
         pairs = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        return self.verified(written(pairs.mapInArrow(_promising(self.percent), "a long, b long")))
+        return self.verified(written(pairs.mapInArrow(handing_back(_promising(self.percent)), "a long, b long")))
 
     def product(self, lists: DataFrame, closest: bool) -> DataFrame:
         """``x, y, of`` of the lists' blocks (:func:`_multiply`)."""
         cell = F.struct("row", "n", "group", F.pmod(F.xxhash64("row"), "blocks").alias("block"), "folded")
         blocks = lists.join(self.rows.drop("prefix"), "row").groupBy("of", "across").agg(F.collect_list(cell).alias("cells"))
-        return written(blocks.select("cells", "across", "of").mapInArrow(_multiply(self.percent, closest), "x long, y long, of long"))
+        return written(blocks.select("cells", "across", "of").mapInArrow(handing_back(_multiply(self.percent, closest)), "x long, y long, of long"))
 
     def by_blocks(self, cells: DataFrame, first: DataFrame) -> DataFrame:
         """Links of rows that ``first`` does not connect: all blocks of all columns. Equal blocks are multiplied once."""

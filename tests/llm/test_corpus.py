@@ -45,3 +45,17 @@ def test_pipeline(spark):
     again = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.run(spark, SF_DIR).collect()}
     assert again == {r.doc_id: r.decoded_sha256 for r in last}
     assert jaccard_join and line_dedup
+
+
+def test_pipeline_hands_out_small_batches(spark):
+    """Each stage bounds the bytes of a batch for a Python worker, unless the session has its own bound."""
+    key, seen = corpus_pipeline.BATCH_SETTING, []
+    own = spark.conf.get(key, None)
+    stage = corpus_pipeline.in_small_batches(lambda session, docs, sf_dir: seen.append(session.conf.get(key)))
+    try:
+        for value in (None, "1m"):
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+            stage(spark, None, "")
+        assert seen == [corpus_pipeline.BATCH_BYTES, "1m"]
+    finally:
+        spark.conf.unset(key) if own is None else spark.conf.set(key, own)

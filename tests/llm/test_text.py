@@ -8,10 +8,12 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
-from lakeaudit.llm import bpe, kneser_ney, queries, surrogates, templates, warc
+from lakeaudit.llm import bpe, kneser_ney, queries, shared, surrogates, templates, warc
 
 from .fixtures import SCHEMA, corpus, frame
 
@@ -50,6 +52,16 @@ def test_bpe_equals_library(spark):
 # ---- WARC
 
 
+def test_bpe_task_leaves_nothing_behind(monkeypatch):
+    """A worker lives on for other steps: a task forgets its words, and Arrow's pool gives back what was freed."""
+    path, released = queries.vocabulary_path(), []
+    batch = pa.RecordBatch.from_pydict({"row": [{"id": i} for i in range(3)], "text": ["some words of a text", None, "other words"]})
+    monkeypatch.setattr(shared.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: released.append(True)))
+    out = list(shared.handing_back(bpe._apply(path, ("n_tokens",)))(iter([batch])))
+    assert sum(len(x) for x in out) == 3 and released == [True]
+    assert not bpe.load(path).recent and not bpe.load(path).older and not bpe.load(path).known
+
+
 def test_warc_round_trip(spark):
     pages = [(i, f"http://x/{i}", t) for i, t in enumerate(["a", "b", "a", None, "", "é" * 70000, "a", "b\r\n\r\nc"])] + [(None, None, "z")]
     table = spark.createDataFrame(pages, "page_id long, url string, html string")
