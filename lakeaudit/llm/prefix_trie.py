@@ -1,29 +1,34 @@
 """A trie of conversations by truncation peeling.
 
-The trie is taken apart from its deepest level up. The nodes of a level are the conversations that end there, merged with
-what is left of the level below: each deeper node strips its last turn, and equal remains are one node. A node's members,
-children, leaves and saved tokens are complete the moment it is found, so one pass over the levels finds and aggregates all.
+Each conversation is peeled in its own row: it strips its last turn until nothing is left, and what is left each time is
+known by a digest chained from the first turn. Equal remains of all conversations are one node, so one shuffle finds the
+nodes of all levels, however deep, and a conversation of n turns gives n + 1 rows of a fixed size.
 
-A turn is known by the MD5 of its role and text and by its size; no text goes further than the first step. A node is known
-by the list of its turns. The rows of a level are counted in each task before they are shuffled, so that a first turn or a
-whole conversation that a third of all rows share is a few rows per task.
+A node belongs to its smallest member, which owns all deeper nodes of its own as well: a conversation owns its nodes from
+some depth on. So it can tell each of its beginnings what it adds there: a child, the bytes of the nodes that it owns
+below, and a leaf if its last node has no child. These sums, by node, are what a subtree holds, without going down it.
+
+A turn is known by the MD5 of its role and text and by its size; no text goes further than the first step. The rows of a
+node are added up in each task before they are shuffled, so that a first turn or a whole conversation that a third of all
+rows share is a few rows per task.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import lookup, shared_folder, written
+from .shared import lookup, written
 
 #: Ids of one ending are joined in text blocks of at most so many ids (a power of two) before they are shuffled.
 BLOCK_IDS = 1 << 12
-_NODE = "path array<struct<digest:binary,bytes:long>>, conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long"
+#: Conversations of so many turns together are peeled at a time; a longer one by itself.
+RUN_TURNS = 1 << 16
 
 
 def conversations(turns: DataFrame, id_col: str = "conv_id", order_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -40,45 +45,50 @@ def conversations(turns: DataFrame, id_col: str = "conv_id", order_col: str = "t
     return paths.select("conv_id", F.transform("turns", lambda t: F.struct(t["digest"], t["bytes"])).alias("path"))
 
 
-def _strip(path: str) -> Column:
-    return F.slice(path, 1, F.size(path) - 1)
-
+def _peel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each path's beginnings, the empty one first: their chained digests, and the bytes from their last turn to the path's end."""
+    for batch in batches:
+        sizes = np.diff(batch.column(1).offsets.to_numpy())
+        for rows in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(np.cumsum(sizes) // RUN_TURNS)) + 1):
+            part = batch.slice(rows[0], len(rows)) if len(rows) else batch
+            flat, turns = part.column(1).flatten(), sizes[rows].astype(np.int64)
+            digests = iter(flat.field(0).to_pylist())
+            keys = []
+            for n in turns.tolist():
+                keys.append(key := hashlib.md5(b"").digest())
+                for _ in range(n):
+                    keys.append(key := hashlib.md5(key + next(digests)).digest())
+            so_far = np.concatenate([[0], np.cumsum(flat.field(1).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            ends, bounds = np.cumsum(turns), np.concatenate([[0], np.cumsum(turns + 1)])
+            depth = np.arange(bounds[-1]) - np.repeat(bounds[:-1], turns + 1)
+            before = np.repeat(ends - turns, turns + 1) + np.maximum(depth, 1) - 1
+            end = np.repeat(ends, turns + 1)
+            rest = so_far[end] - so_far[np.minimum(before, end)]
+            offsets = pa.array(bounds, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.ListArray.from_arrays(offsets, pa.array(keys, pa.binary())), pa.ListArray.from_arrays(offsets, pa.array(rest))],
+                names=["conv_id", "path", "nodes", "rest"])
 
-def _node_key(path: Column | str) -> Column:
-    return F.md5(F.array_join(F.transform(path, lambda t: F.hex(t["digest"])), ""))
 
+def peel(paths: DataFrame) -> DataFrame:
+    """``conv_id, path, nodes, rest`` from ``conv_id, path``: a path's beginnings from the empty one on (:func:`_peel`)."""
+    return paths.select("conv_id", "path").mapInArrow(
+        _peel, "conv_id long, path array<struct<digest:binary,bytes:long>>, nodes array<binary>, rest array<long>")
 
-def _level(found: DataFrame) -> DataFrame:
-    """Equal paths are one node; its own last turn's bytes are saved for every member but one."""
-    nodes = found.groupBy("path").agg(*[F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")]])
-    own = F.when(F.size("path") > 0, F.element_at("path", -1)["bytes"]).otherwise(F.lit(0)) * (F.col("n_convs") - 1)
-    return nodes.select(
-        "path", "conv_id", "n_convs", "n_children", F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.col("n_leaves")).cast("long").alias("n_leaves"),
-        (F.col("saved_tokens") + own).alias("saved_tokens"))
 
+def owners(peeled: DataFrame) -> DataFrame:
+    """``conv_id, own, leaf, parent_conv_id`` of the conversations that own nodes, those that they are the smallest member of.
 
-def peel(paths: DataFrame) -> DataFrame:
-    """``depth, path, conv_id, n_convs, n_children, n_leaves, saved_tokens``, a row per node, from ``conv_id, path``."""
-    spark = paths.sparkSession
-    folder = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    zero = F.lit(0).cast("long")
-    ended = paths.select(F.size("path").alias("depth"), "path", "conv_id").groupBy("depth", "path").agg(
-        F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"))
-    ended = ended.select("depth", "path", "conv_id", "n_convs", zero.alias("n_children"), zero.alias("n_leaves"), zero.alias("saved_tokens"))
-    ended.hint("rebalance", "depth").write.partitionBy("depth").option("compression", "zstd").parquet(f"{folder}/ended")
-    ended = spark.read.schema(f"{_NODE}, depth int").parquet(f"{folder}/ended")
-    deepest = ended.agg(F.max("depth")).first()[0]
-    if deepest is None:
-        return spark.createDataFrame([], f"{_NODE}, depth int")
-    below = None
-    for depth in range(deepest, -1, -1):
-        found = ended.where(F.col("depth") == depth).drop("depth")
-        if below is not None:
-            found = found.unionByName(below.select(
-                _strip("path").alias("path"), "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens"))
-        _level(found).write.option("compression", "zstd").parquet(f"{folder}/nodes/depth={depth}")
-        below = spark.read.schema(_NODE).parquet(f"{folder}/nodes/depth={depth}")
-    return spark.read.schema(f"{_NODE}, depth int").parquet(f"{folder}/nodes")
+    They own theirs from depth ``own`` on; the node above that is ``parent_conv_id``'s. ``leaf``: their last node has no child.
+    """
+    rows = peeled.select("conv_id", (F.size("nodes") - 1).alias("longest"), F.posexplode("nodes").alias("depth", "node"))
+    nodes = written(rows.groupBy("node").agg(F.min("conv_id").alias("conv_id"), F.max("depth").alias("depth"), F.max("longest").alias("longest")))
+    found = nodes.groupBy("conv_id").agg(F.min("depth").alias("own"), F.max(F.col("longest") == F.col("depth")).alias("leaf"))
+    found = peeled.select("conv_id", "nodes").join(found, "conv_id")
+    found = written(found.select("conv_id", "own", "leaf", F.when(F.col("own") > 0, F.get("nodes", F.col("own") - 1)).alias("node")))
+    above = found.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("_n"))
+    above = written(above.join(nodes.select("node", F.col("conv_id").alias("parent_conv_id")), "node"))
+    return written(lookup(found, above, ["node"], "_n").drop("node"))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,13 +110,14 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([current], pa.string()), pa.array([running.hexdigest()], pa.string())], names=["node", "ends_sha256"])
 
 
-def endings(paths: DataFrame) -> DataFrame:
+def endings(peeled: DataFrame) -> DataFrame:
     """``node, ends_sha256``: for each whole path, the digest of its conversations' ids, ascending, joined by commas."""
     block = F.shiftright("conv_id", BLOCK_IDS.bit_length() - 1).alias("block")
-    blocks = paths.select(_node_key("path").alias("node"), block, "conv_id").groupBy("node", "block").agg(F.sort_array(F.collect_list("conv_id")).alias("ids"))
+    whole = F.hex(F.element_at("nodes", -1)).alias("node")
+    blocks = peeled.select(whole, block, "conv_id").groupBy("node", "block").agg(F.sort_array(F.collect_list("conv_id")).alias("ids"))
     texts = blocks.select("node", "block", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
     ordered = texts.repartition("node").sortWithinPartitions("node", "block").select("node", "ids")
-    return ordered.mapInArrow(_digests, "node string, ends_sha256 string")
+    return ordered.mapInArrow(_digests, "node string, ends_sha256 string").withColumn("node", F.unhex("node"))
 
 
 def prefix_trie(paths: DataFrame) -> DataFrame:
@@ -116,20 +127,26 @@ def prefix_trie(paths: DataFrame) -> DataFrame:
     path begins so), ``n_children``, ``n_leaves`` (childless nodes in the subtree), ``saved_tokens`` (over the subtree,
     members but one times the bytes of a node's last text), ``ends_sha256`` (of the ids of members that end there,
     ascending, joined by commas; the empty text's where none does) and ``path``. The root is there as soon as there is a
-    conversation; an empty path belongs to the root alone. An empty table gives no rows. One job per level: a node of depth
-    d is a row of 24 d bytes, so the work grows with the square of a conversation's length.
+    conversation; an empty path belongs to the root alone. An empty table gives no rows. The number of jobs does not depend
+    on how long conversations are, and the work grows with the number of turns; only ``path``, where it is asked for, has
+    24 d bytes for a node of depth d.
     """
-    paths = written(paths.select("conv_id", "path"))
-    nodes = peel(paths).withColumn("node", _node_key("path")).withColumn("parent", F.when(F.col("depth") > 0, _node_key(_strip("path"))))
-    nodes = written(nodes)
-    parents = nodes.where("n_children > 0").select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), "n_children")
-    out = lookup(nodes.drop("n_children"), parents.select("parent", "parent_conv_id", F.col("n_children").alias("_n")), ["parent"], "_n")
-    # One row per node on both sides, so neither join has a large group.
-    ends = endings(paths).join(nodes.select("node", "n_children"), "node", "right")
+    peeled = written(peel(paths))
+    beginnings = F.posexplode(F.arrays_zip("nodes", "rest")).alias("depth", "at")
+    rows = peeled.join(owners(peeled), "conv_id", "left").select("conv_id", "path", "nodes", "rest", "own", "leaf", "parent_conv_id", beginnings)
+    depth, own, mine = F.col("depth"), F.col("own"), F.col("depth") >= F.col("own")
+    number = lambda met: F.sum(F.when(met, 1).otherwise(0)).cast("long")
+    # Every member has the bytes from here to its end; of each node below, the owner's once are not saved.
+    unsaved = F.coalesce(F.get("rest", F.greatest(depth, own)), F.lit(0))
+    parent = F.when(depth > own, F.col("conv_id")).otherwise(F.col("parent_conv_id"))
+    nodes = rows.groupBy(F.col("at.nodes").alias("node")).agg(
+        F.max(F.when(mine, F.col("conv_id"))).alias("conv_id"), F.max(depth).cast("long").alias("depth"), F.max(F.when(mine, parent)).alias("parent_conv_id"),
+        F.count(F.lit(1)).alias("n_convs"), number((depth + 1 >= own) & (depth + 1 < F.size("nodes"))).alias("n_children"), number(F.col("leaf")).alias("n_leaves"),
+        F.sum(F.col("at.rest") - F.when(own.isNull(), F.lit(0)).otherwise(unsaved)).alias("saved_tokens"),
+        F.first(F.when(mine, F.slice("path", F.lit(1), depth)), ignorenulls=True).alias("path"))
     none = hashlib.sha256(b"").hexdigest()
-    out = out.join(ends.select("node", "n_children", F.coalesce("ends_sha256", F.lit(none)).alias("ends_sha256")), "node")
-    return out.select(
-        "conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256", "path")
+    return nodes.join(endings(peeled), "node", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(none)).alias("ends_sha256"), "path")
 
 
 def spliced(paths: DataFrame, group: int = 5, modulus: int = 9) -> DataFrame:

@@ -85,3 +85,23 @@ def test_trie_edges(spark):
     root = (5, 0, None, 2, 0, 1, 0, hashlib.sha256(b"5,9").hexdigest())
     empty = spark.createDataFrame([(5, []), (9, [])], "conv_id long, path array<struct<digest:binary,bytes:long>>")
     assert [tuple(r) for r in prefix_trie.prefix_trie(empty).select(*FIELDS).collect()] == [root]
+
+
+def test_jobs_do_not_grow_with_depth(spark):
+    """A conversation of many turns is peeled by as many jobs as a short one."""
+    context, jobs = spark.sparkContext, []
+    for turns in (3, 60):
+        context.setJobGroup(f"trie-{turns}", "trie")
+        rows = [(c, i, "user", f"{c % 2} {i // 50}", "p", 1, 2) for c in range(4) for i in range(turns if c == 3 else 3)]
+        assert sorted(trie(spark, rows, False)) == sorted(plain_trie(plain_conversations(rows)))
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"trie-{turns}")))
+    context._jsc.clearJobGroup()
+    assert 0 < jobs[1] <= jobs[0] + 2
+
+
+def test_path_of_each_node(spark):
+    rows = rows_of(5)
+    paths = prefix_trie.spliced(prefix_trie.conversations(spark.createDataFrame(rows, SCHEMA)))
+    whole = {r.conv_id: r.path for r in paths.collect()}
+    nodes = prefix_trie.prefix_trie(paths).collect()
+    assert len({tuple(n.path) for n in nodes}) == len(nodes) and all(n.path == whole[n.conv_id][: n.depth] for n in nodes)
