@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import hashing
 from .components import components
 from .line_dedup import seen_twice, twice_filter
-from .shared import handing_back, lookup, without, written
+from .shared import Packed, handing_back, lookup, packed, without, written
 
 #: Counters of the sketch of n-gram counts: 8 MiB are broadcast, whatever the input.
 COUNTERS = 1 << 20
@@ -92,7 +92,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for segment, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             total[segment] = total.get(segment, 0) + np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
-    yield pa.RecordBatch.from_pydict({"segment": pa.array(list(total), pa.int32()), "counts": pa.array([x.tobytes() for x in total.values()], pa.binary())})
+    yield pa.RecordBatch.from_pydict({"segment": pa.array(list(total), pa.int32()), "counts": pa.array([packed(x) for x in total.values()], pa.binary())})
 
 
 def _folded_bits(n: np.ndarray, percent: int) -> np.ndarray:
@@ -115,7 +115,7 @@ def _prefixes(counts, size: int, percent: int):
         for _, digests, hashes, bounds in _each_run(batches, size):
             n = np.diff(bounds)
             text = np.repeat(np.arange(len(n)), n)
-            count = counts.value[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)]
+            count = counts.value.whole[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)]
             order = np.lexsort((hashes, count, text))
             # what a set of n shares with any similar one is n * percent / 100 at least; a very small one has only equal ones
             first = np.where(100 * n >= percent * (n + 1), n - -(-n * percent // 100) + 1, 0)
@@ -259,10 +259,8 @@ class _Join:
         kind = base.schema["id"].dataType.simpleString()
         out = written(base.mapInArrow(handing_back(_identify(size)), f"id {kind}, n long, set long, segment int, counts binary"))
         parts = out.where("segment IS NOT NULL").select("segment", "counts").repartition(SEGMENTS, "segment")
-        counts = np.zeros((SEGMENTS, COUNTERS // SEGMENTS), np.int64)
-        for part in parts.mapInArrow(handing_back(_add), "segment int, counts binary").collect():  # COUNTERS numbers in all
-            counts[part.segment] = np.frombuffer(part.counts, np.int64)
-        self.counts = base.sparkSession.sparkContext.broadcast(counts.reshape(-1))
+        counts = {part.segment: bytes(part.counts) for part in parts.mapInArrow(handing_back(_add), "segment int, counts binary").collect()}  # COUNTERS numbers in all
+        self.counts = base.sparkSession.sparkContext.broadcast(Packed(counts, COUNTERS // SEGMENTS, COUNTERS, "int64"))
         self.docs = out.where("segment IS NULL").select("id", "n", "set")
         named = self.docs.where("n > 0 AND id IS NOT NULL")
         self.classes = written(named.groupBy("set").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("_n")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 from collections import Counter, defaultdict
 
@@ -32,6 +33,19 @@ def plain_lines(rows, least):
     return out
 
 
+def test_filter_is_small_on_the_driver(spark):
+    """What the driver holds and sends of a sparse filter is a small part of it, and it knows just what was seen twice."""
+    rng = random.Random(4)
+    seen = [rng.getrandbits(64) - 2**63 for _ in range(3000)]
+    rows = [(seen[i : i + 30],) for i in range(0, 2000, 30)] + [(seen[1900:],), (seen[2900:],)]
+    twice = {h for h in seen if sum(h in r[0] for r in rows) > 1}
+    filter_, bits = line_dedup.twice_filter(spark.createDataFrame(rows, "hashes array<long>"), 1 << 20)
+    sent = pickle.dumps(filter_)
+    assert len(sent) * 4 < line_dedup.SEGMENTS * bits // 8
+    known = line_dedup.seen_twice(pickle.loads(sent), bits, np.array(seen, np.int64).view(np.uint64))
+    assert {h for h, k in zip(seen, known.tolist(), strict=True) if k} == twice and len(twice) > 100
+
+
 @pytest.mark.parametrize("bits", [1, 16])
 def test_lines(spark, bits):
     """A filter that is much too small only costs work."""
