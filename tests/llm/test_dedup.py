@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lakeaudit.llm import compact_windows, components, exact_dedup, jaccard_join, line_dedup, suffix_array
+from lakeaudit.llm import compact_windows, components, exact_dedup, hashing, jaccard_join, line_dedup, suffix_array
 
 from .fixtures import BLANKS, LOWER, SCHEMA, corpus, frame, roots, words_of
 
@@ -249,6 +249,64 @@ def test_passages_of_frequent_lines(spark):
     assert len(links) > 100 and not [(a, b) for a, b in links if a not in group or group.get(a) != group.get(b)]
 
 
+def test_repeated_words_have_few_windows():
+    """A text that repeats a few words has two united windows of a signature, and each run of a text is in one of its signature."""
+    repeated = hashing.mix(np.tile(np.arange(1, 8, dtype=np.uint64), 300))
+    for _, signature, first, last, *_ in compact_windows._functions(repeated, np.array([0, len(repeated)]), 40):
+        assert len(signature) <= 4 and first[0] == 0 and last[-1] == len(repeated) - 40
+    rng = np.random.default_rng(3)
+    for _ in range(100):
+        bounds = np.concatenate([[0], np.cumsum(rng.integers(0, 60, rng.integers(1, 5)))])
+        hashes, passage = hashing.mix(rng.integers(1, rng.choice([3, 10, 1000]), bounds[-1]).astype(np.uint64)), int(rng.integers(2, 9))
+        for f, signature, first, last, centre, until, text in compact_windows._functions(hashes, bounds, passage):
+            mixed = hashing.mix(hashes + np.uint64(0x632BE59BD9B4E019 * (f + 1) % (1 << 64)))
+            want = {s: mixed[s : s + passage].min() for a, b in zip(bounds, bounds[1:], strict=False) for s in range(a, b - passage + 1)}
+            got = {s: i for i in range(len(first)) for s in range(first[i], last[i] + 1)}
+            assert got.keys() == want.keys() and sum(last - first + 1) == len(want)
+            for s, i in got.items():
+                assert signature[i] == hashing.mix(np.array([want[s]]) + np.uint64(f))[0]
+                assert centre[i] <= s + passage - 1 and until[i] >= s and bounds[text[i]] <= s < bounds[text[i] + 1]
+
+
+def plain_passages(a, b, percent, passage):
+    first: dict = {}
+    for i, x in enumerate(b):
+        first.setdefault(x, i)
+    pairs = [(i, first[x]) for i, x in enumerate(a) if x in first]
+    open_ = [pairs]
+    while open_:
+        part = open_.pop()
+        if len(part) < 2 or part[-1][0] - part[0][0] + 1 < passage:
+            continue
+        low, high = min(y for _, y in part), max(y for _, y in part)
+        one, two = set(a[part[0][0] : part[-1][0] + 1]), set(b[low : high + 1])
+        if len(one & two) * 100 >= len(one | two) * percent and high - low + 1 >= passage:
+            yield part[0][0], part[-1][0], low, high, len(one & two), len(one | two)
+        else:
+            gaps = [max(q[0] - p[0], abs(q[1] - p[1])) for p, q in zip(part, part[1:], strict=False)]
+            cut = gaps.index(max(gaps)) + 1
+            open_ += [part[:cut], part[cut:]]
+
+
+def test_similar_passages_against_plain():
+    """Parts that are left out early hold no similar passage, and neither do stretches of windows that are not met elsewhere."""
+    rng = np.random.default_rng(5)
+    found = 0
+    for _ in range(600):
+        kinds, passage = int(rng.choice([3, 8, 60, 400])), int(rng.integers(2, 12))
+        a, b = (rng.integers(0, kinds, rng.integers(1, 80)).astype(np.uint64) for _ in range(2))
+        if rng.random() < 0.6:
+            b = np.concatenate([b[: rng.integers(0, 20)], a[rng.integers(0, len(a)) :], b[: rng.integers(0, 5)]])
+            b[rng.random(len(b)) < 0.1] = 999
+        want = list(plain_passages(a.tolist(), b.tolist(), 80, passage)) if len(b) else []
+        got = [tuple(map(int, x)) for x in compact_windows._passages(a, b, 80, passage)] if len(b) else []
+        assert got == want
+        found += len(want)
+        once = np.array([(b == x).any() or (a == x).sum() > 1 for x in a])
+        assert not want or compact_windows.can_be_similar(once, 80, passage)
+    assert found > 100
+
+
 def test_folded_rows_never_lose_a_link():
     """Sets of all sizes around the bound: what the folded rows rule out is not similar."""
     random = np.random.default_rng(5)
