@@ -280,7 +280,10 @@ def plain_passages(a, b, percent, passage):
             continue
         low, high = min(y for _, y in part), max(y for _, y in part)
         one, two = set(a[part[0][0] : part[-1][0] + 1]), set(b[low : high + 1])
-        if len(one & two) * 100 >= len(one | two) * percent and high - low + 1 >= passage:
+        alike = len(one & two) * 100 >= len(one | two) * percent
+        while alike and high - low + 1 < passage and high + 1 < len(b) and b[high + 1] in two:
+            high += 1
+        if alike and high - low + 1 >= passage:
             yield part[0][0], part[-1][0], low, high, len(one & two), len(one | two)
         else:
             gaps = [max(q[0] - p[0], abs(q[1] - p[1])) for p, q in zip(part, part[1:], strict=False)]
@@ -307,6 +310,13 @@ def test_similar_passages_against_plain():
     assert found > 100
 
 
+def test_passage_repeated_in_its_own_text(spark):
+    """A text that says the same 33 words again and again, between others, has the passage at another place."""
+    rows = [(i, " ".join([f"a{i} b{i} c{i}", *[" ".join(f"w{i}x{k}" for k in range(33))] * 4, f"d{i} e{i}"]), *[None] * 5) for i in range(30)]
+    got = compact_windows.similar_passages(frame(spark, rows)).collect()
+    assert {(r.id, r.other_id) for r in got} == {(i, i) for i in range(30)} and all(r.similarity >= 0.8 for r in got)
+
+
 def test_folded_rows_never_lose_a_link():
     """Sets of all sizes around the bound: what the folded rows rule out is not similar."""
     random = np.random.default_rng(5)
