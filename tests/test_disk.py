@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import random
+from pathlib import Path
+
 import duckdb
 from pyspark.sql import functions as F
 
+from lakeaudit.llm import compact_windows, shared
 from lakeaudit.plans import registry
 from lakeaudit.session import FREES_SHUFFLES, settle
 from tools.compare import normal
 
+from .llm.fixtures import frame
+
 
-def shuffle_files(spark) -> set[str]:
+def shuffle_files(spark, least: int = 0) -> set[str]:
+    """The names of shuffle files of so many bytes or more."""
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+    files = [files.apply(i) for i in range(files.size())]
+    return {f.getName() for f in files if f.getName().startswith("shuffle_") and f.length() >= least}
 
 
 def test_settled_frames_leave_no_shuffle_files(spark):
@@ -36,3 +44,18 @@ def test_rule_pack_holds_one_step_at_a_time(spark, tmp_path):
     assert shuffle_files(spark) <= before
     want = db.execute(registry.oracle_sql()["rulepack_integrity"]).df()
     assert len(want) > 100 and normal(got) == normal(want)
+
+
+def test_passages_discard_what_they_have_used(spark):
+    """Tables of word windows, runs and pairs go as soon as what is made of them is written; so do the shuffles."""
+    rng = random.Random(4)
+    stock = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(15)) for _ in range(12)]
+    texts = [" ".join(rng.sample(stock, 4)) for _ in range(150)]
+    rows = [(i % 150, texts[i % 150], *[None] * 5) for i in range(160)]  # some rows come twice
+    tables = lambda: set(Path(shared.shared_folder(spark)).glob("llm-*"))
+    before, shuffled = tables(), shuffle_files(spark, 2000)
+    out = compact_windows.similar_passages(frame(spark, rows))
+    left = [{f.name for f in spark.read.parquet(str(p)).schema} for p in tables() - before]
+    assert not [c for c in left if c & {"grams", "signature", "of", "wanted", "seeds", "head", "places"}] and len(left) <= 14
+    assert shuffle_files(spark, 2000) <= shuffled  # counts of one row aside
+    assert out.count() == out.distinct().count() > 50
