@@ -390,6 +390,20 @@ def test_kneser_ney_of_many_characters(spark, monkeypatch, at_once):
     assert sum(r.quality.kept for r in out if r.doc_id is not None and r.doc_id < 200) >= 196
 
 
+def test_kneser_ney_scores_every_text_once(spark):
+    """Rows that come twice stay two rows, whatever they are scored with, and each row with text has a perplexity."""
+    rng = random.Random(2)
+    words = ["the", "and", "thing", "ering", "über", "x9"]
+    # what follows two characters of the alphabet is nearly sure, so its cost is small beside the sums before it
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 300))) + "abcdefghijklmnopqrstuvwxyz" * rng.randint(0, 300) for _ in range(150)]
+    rows = [(i, t, "en", None, None, None, None) for i, t in enumerate(texts)] * 2 + [(500, "", "en", None, None, None, None)]
+    rng.shuffle(rows)
+    out = kneser_ney.classify(frame(spark, rows), spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")).collect()
+    assert sorted(r.doc_id for r in out) == sorted(r[0] for r in rows)
+    assert [r.doc_id for r in out if r.quality.perplexity is None] == [500]
+    assert all(len({r.quality.perplexity for r in out if r.doc_id == i}) == 1 for i in range(150))
+
+
 def test_kneser_ney_empty(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert kneser_ney.classify(spark.createDataFrame([], SCHEMA), none).count() == 0
