@@ -59,3 +59,18 @@ def test_passages_discard_what_they_have_used(spark):
     assert not [c for c in left if c & {"grams", "signature", "of", "wanted", "seeds", "head", "places"}] and len(left) <= 14
     assert shuffle_files(spark, 2000) <= shuffled  # counts of one row aside
     assert out.count() == out.distinct().count() > 50
+
+
+def test_pairs_of_tiles_are_all_pairs(spark, monkeypatch):
+    """With few pairs of places at a time the last step takes several passes, which find the same passages."""
+    rng = random.Random(4)
+    stock = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(15)) for _ in range(10)]
+    rows = [(i, " ".join(rng.sample(stock, 4)), *[None] * 5) for i in range(120)]
+    calls, verified, found = [], compact_windows._Passages.verified, []
+    monkeypatch.setattr(compact_windows._Passages, "verified", lambda *given: calls.append(1) or verified(*given))
+    for pairs in (compact_windows.PAIRS_AT_ONCE, 700):
+        monkeypatch.setattr(compact_windows, "PAIRS_AT_ONCE", pairs)
+        calls.clear()
+        got = sorted(tuple(r) for r in compact_windows.similar_passages(frame(spark, rows)).collect())
+        found.append((got, len(calls)))
+    assert found[0][0] and found[0][0] == found[1][0] and found[0][1] == 3 < found[1][1]
