@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.paths import parse_path
 from ..functions.scope import part_id
-from .listing import RESERVED_DIRECTORY, LakeFiles, days_of, list_files, with_footers
+from .listing import RESERVED_DIRECTORY, LakeFiles, days_of, footer, list_files, with_footers
 
 
 def build_manifest(spark: SparkSession, root: str, date_from: date | None = None, date_to: date | None = None) -> DataFrame:
@@ -29,6 +30,14 @@ def build_manifest(spark: SparkSession, root: str, date_from: date | None = None
     )
 
 
+def _footer(path: str) -> dict:
+    """Footer facts of one file. A file system that Python can't open is an error: no file is called corrupt for that."""
+    try:
+        return footer(path)
+    except pa.ArrowInvalid as error:
+        raise ValueError(f"footers of this file system can't be read: {path}") from error
+
+
 def discover_days(spark: SparkSession, root: str, max_days_back: int | None = None) -> DataFrame:
     """Day folders ``year=/month=/day=`` of the lake, empty ones included: ``partition_date, has_files``.
 
